@@ -217,8 +217,8 @@ def schema_problems(df: DataFrame, contract: Contract, training: bool = True) ->
     return found
 
 
-def _exploded(df: DataFrame, contract: Contract, training: bool, keep: list[str]) -> DataFrame:
-    """Rows fanned out to their violations; a clean row stays once with null violation."""
+def violation_list(df: DataFrame, contract: Contract, training: bool = True) -> Column:
+    """The violations of a row as an array of structs; empty for a clean row."""
     cells = [
         F.when(
             c.bad,
@@ -231,9 +231,13 @@ def _exploded(df: DataFrame, contract: Contract, training: bool, keep: list[str]
         )
         for c in row_checks(df, contract, training)
     ]
-    return df.select(
-        *keep, F.posexplode_outer(F.array_compact(F.array(*cells))).alias("_pos", "_v")
-    ).select(*keep, "_pos", "_v.check_type", "_v.column", "_v.value", "_v.per_row")
+    return F.array_compact(F.array(*cells))
+
+
+def _exploded(df: DataFrame, contract: Contract, training: bool, keep: list[str]) -> DataFrame:
+    """Rows fanned out to their violations; a clean row stays once with null violation."""
+    found = violation_list(df, contract, training)
+    return df.select(*keep, F.posexplode_outer(found).alias("_pos", "_v")).select(*keep, "_pos", "_v.check_type", "_v.column", "_v.value", "_v.per_row")
 
 
 def violations(df: DataFrame, contract: Contract, training: bool = True) -> DataFrame:
