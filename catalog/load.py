@@ -1,5 +1,7 @@
 """Imports every query module so that its queries are registered."""
 
 from catalog import (  # noqa: F401
+    contract_checks,
     evaluation,
+    profiles,
 )

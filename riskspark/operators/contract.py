@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -217,8 +218,19 @@ def schema_problems(df: DataFrame, contract: Contract, training: bool = True) ->
     return found
 
 
+VIOLATIONS_TYPE = "array<struct<check_type:string,column:string,value:string,per_row:boolean>>"
+
+
 def violation_list(df: DataFrame, contract: Contract, training: bool = True) -> Column:
-    """The violations of a row as an array of structs; empty for a clean row."""
+    """The violations of a row as an array of structs; empty for a clean row.
+
+    One compiled disjunction decides whether a row is clean; the list is only
+    built for rows that are not.
+    """
+    none = F.array().cast(VIOLATIONS_TYPE)
+    checks = row_checks(df, contract, training)
+    if not checks:
+        return none
     cells = [
         F.when(
             c.bad,
@@ -229,9 +241,10 @@ def violation_list(df: DataFrame, contract: Contract, training: bool = True) ->
                 F.lit(c.per_row).alias("per_row"),
             ),
         )
-        for c in row_checks(df, contract, training)
+        for c in checks
     ]
-    return F.array_compact(F.array(*cells))
+    unclean = reduce(lambda x, y: x | y, [c.bad for c in checks])
+    return F.when(unclean, F.array_compact(F.array(*cells))).otherwise(none)
 
 
 def _exploded(df: DataFrame, contract: Contract, training: bool, keep: list[str]) -> DataFrame:
