@@ -2,6 +2,8 @@
 
 from catalog import (  # noqa: F401
     contract_checks,
+    drift_checks,
     evaluation,
+    feedback_checks,
     profiles,
 )
