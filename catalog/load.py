@@ -5,5 +5,8 @@ from catalog import (  # noqa: F401
     drift_checks,
     evaluation,
     feedback_checks,
+    model_checks,
+    operations,
     profiles,
+    streams,
 )

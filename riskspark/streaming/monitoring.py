@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.operators import monitoring as batch
+from riskspark.streaming.runs import event_timed
 
 
 def request_rate_stream(
     events: DataFrame, time: str, by: Sequence[str], delay: str, width: str = "1 minute", seconds: int = 60
 ) -> DataFrame:
     """Tumbling request rates; a window is emitted once the watermark has passed it."""
-    return batch.request_rates(events.withWatermark(time, delay), time, by, width, seconds)
+    return batch.request_rates(event_timed(events, time).withWatermark(time, delay), time, by, width, seconds)
 
 
 def latency_stream(
@@ -28,7 +29,7 @@ def latency_stream(
 ) -> DataFrame:
     """Windowed latency quantiles from fixed buckets: state is one counter per bucket."""
     return batch.latency_quantiles(
-        events.withWatermark(time, delay), time, latency, by, buckets=buckets, width=width
+        event_timed(events, time).withWatermark(time, delay), time, latency, by, buckets=buckets, width=width
     )
 
 
@@ -42,7 +43,7 @@ def error_rate_stream(
 ) -> DataFrame:
     """Sliding error rate."""
     return (
-        events.withWatermark(time, delay)
+        event_timed(events, time).withWatermark(time, delay)
         .groupBy(F.window(time, width, slide).alias("_w"))
         .agg(F.count(F.when(failed, 1)).alias("failures"), F.count(F.lit(1)).alias("requests"))
         .select(
@@ -56,4 +57,4 @@ def error_rate_stream(
 
 def session_stream(events: DataFrame, user: str, time: str, delay: str, gap: str = "30 minutes") -> DataFrame:
     """Sessions per user, closed by the watermark."""
-    return batch.sessions(events.withWatermark(time, delay), user, time, gap)
+    return batch.sessions(event_timed(events, time).withWatermark(time, delay), user, time, gap)

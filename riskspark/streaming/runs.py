@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -14,14 +15,22 @@ def file_stream(
     schema: StructType,
     fmt: str = "parquet",
     files_per_trigger: int | None = None,
+    name_glob: str | None = None,
 ) -> DataFrame:
-    """Stream of files appearing under ``path`` (a folder or a glob)."""
+    """Stream of files appearing in the folder ``path``, by name pattern if given."""
     reader = spark.readStream.schema(schema).format(fmt)
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.load(path)
 
 
+def event_timed(stream: DataFrame, time: str) -> DataFrame:
+    """Event time as an instant: watermarks do not take zone-less timestamps."""
+    return stream.withColumn(time, F.col(time).cast("timestamp"))
+
+
 def run_to_files(
     stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
 ) -> None:
