@@ -21,6 +21,7 @@ from riskspark.models.preprocessing import (
     fit_preprocessing,
 )
 from riskspark.operators.split import exact_split
+from riskspark.session import written
 
 # Hyperparameters of the published models.
 LOGISTIC_DEFAULTS = {"C": 1.0, "max_iter": 1000}
@@ -148,12 +149,15 @@ class TrainedModel:
 def train_model(typed_rows: DataFrame, spec: ModelSpec = ModelSpec()) -> TrainedModel:
     """Split, fit on the training part, and keep the split for evaluation.
 
-    Iterative fits read the training rows many times, so the split rows are cached
-    (and spill to disk) while the fit runs.
+    Iterative fits read the training rows many times, so the split rows are written
+    to the shared folder first; the estimators cache their own feature vectors.
     """
-    rows = exact_split(
-        typed_rows, [spec.key], spec.target, spec.test_size, spec.val_size, spec.seed
-    ).persist()
+    rows = written(
+        exact_split(
+            typed_rows, [spec.key], spec.target, spec.test_size, spec.val_size, spec.seed
+        ),
+        "split",
+    )
     model = fit(rows.filter(F.col("split") == "train"), spec)
     return TrainedModel(model, spec, rows)
 

@@ -140,12 +140,17 @@ def capacity_metrics(
     keys: Sequence[str] = (),
     decimals: int | None = None,
     max_keys: int | None = None,
+    cut: DataFrame | None = None,
 ) -> DataFrame:
-    """Precision, recall and cut score of the top fraction, per key."""
+    """Precision, recall and cut score of the top fraction, per key.
+
+    ``cut`` takes the result of ``capacity_cut`` where it is at hand already.
+    """
     rows, scope = _scoped(df, keys)
     max_keys = max_keys if keys else 1
     table = score_table(df, label, score, keys, decimals)
-    cut = capacity_cut(table, fraction)
+    if cut is None:
+        cut = capacity_cut(table, fraction)
     value = F.col(score).cast("double")
     if decimals is not None:
         value = F.round(value, decimals)

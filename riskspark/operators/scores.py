@@ -80,36 +80,40 @@ def score_table(
     return ScoreTable(frame, keys or (SCOPE,), decimals)
 
 
-def by_dimension(
+def score_cells(
     df: DataFrame,
     dimensions: Sequence[str],
     label: str = "y_true",
     score: str = "y_prob",
     keys: Sequence[str] = (),
     decimals: int | None = None,
-) -> ScoreTable:
-    """Score rows keyed by ``(keys…, dimension, value)`` for several dimensions at once.
+) -> DataFrame:
+    """Rows counted per combination of keys, dimensions and score.
 
-    On a score grid the rows are first counted per combination of dimensions, so
-    the fan-out happens on the small counted frame; otherwise rows fan out inside
-    the scan stage and partial aggregation follows directly.
+    Both the score histogram and the per-dimension tables can be read from it.
     """
-    keys = tuple(keys)
-    table = ScoreTable(df, (*keys, "dimension", "value"), decimals)
     value = F.col(score).cast("double")
     if decimals is not None:
         value = F.round(value, decimals)
-    rows = df.select(
-        *keys,
-        *[F.col(d).cast("string").alias(d) for d in dimensions],
-        value.alias("score"),
-        F.lit(1).cast("bigint").alias("n"),
-        F.col(label).cast("bigint").alias("pos"),
-    )
-    if table.bounded:
-        rows = rows.groupBy(*keys, *dimensions, "score").agg(
-            F.sum("n").alias("n"), F.sum("pos").alias("pos")
+    return (
+        df.select(
+            *keys,
+            *[F.col(d).cast("string").alias(d) for d in dimensions],
+            value.alias("score"),
+            F.col(label).cast("bigint").alias("pos"),
         )
+        .groupBy(*keys, *dimensions, "score")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("pos"))
+    )
+
+
+def fan_out(
+    rows: DataFrame,
+    dimensions: Sequence[str],
+    keys: Sequence[str] = (),
+    decimals: int | None = None,
+) -> ScoreTable:
+    """Score rows or cells repeated once per dimension, keyed by (keys…, dimension, value)."""
     cells = F.array(
         *[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in dimensions]
     )
@@ -123,4 +127,22 @@ def by_dimension(
     )
     for key in (*keys, "value"):
         long = long.filter(F.col(key).isNotNull())
-    return replace(table, frame=long)
+    return ScoreTable(long, (*keys, "dimension", "value"), decimals)
+
+
+def by_dimension(
+    df: DataFrame,
+    dimensions: Sequence[str],
+    label: str = "y_true",
+    score: str = "y_prob",
+    keys: Sequence[str] = (),
+    decimals: int | None = None,
+) -> ScoreTable:
+    """Score rows keyed by ``(keys…, dimension, value)`` for several dimensions at once.
+
+    Rows are first counted per combination of dimensions and score, so the fan-out
+    repeats counted cells instead of rows.
+    """
+    return fan_out(
+        score_cells(df, dimensions, label, score, keys, decimals), dimensions, keys, decimals
+    )

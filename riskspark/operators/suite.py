@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from riskspark.functions.rounding import round4
 from riskspark.operators.capacity import capacity_cut, capacity_metrics
 from riskspark.operators.classification import binary_metrics
-from riskspark.operators.scores import by_dimension, score_table
+from riskspark.operators.scores import ScoreTable, fan_out, score_cells
 from riskspark.operators.segments import (
     SEGMENT_DIMENSIONS,
     SENSITIVE_DIMENSIONS,
@@ -19,6 +19,7 @@ from riskspark.operators.segments import (
     fairness_metrics,
     segment_metrics,
 )
+from riskspark.session import written
 
 KEYS = ("model", "split")
 SPLIT_COUNT = 3
@@ -87,31 +88,31 @@ def evaluate_suite(
 ) -> Evaluation:
     """All metrics of all models on all splits of a scored table.
 
-    Every figure is keyed by (model, split), so one histogram per kind of question
-    serves all models and splits instead of one pass for each of them.
+    The scored table is read once, to count it per (model, split, dimensions,
+    score); those counts and the capacity lines are written to the shared folder,
+    and every figure is computed from them. Only the rows tied at a capacity line
+    are looked up in the table again.
     """
     segment_dimensions = [d for d in segment_dimensions if d in df.columns]
     sensitive_dimensions = [d for d in sensitive_dimensions if d in df.columns]
+    dimensions = list(dict.fromkeys([*segment_dimensions, *sensitive_dimensions]))
     named = df.withColumn("split", F.col(split)).withColumn("y_true", F.col(label))
-    long = by_model(
-        named, models, ids, ["split", "y_true", *segment_dimensions, *sensitive_dimensions]
-    )
+    long = by_model(named, models, ids, ["split", "y_true", *dimensions])
     max_keys = len(models) * SPLIT_COUNT
-    table = score_table(long, keys=KEYS, decimals=decimals).histogram()
-    metrics = binary_metrics(table, threshold)
+
+    cells = written(score_cells(long, dimensions, keys=KEYS, decimals=decimals), "score-cells")
+    table = ScoreTable(cells.select(*KEYS, "score", "n", "pos"), KEYS, decimals)
+    cut = written(capacity_cut(table, fraction), "capacity-lines")
     capacity = capacity_metrics(
-        long, fraction, ids, keys=KEYS, decimals=decimals, max_keys=max_keys
+        long, fraction, ids, keys=KEYS, decimals=decimals, max_keys=max_keys, cut=cut
     )
-    summary = metrics.join(capacity, list(KEYS))
-    cut = capacity_cut(table, fraction)
 
-    def review(kind, dimensions):
-        scores = by_dimension(long, dimensions, keys=KEYS, decimals=decimals)
-        return kind(scores, threshold, cut, max_keys)
+    def review(kind, names):
+        return kind(fan_out(cells, names, KEYS, decimals), threshold, cut, max_keys)
 
     subgroups = review(fairness_metrics, sensitive_dimensions)
     return Evaluation(
-        summary=summary,
+        summary=binary_metrics(table, threshold).join(capacity, list(KEYS)),
         segments=review(segment_metrics, segment_dimensions),
         subgroups=subgroups,
         disparities=fairness_disparities(subgroups, [*KEYS, "dimension"]),

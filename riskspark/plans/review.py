@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from riskspark.operators.campaign import campaign_effect
 from riskspark.operators.feedback import evaluate_matched, match_outcomes, match_statistics
 from riskspark.operators.retraining import RetrainingPolicy, retraining_decision
+from riskspark.session import written
 
 
 @dataclass(frozen=True)
@@ -36,10 +37,16 @@ def run_review(
     customer_value: float = 500.0,
     policy: RetrainingPolicy = RetrainingPolicy(),
 ) -> Review:
-    """Predictions and late labels in, advice out. Nothing is trained or triggered."""
-    matched = match_outcomes(predictions, labels, key, prediction_order, label_order)
-    statistics = match_statistics(predictions, labels, matched)
-    evaluation = evaluate_matched(matched, [key], threshold, fraction)
+    """Predictions and late labels in, advice out. Nothing is trained or triggered.
+
+    The matched rows and the two one-row reports are written to the shared folder:
+    each is read by several later steps.
+    """
+    matched = written(
+        match_outcomes(predictions, labels, key, prediction_order, label_order), "matched"
+    )
+    statistics = written(match_statistics(predictions, labels, matched), "match-statistics")
+    evaluation = written(evaluate_matched(matched, [key], threshold, fraction), "late-evaluation")
     campaign = campaign_effect(matched, contact_cost, customer_value)
     decision = retraining_decision(evaluation, drift, statistics, policy)
     return Review(matched, statistics, evaluation, campaign, decision)

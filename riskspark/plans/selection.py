@@ -17,6 +17,7 @@ from riskspark.operators.suite import (
     decision_record,
     evaluate_suite,
 )
+from riskspark.session import written
 
 
 @dataclass(frozen=True)
@@ -38,9 +39,12 @@ def run_selection(
     policy: GatePolicy = GatePolicy(),
 ) -> Selection:
     """Fit both models on the training part, judge on validation, report on test."""
-    split = exact_split(
-        rows, [champion.key], champion.target, champion.test_size, champion.val_size, champion.seed
-    ).persist()
+    split = written(
+        exact_split(
+            rows, [champion.key], champion.target, champion.test_size, champion.val_size, champion.seed
+        ),
+        "split",
+    )
     train = split.filter(F.col("split") == "train")
     scored = with_label(split, champion).withColumn("y_true", F.col("label").cast("int"))
     for spec in (champion, challenger):
@@ -48,7 +52,7 @@ def run_selection(
         scored = positive_probability(fit(train, spec).transform(scored)).select(
             *kept, F.col("probability_1").alias(f"score_{spec.name}")
         )
-    scored = with_bands(scored)
+    scored = written(with_bands(scored), "selection-scores")
     models = {spec.name: f"score_{spec.name}" for spec in (champion, challenger)}
     judged = scored.filter(F.col("split") != "train")
     evaluation = evaluate_suite(judged, models, [champion.key], threshold=threshold, fraction=fraction)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
@@ -52,7 +52,12 @@ def new_scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point ``checkpoint()`` at the shared folder unless the session already has one."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame that several later steps read, and continue from the files.
+
+    The table lies in the shared folder, so losing an executor costs nothing that
+    was computed before, and the steps after it do not scan their source again.
+    """
+    path = new_scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
