@@ -10,13 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.functions.parsing import charge_is_bad, to_number
+from riskspark.functions.parsing import NUMERAL_PATTERN
 
 SAMPLE_SIZE = 5
 
@@ -105,88 +104,111 @@ class ContractViolation(ValueError):
 
 @dataclass(frozen=True)
 class RowCheck:
-    """One row predicate: where ``bad`` holds, ``value`` is what failed."""
+    """One row predicate as SQL: where ``bad`` holds, ``value`` is what failed."""
 
     check_type: str
     column: str
-    bad: Column
-    value: Column
+    bad: str
+    value: str
     per_row: bool = True
 
 
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _text(value: object) -> str:
+    if isinstance(value, (int, float)):
+        return str(value)
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _is_text(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, (T.StringType, T.VarcharType, T.CharType))
 
 
-def _number(df: DataFrame, column: str, integer: bool = False) -> Column:
+def _is_number(column: str) -> str:
+    return f"trim({_name(column)}) RLIKE r'{NUMERAL_PATTERN}'"
+
+
+def _number(df: DataFrame, column: str, integer: bool = False) -> str:
     """Typed value of a column that may have been read as text."""
+    name = _name(column)
     if not _is_text(df, column):
-        return F.col(column)
+        return name
     if integer:
-        return F.trim(F.col(column)).try_cast("int")
-    return to_number(F.col(column))
+        return f"try_cast(trim({name}) AS int)"
+    return (
+        f"CASE WHEN {_is_number(column)} "
+        f"THEN try_cast(replace(trim({name}), '_', '') AS double) END"
+    )
 
 
 def typed(df: DataFrame, contract: Contract, training: bool = True) -> DataFrame:
     """Contract columns in contract order with contract types; bad text becomes null."""
     out = []
-    for name in contract.columns(training):
-        if name not in df.columns:
+    for column in contract.columns(training):
+        if column not in df.columns:
             continue
-        if name in contract.numeric:
-            rule = contract.numeric[name]
-            out.append(_number(df, name, rule.integer).cast("int" if rule.integer else "double").alias(name))
-        elif name in contract.integer_categorical:
-            out.append(_number(df, name, True).cast("int").alias(name))
+        if column in contract.numeric:
+            integer = contract.numeric[column].integer
+            value, kind = _number(df, column, integer), "int" if integer else "double"
+        elif column in contract.integer_categorical:
+            value, kind = _number(df, column, True), "int"
         else:
-            out.append(F.col(name).cast("string").alias(name))
-    return df.select(*out)
+            value, kind = _name(column), "string"
+        out.append(f"CAST({value} AS {kind}) AS {_name(column)}")
+    return df.selectExpr(*out)
 
 
 def row_checks(df: DataFrame, contract: Contract, training: bool = True) -> list[RowCheck]:
-    """Every predicate of the contract that looks at one row only."""
+    """Every predicate of the contract that looks at one row only.
+
+    Predicates are SQL text, so a contract of many columns becomes one expression.
+    """
     checks: list[RowCheck] = []
 
-    def add(kind: str, column: str, bad: Column, value: Column, per_row: bool = True) -> None:
+    def add(kind: str, column: str, bad: str, value: str, per_row: bool = True) -> None:
         checks.append(
-            RowCheck(kind, column, F.coalesce(bad, F.lit(False)), value.cast("string"), per_row)
+            RowCheck(kind, column, f"coalesce({bad}, false)", f"CAST({value} AS string)", per_row)
         )
 
     key = contract.primary_key
     if key in df.columns:
-        text = F.col(key).cast("string")
-        add("null_primary_key", key, text.isNull() | (F.trim(text) == ""), text, per_row=False)
-        add("not_nullable", key, text.isNull(), text)
-        add("non_blank_id", key, F.trim(text) == "", text)
+        text = f"CAST({_name(key)} AS string)"
+        add("null_primary_key", key, f"{text} IS NULL OR trim({text}) = ''", text, per_row=False)
+        add("not_nullable", key, f"{text} IS NULL", text)
+        add("non_blank_id", key, f"trim({text}) = ''", text)
 
     domains: dict[str, tuple] = dict(contract.categorical)
     if contract.target and contract.target in df.columns:
         domains[contract.target] = contract.target_values
-    for name, allowed in domains.items():
-        if name not in df.columns:
+    for column, allowed in domains.items():
+        if column not in df.columns:
             continue
-        if name in contract.integer_categorical:
-            value = _number(df, name, True)
-            if _is_text(df, name):
-                add("dtype", name, F.col(name).isNotNull() & value.isNull(), F.col(name))
+        name = _name(column)
+        if column in contract.integer_categorical:
+            value = _number(df, column, True)
+            if _is_text(df, column):
+                add("dtype", column, f"{name} IS NOT NULL AND {value} IS NULL", name)
         else:
-            value = F.col(name).cast("string")
-        add("not_nullable", name, F.col(name).isNull(), F.col(name))
-        add("isin", name, ~value.isin(*allowed), value)
+            value = f"CAST({name} AS string)"
+        add("not_nullable", column, f"{name} IS NULL", name)
+        add("isin", column, f"{value} NOT IN ({', '.join(_text(v) for v in allowed)})", value)
 
-    for name, rule in contract.numeric.items():
-        if name not in df.columns:
+    for column, rule in contract.numeric.items():
+        if column not in df.columns:
             continue
-        value = _number(df, name, rule.integer)
-        raw = F.col(name)
-        if _is_text(df, name):
+        value, name = _number(df, column, rule.integer), _name(column)
+        if _is_text(df, column):
             if rule.lenient_text:
-                add("invalid_type_conversion", name, charge_is_bad(raw), raw)
+                bad_text = f"trim({name}) <> '' AND NOT {_is_number(column)}"
+                add("invalid_type_conversion", column, bad_text, name)
             else:
-                add("dtype", name, raw.isNotNull() & value.isNull(), raw)
+                add("dtype", column, f"{name} IS NOT NULL AND {value} IS NULL", name)
         if not rule.nullable:
-            add("not_nullable", name, raw.isNull(), raw)
-        add("greater_than_or_equal_to", name, value < F.lit(rule.minimum), raw)
+            add("not_nullable", column, f"{name} IS NULL", name)
+        add("greater_than_or_equal_to", column, f"{value} < {rule.minimum}", name)
     return checks
 
 
@@ -227,24 +249,17 @@ def violation_list(df: DataFrame, contract: Contract, training: bool = True) ->
     One compiled disjunction decides whether a row is clean; the list is only
     built for rows that are not.
     """
-    none = F.array().cast(VIOLATIONS_TYPE)
+    none = f"CAST(array() AS {VIOLATIONS_TYPE})"
     checks = row_checks(df, contract, training)
     if not checks:
-        return none
+        return F.expr(none)
     cells = [
-        F.when(
-            c.bad,
-            F.struct(
-                F.lit(c.check_type).alias("check_type"),
-                F.lit(c.column).alias("column"),
-                c.value.alias("value"),
-                F.lit(c.per_row).alias("per_row"),
-            ),
-        )
+        f"CASE WHEN {c.bad} THEN named_struct('check_type', {_text(c.check_type)}, 'column', {_text(c.column)}, "
+        f"'value', {c.value}, 'per_row', {str(c.per_row).lower()}) END"
         for c in checks
     ]
-    unclean = reduce(lambda x, y: x | y, [c.bad for c in checks])
-    return F.when(unclean, F.array_compact(F.array(*cells))).otherwise(none)
+    unclean = " OR ".join(c.bad for c in checks)
+    return F.expr(f"CASE WHEN {unclean} THEN array_compact(array({', '.join(cells)})) ELSE {none} END")
 
 
 def _exploded(df: DataFrame, contract: Contract, training: bool, keep: list[str]) -> DataFrame:

@@ -160,22 +160,17 @@ def quantiles_from_curve(
     so no task holds the values of a key.
     """
     keys = list(keys)
-    running, total = F.col("cum_" + count), F.col("all_" + count)
-    parts = []
+    parts, cells = [], []
     for i, q in enumerate(probabilities):
-        position = (total - 1).cast("double") * F.lit(float(q))
-        low, high = F.floor(position), F.ceil(position)
+        position = f"((all_{count} - 1) * CAST({float(q)!r} AS double))"
         parts += [
-            F.min(F.when(running > low, F.col(value))).alias(f"_lo{i}"),
-            F.min(F.when(running > high, F.col(value))).alias(f"_hi{i}"),
-            F.max(position - low).alias(f"_w{i}"),
+            F.expr(f"min(CASE WHEN cum_{count} > floor({position}) THEN `{value}` END) AS _lo{i}"),
+            F.expr(f"min(CASE WHEN cum_{count} > ceil({position}) THEN `{value}` END) AS _hi{i}"),
+            F.expr(f"max({position} - floor({position})) AS _w{i}"),
         ]
-    picked = curve.filter(F.col(count) > 0).groupBy(*keys).agg(*parts)
-    cells = [
-        F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}")
-        for i in range(len(probabilities))
-    ]
-    return picked.select(*keys, F.array(*cells).alias(out))
+        cells.append(f"_lo{i} + (_hi{i} - _lo{i}) * _w{i}")
+    picked = curve.filter(f"`{count}` > 0").groupBy(*keys).agg(*parts)
+    return picked.select(*keys, F.expr(f"array({', '.join(cells)})").alias(out))
 
 
 def exact_quantiles(

@@ -14,7 +14,14 @@ TESTDATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, 4, spark__driver__memory="4g")
+    # Tiny inputs spend most of their time compiling; interpreted operators are quicker here.
+    session = local_session(
+        8,
+        4,
+        spark__driver__memory="4g",
+        spark__sql__codegen__wholeStage="false",
+        spark__sql__codegen__factoryMode="NO_CODEGEN",
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -27,31 +27,31 @@ def test_valid_customers_pass(spark):
     row = report.first()
     assert row["is_valid"] and row["valid_rows"] == row["clean_rows"] == 30
     assert row["summary"] == "Validation PASSED for 30 row(s) against schema v1.0.0."
-    assert errors.count() == 0 and dict(typed.dtypes)["TotalCharges"] == "double"
-
-
-@pytest.mark.parametrize(
-    "changes,key,count",
-    [
-        ({"customerID": "  "}, ("null_primary_key", "customerID"), 1),
-        ({"customerID": None}, ("null_primary_key", "customerID"), 1),
-        ({"Contract": "Weekly"}, ("isin", "Contract"), 1),
-        ({"Contract": None}, ("not_nullable", "Contract"), 1),
-        ({"SeniorCitizen": 2}, ("isin", "SeniorCitizen"), 1),
-        ({"tenure": -1}, ("greater_than_or_equal_to", "tenure"), 1),
-        ({"TotalCharges": "N/A"}, ("invalid_type_conversion", "TotalCharges"), 1),
-        ({"TotalCharges": "-5"}, ("greater_than_or_equal_to", "TotalCharges"), 1),
-        ({"Churn": "Maybe"}, ("isin", "Churn"), 1),
-    ],
-)
-def test_each_defect_is_found(spark, changes, key, count):
-    frame = customers(spark, [customer(1), customer(2, **changes)])
+    assert errors.isEmpty() and dict(typed.dtypes)["TotalCharges"] == "double"
+
+
+DEFECTS = [
+    ({"customerID": "  "}, ("null_primary_key", "customerID"), 2),
+    ({"customerID": None}, ("non_blank_id", "customerID"), 1),
+    ({"Contract": "Weekly"}, ("isin", "Contract"), 1),
+    ({"Contract": None}, ("not_nullable", "Contract"), 1),
+    ({"SeniorCitizen": 2}, ("isin", "SeniorCitizen"), 1),
+    ({"tenure": -1}, ("greater_than_or_equal_to", "tenure"), 1),
+    ({"TotalCharges": "N/A"}, ("invalid_type_conversion", "TotalCharges"), 1),
+    ({"TotalCharges": "-5"}, ("greater_than_or_equal_to", "TotalCharges"), 1),
+    ({"Churn": "Maybe"}, ("isin", "Churn"), 1),
+]
+
+
+def test_each_defect_is_found(spark):
+    rows = [customer(i, **changes) for i, (changes, _, _) in enumerate(DEFECTS)]
+    frame = customers(spark, [*rows, customer(50)])
     found = errors_of(frame)
-    assert found[key]["invalid_count"] == count
-    report = checks.validation_report(frame, CUSTOMER_CONTRACT).first()
-    assert not report["is_valid"] and report["clean_rows"] == 1
-    with pytest.raises(ContractViolation):
+    for _, key, count in DEFECTS:
+        assert found[key]["invalid_count"] == count, key
+    with pytest.raises(ContractViolation) as failure:
         checks.validate(frame, CUSTOMER_CONTRACT)
+    assert failure.value.report["clean_rows"] == 1
 
 
 def test_duplicates_count_copies_and_members(spark):
