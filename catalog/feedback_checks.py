@@ -23,6 +23,7 @@ from riskspark.functions.bands import tenure_band
 from riskspark.functions.decisions import decide
 from riskspark.operators import drift as drift_ops
 from riskspark.operators import campaign, feedback, retraining
+from riskspark.operators.distribution import side_by_side
 from riskspark.plans.review import Review, run_review
 
 KEY = "doc_id"
@@ -254,9 +255,8 @@ SELECT decision_code, triggers_fired, delayed_label_pr_auc, brier_score, max_psi
 )
 def post_deployment_review(spark: SparkSession, sf_dir: str) -> DataFrame:
     review = _review(spark, sf_dir)
-    one = F.lit(1).alias("_one")
     advice = _shown(review.decision).select(
-        "decision_code", "triggers_fired", "delayed_label_pr_auc", "brier_score", "max_psi", "match_rate", one
+        "decision_code", "triggers_fired", "delayed_label_pr_auc", "brier_score", "max_psi", "match_rate"
     )
-    effect = review.campaign.select("n_treatment", "n_control", "campaign_roi_percent", one)
-    return advice.join(effect, "_one").drop("_one")
+    effect = review.campaign.select("n_treatment", "n_control", "campaign_roi_percent")
+    return side_by_side(advice, effect)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.functions.parsing import NUMERAL_PATTERN
+from riskspark.operators.distribution import side_by_side
 
 SAMPLE_SIZE = 5
 
@@ -377,10 +378,8 @@ def validation_errors(
             F.array_sort(F.collect_list("key")).alias("sample_invalid_values")
         )
         dup_keys = (
-            repeated.agg(F.sum("n").alias("invalid_count"))
+            side_by_side(repeated.agg(F.sum("n").alias("invalid_count")), first_keys)
             .filter(F.col("invalid_count") > 0)
-            .withColumn("_one", F.lit(1))
-            .join(first_keys.withColumn("_one", F.lit(1)), "_one")
             .select(
                 F.lit("duplicate_primary_key").alias("check_type"),
                 F.lit(key).alias("column"),

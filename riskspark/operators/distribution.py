@@ -27,6 +27,17 @@ def small(frame: DataFrame, max_rows: int | None) -> DataFrame:
     return F.broadcast(frame) if max_rows is not None and max_rows <= SMALL_ROWS else frame
 
 
+def side_by_side(*frames: DataFrame) -> DataFrame:
+    """One-row frames with different columns as one row, without a join."""
+    names = [c for frame in frames for c in frame.columns]
+    if len(names) != len(set(names)):
+        raise ValueError(f"column names repeat: {sorted(names)}")
+    stacked = frames[0]
+    for frame in frames[1:]:
+        stacked = stacked.unionByName(frame, allowMissingColumns=True)
+    return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in names])
+
+
 def finite(value: Column) -> Column:
     """Double with NaN turned into null, so missing has one form."""
     number = value.cast("double")

@@ -19,6 +19,7 @@ from riskspark.operators.distribution import (
     edge_bin,
     quantiles_from_curve,
     running_totals,
+    side_by_side,
     small,
     unpivot,
 )
@@ -297,7 +298,7 @@ def drift_report(
 ) -> DataFrame:
     """One row: sizes of both tables, highest PSI, drifted features, overall status."""
     def rows(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(name)).withColumn("_one", F.lit(1))
+        return df.agg(F.count(F.lit(1)).alias(name))
 
     rolled = features.agg(
         F.coalesce(F.max("psi"), F.lit(0.0)).alias("max_psi"),
@@ -306,9 +307,9 @@ def drift_report(
         F.array_sort(
             F.collect_list(F.when(F.col("drift_status") == "significant_drift", F.col("feature")))
         ).alias("drifted_features"),
-    ).withColumn("_one", F.lit(1))
-    joined = rolled.join(small(rows(reference, "reference_record_count"), 1), "_one").join(
-        small(rows(current, "scoring_record_count"), 1), "_one"
+    )
+    joined = side_by_side(
+        rolled, rows(reference, "reference_record_count"), rows(current, "scoring_record_count")
     )
     overall = status(F.col("max_psi"), policy)
     return joined.select(

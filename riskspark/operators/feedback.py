@@ -11,6 +11,7 @@ from riskspark.functions.parsing import binary_outcome, outcome_column
 from riskspark.functions.rounding import round4, share
 from riskspark.operators.capacity import capacity_metrics
 from riskspark.operators.classification import binary_metrics
+from riskspark.operators.distribution import side_by_side
 from riskspark.operators.scores import score_table
 
 SCORE_COLUMN = "churn_probability"
@@ -116,10 +117,4 @@ def evaluate_matched(
     )
     metrics = binary_metrics(table, threshold)
     capacity = capacity_metrics(matched, fraction, ids, outcome, score, decimals=STORED_DECIMALS)
-    one = F.lit(1).alias("_one")
-    return (
-        size.select("*", one)
-        .join(metrics.select("*", one), "_one")
-        .join(capacity.select("*", one), "_one")
-        .drop("_one")
-    )
+    return side_by_side(size, metrics, capacity)

@@ -13,6 +13,7 @@ from riskspark.operators.contract import (
     validation_errors,
     validation_report,
 )
+from riskspark.operators.distribution import side_by_side
 
 
 def missing_values(df: DataFrame, only_present: bool = True) -> DataFrame:
@@ -45,12 +46,10 @@ def quality_report(df: DataFrame, contract: Contract, training: bool = False) ->
         F.coalesce(F.sum("extra"), F.lit(0)).alias("duplicate_rows"),
         F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("duplicate_primary_keys"),
     )
-    one = F.lit(1).alias("_one")
     rejected = F.col("total_rows") - F.col("valid_rows")
     rate = round4(share(rejected, F.col("total_rows")))
     return (
-        report.select("*", one)
-        .join(copies.select("*", one), "_one")
+        side_by_side(report, copies)
         .select(
             F.col("total_rows").alias("total_records"),
             F.col("valid_rows").alias("accepted_records"),

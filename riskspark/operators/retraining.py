@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions.rounding import round4
+from riskspark.operators.distribution import side_by_side
 
 
 @dataclass(frozen=True)
@@ -32,17 +33,17 @@ def retraining_decision(
     ``evaluation`` needs ``pr_auc`` and ``brier_score``; ``drift`` is the rollup of
     the drift report; ``matching`` the match statistics. All have one row.
     """
-    one = F.lit(1).alias("_one")
-    row = evaluation.select("pr_auc", "brier_score", one)
+    parts = [evaluation.select("pr_auc", "brier_score")]
     if drift is not None:
-        row = row.join(drift.select("max_psi", "drifted_features_count", one), "_one")
-    else:
+        parts.append(drift.select("max_psi", "drifted_features_count"))
+    if matching is not None:
+        parts.append(matching.select("match_rate"))
+    row = side_by_side(*parts)
+    if drift is None:
         row = row.withColumn("max_psi", F.lit(0.0)).withColumn(
             "drifted_features_count", F.lit(0).cast("bigint")
         )
-    if matching is not None:
-        row = row.join(matching.select("match_rate", one), "_one")
-    else:
+    if matching is None:
         row = row.withColumn("match_rate", F.lit(1.0))
 
     current = F.coalesce(F.col("pr_auc"), F.lit(0.0))

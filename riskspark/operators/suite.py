@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskspark.functions.rounding import round4
 from riskspark.operators.capacity import capacity_cut, capacity_metrics
 from riskspark.operators.classification import binary_metrics
+from riskspark.operators.distribution import side_by_side
 from riskspark.operators.scores import ScoreTable, fan_out, score_cells
 from riskspark.operators.segments import (
     SEGMENT_DIMENSIONS,
@@ -194,21 +195,18 @@ def decision_record(
     Only the per-group summaries enter the record, whose size is bounded by the
     number of models, splits and segment values.
     """
-    one = F.lit(1).alias("_one")
     gates = acceptance_gates(comparison, policy)
 
     def as_list(frame: DataFrame, name: str) -> DataFrame:
-        rows = frame.filter(F.col("split") == policy.report_split) if "split" in frame.columns else frame
-        return rows.agg(F.array_sort(F.collect_list(F.struct(*frame.columns))).alias(name)).select(
-            name, one
-        )
-
-    joined = (
-        gates.select(F.struct(*gates.columns).alias("acceptance_gates"), "all_gates_passed", one)
-        .join(as_list(comparison, "metrics_summary"), "_one")
-        .join(as_list(evaluation.segments, "segment_analysis"), "_one")
-        .join(as_list(evaluation.subgroups, "fairness_review"), "_one")
-        .join(as_list(evaluation.disparities, "fairness_disparities"), "_one")
+        rows = frame.filter(F.col("split") == policy.report_split)
+        return rows.agg(F.array_sort(F.collect_list(F.struct(*frame.columns))).alias(name))
+
+    joined = side_by_side(
+        gates.select(F.struct(*gates.columns).alias("acceptance_gates"), "all_gates_passed"),
+        as_list(comparison, "metrics_summary"),
+        as_list(evaluation.segments, "segment_analysis"),
+        as_list(evaluation.subgroups, "fairness_review"),
+        as_list(evaluation.disparities, "fairness_disparities"),
     )
     chosen = F.when(F.col("all_gates_passed"), F.lit(challenger)).otherwise(F.lit(champion))
     record = F.struct(
