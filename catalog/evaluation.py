@@ -96,6 +96,19 @@ def threshold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classification.threshold_metrics(by_status(spark, sf_dir), 0.5)
 
 
+@query(
+    "g00_binary_metrics",
+    f"""WITH {SCORED_CTE}, {CURVE.format(k="line_status", p="y_prob", t="scored")},
+rank_sums AS (SELECT line_status, {PR_AUC} AS pr_auc, {ROC_AUC} AS roc_auc FROM curve GROUP BY line_status),
+c AS (SELECT line_status, {confusion_sql("y_prob", "0.5")}, round(avg((y_prob - y_true) * (y_prob - y_true)), 4) AS brier_score FROM scored GROUP BY line_status)
+SELECT line_status, pr_auc, roc_auc, {r4(PRECISION)} AS precision, {r4(RECALL)} AS recall, {r4(F1)} AS f1_score, {r4(ACCURACY)} AS accuracy,
+  brier_score, 0.5::double AS threshold, tn, fp, fn, tp FROM rank_sums JOIN c USING (line_status)""",
+)
+def binary_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All binary metrics in one row per line status."""
+    return classification.binary_metrics(by_status(spark, sf_dir), 0.5)
+
+
 @query(
     "g04_confusion_matrix",
     f"WITH {SCORED_CTE} SELECT line_status, {confusion_sql('y_prob', '0.5')} FROM scored GROUP BY line_status",

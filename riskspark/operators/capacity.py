@@ -159,7 +159,7 @@ def capacity_metrics(
         F.col("room") == F.col("tied_n"), F.col("tied_pos")
     ).otherwise(F.coalesce(F.col("_tie_pos"), F.lit(0)))
     out = (
-        cut.join(ties, scope, "left")
+        table.beside(cut, ties)
         .withColumn("captured", captured)
         .select(
             *scope,

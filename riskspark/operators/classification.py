@@ -86,21 +86,17 @@ def binary_metrics(table: ScoreTable, threshold: float = 0.5) -> DataFrame:
         (squared_error() / F.sum("n")).alias("brier"),
     )
     rates = _rates(F.col("tp"), F.col("fp"), F.col("tn"), F.col("fn"))
-    out = (
-        ranking_sums(hist, curve)
-        .join(counts, list(table.keys))
-        .select(
-            *table.keys,
-            round4(F.col("pr_auc")).alias("pr_auc"),
-            round4(F.col("roc_auc")).alias("roc_auc"),
-            *[round4(v).alias(k) for k, v in rates.items()],
-            round4(F.col("brier")).alias("brier_score"),
-            F.lit(float(threshold)).alias("threshold"),
-            "tn",
-            "fp",
-            "fn",
-            "tp",
-        )
+    out = table.beside(counts, ranking_sums(hist, curve)).select(
+        *table.keys,
+        round4(F.col("pr_auc")).alias("pr_auc"),
+        round4(F.col("roc_auc")).alias("roc_auc"),
+        *[round4(v).alias(k) for k, v in rates.items()],
+        round4(F.col("brier")).alias("brier_score"),
+        F.lit(float(threshold)).alias("threshold"),
+        "tn",
+        "fp",
+        "fn",
+        "tp",
     )
     return table.strip(out)
 

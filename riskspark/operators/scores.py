@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.operators.distribution import running_totals
+from riskspark.operators.distribution import running_totals, side_by_side
 
 SCOPE = "scope"
 
@@ -52,6 +52,12 @@ class ScoreTable:
             bounded=self.bounded,
         )
 
+    def beside(self, left: DataFrame, right: DataFrame) -> DataFrame:
+        """Two per-key frames side by side; without real keys both have one row."""
+        if self.keys == (SCOPE,):
+            return side_by_side(left, right.drop(SCOPE))
+        return left.join(right, list(self.keys), "left")
+
     def strip(self, frame: DataFrame) -> DataFrame:
         """Drop the constant key that stands for 'the whole table'."""
         return frame.drop(SCOPE) if self.keys == (SCOPE,) else frame

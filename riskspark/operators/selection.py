@@ -49,7 +49,7 @@ def slots_by_hash(
     )
     spans = (
         counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .join(cuts, keys)
+        .join(small(cuts, max_keys), keys)
         .select(
             *keys,
             "_slice",
