@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from riskspark.llm import sharding
+from riskspark.llm import sharding, simhash
 
-MODULES = (sharding,)
+MODULES = (sharding, simhash)
 
 QUERIES = {name: f for module in MODULES for name, f in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
