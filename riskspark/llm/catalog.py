@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from riskspark.llm import decontamination, sharding, simhash
+from riskspark.llm import chat, decontamination, sharding, simhash
 
-MODULES = (sharding, decontamination, simhash)
+MODULES = (sharding, decontamination, simhash, chat)
 
 QUERIES = {name: f for module in MODULES for name, f in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
