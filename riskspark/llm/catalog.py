@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from riskspark.llm import chat, decontamination, quality_classifier, rules, sharding, simhash, toxicity
+from riskspark.llm import bpe, chat, decontamination, quality_classifier, rules, sharding, simhash, toxicity
 
-MODULES = (sharding, decontamination, quality_classifier, rules, toxicity, simhash, chat)
+MODULES = (sharding, bpe, decontamination, quality_classifier, rules, toxicity, simhash, chat)
 
 QUERIES = {name: f for module in MODULES for name, f in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
