@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from riskspark.llm import bpe, chat, decontamination, quality_classifier, rules, sharding, simhash, toxicity, wavelet
+from riskspark.llm import bpe, chat, decontamination, quality_classifier, rules, sharding, simhash, suffix_dedup, toxicity, wavelet
 
-MODULES = (sharding, bpe, decontamination, quality_classifier, rules, toxicity, wavelet, simhash, chat)
+MODULES = (sharding, suffix_dedup, bpe, decontamination, quality_classifier, rules, toxicity, wavelet, simhash, chat)
 
 QUERIES = {name: f for module in MODULES for name, f in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
