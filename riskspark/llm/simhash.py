@@ -32,23 +32,27 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def fingerprint_of(text: str | None, words: int) -> int:
-    """64-bit SimHash over shingles of ``words`` words, repeats included; 0 without words.
-
-    A bit is 1 if it is set in over half of the shingle hashes (XXH64, seed 42).
-    """
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """XXH64 (seed 42) of every shingle of ``words`` words, in order; of fewer words, the sequence."""
     tokens = utf8(text).lower().split()
     if not tokens:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(tokens) - words + 1)
     last = ends[min(words, len(tokens)) - 1 :]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
+    return np.fromiter(
         (digest(joined[a:b], 42) for a, b in zip(starts[:n].tolist(), last.tolist())), np.uint64, n
     )
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """64-bit SimHash of shingle hashes: a bit is 1 if it is set in over half of them; 0 without any."""
+    n = len(hashes)
+    if not n:
+        return 0
     ones = np.zeros(64, np.int64)
     for at in range(0, n, 65536):
         block = hashes[at : at + 65536].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -61,7 +65,7 @@ def fingerprint(text: str | Column, words: int = 3) -> Column:
 
     @F.pandas_udf(LongType())
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint_of(t, words) for t in texts], dtype="int64")
+        return pd.Series([fingerprint_of(shingle_hashes(t, words)) for t in texts], dtype="int64")
 
     return of(text)
 
@@ -157,6 +161,152 @@ def near_duplicates(docs: DataFrame, id: str, text: str, words: int = 3) -> Data
     return prints.join(named, "f").select(F.col("__id").alias(id), "f", "component_id")
 
 
+#: Sampled fingerprints of a text, and shingles in each.
+SAMPLES = 24
+SAMPLED = 3
+SIMILARITY = 0.8
+_MULTIPLIERS = np.random.default_rng(9).integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(
+    2
+) + np.uint64(1)
+
+
+def sampled_fingerprints(hashes: np.ndarray) -> np.ndarray:
+    """SimHashes of ``SAMPLES`` samples of three shingles, each the least under an order of its own.
+
+    Texts of Jaccard similarity 0.8 draw the same three shingles in about half of the samples.
+    """
+    distinct = np.unique(hashes)
+    if not len(distinct):
+        return np.zeros(SAMPLES, np.int64)
+    if len(distinct) < SAMPLED:
+        distinct = np.resize(distinct, SAMPLED)
+    low = np.empty((SAMPLES, SAMPLED), np.uint64)
+    for i, multiplier in enumerate(_MULTIPLIERS):
+        order = distinct * multiplier
+        order ^= order >> np.uint64(32)
+        low[i] = np.sort(np.partition(order, SAMPLED - 1)[:SAMPLED])
+    a, b, c = low.T
+    return ((a & b) | (a & c) | (b & c)).view(np.int64)
+
+
+def candidates(classes: DataFrame) -> DataFrame:
+    """Pairs ``u``, ``v`` of nodes that share a sampled fingerprint.
+
+    ``classes`` has ``node``, ``f`` (fingerprint of the whole text) and ``samples``. In a cell of at most
+    ``CELL`` nodes all pairs are candidates. A fuller cell is a family of copies: all of it is paired with
+    its hub, the node nearest to the bitwise majority of the cell's fingerprints.
+    """
+    cells = stored(
+        classes.select("node", "f", F.posexplode("samples").alias("p", "cell")), "sample-cells"
+    )
+    sizes = cells.groupBy("p", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stored(cells.join(sizes, ["p", "cell"]), "shared-samples")
+    members = (
+        shared.where(F.col("n") <= CELL).groupBy("p", "cell").agg(F.collect_list("node").alias("ns"))
+    )
+    pairs = members.select("ns", F.explode("ns").alias("u")).select("u", F.explode("ns").alias("v"))
+    full = shared.where(F.col("n") > CELL)
+    bit = [F.shiftrightunsigned("f", i).bitwiseAND(F.lit(1)) for i in range(64)]
+    middle = full.groupBy("p", "cell").agg(*[F.avg(b).alias(f"b{i}") for i, b in enumerate(bit)])
+    apart = sum(
+        (F.when((F.col(f"b{i}") > 0.5) != (b == 1), 1).otherwise(0) for i, b in enumerate(bit)),
+        F.lit(0),
+    )
+    hubs = (
+        full.join(middle, ["p", "cell"])
+        .select("p", "cell", "node", apart.alias("apart"))
+        .groupBy("p", "cell")
+        .agg(F.min(F.struct("apart", "node")).alias("hub"))
+        .select("p", "cell", F.col("hub.node").alias("hub"))
+    )
+    spokes = full.join(hubs, ["p", "cell"]).select(
+        F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")
+    )
+    return pairs.union(spokes).where("u < v").distinct()
+
+
+def near_copies(
+    docs: DataFrame, id: str, text: str, words: int = 5, similarity: float = SIMILARITY
+) -> DataFrame:
+    """Groups of texts with equal or nearly equal shingle sets: ``id``, ``k1``, ``k2`` and ``component_id``.
+
+    For copies whose SimHashes differ in many bits: candidates share one of several SimHashes of sampled
+    shingles, and count as links if the Jaccard similarity of their whole sets of ``words``-word
+    shingles is at least ``similarity``. One row for each different pair of id and text; ``k1`` and ``k2`` stand for the text.
+    ``component_id`` is the least id of a group. Null and empty texts are equal to each other; a
+    null id is named only if its group has no other; an empty table gives an empty one.
+    """
+
+    @F.pandas_udf("f long, samples array<long>")
+    def prints(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t in texts:
+            hashes = shingle_hashes(t, words)
+            rows.append((fingerprint_of(np.unique(hashes)), sampled_fingerprints(hashes)))
+        return pd.DataFrame(rows, columns=["f", "samples"])
+
+    @F.pandas_udf("array<long>")
+    def shingles(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingle_hashes(t, words)).view(np.int64) for t in texts])
+
+    body = F.coalesce(F.col(text), F.lit(""))
+    keyed = docs.select(
+        F.col(id).alias("__id"),
+        F.xxhash64(body).alias("k1"),
+        F.xxhash64(F.lit("second"), body).alias("k2"),
+        body.alias("__text"),
+    )
+    printed = stored(keyed.withColumn("s", prints("__text")).select("__id", "k1", "k2", "s.*"), "prints")
+    classes = printed.groupBy("k1", "k2").agg(
+        F.min("__id").alias("least"), F.min("f").alias("f"), F.min("samples").alias("samples")
+    )
+    classes = stored(classes.withColumn("node", F.struct("least", "k1", "k2")), "text-classes")
+    pairs = stored(candidates(classes), "sample-pairs")
+    ends = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+    sets = (
+        keyed.join(ends.select("node", "node.k1", "node.k2"), ["k1", "k2"])
+        .where(F.col("__id").eqNullSafe(F.col("node.least")))
+        .select("node", shingles("__text").alias("set"))
+        .distinct()
+    )
+    sets = stored(sets, "shingle-sets")
+    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("set").alias("a")), "u").join(
+        sets.select(F.col("node").alias("v"), F.col("set").alias("b")), "v"
+    )
+    shared = F.size(F.array_intersect("a", "b"))
+    close = both.where(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("u", "v")
+    reached = components(close)
+    named = classes.join(reached, "node", "left").select(
+        "k1", "k2", F.coalesce("component", "node")["least"].alias("component_id")
+    )
+    ids = printed.select("__id", "k1", "k2").distinct()
+    return ids.join(named, ["k1", "k2"]).select(F.col("__id").alias(id), "k1", "k2", "component_id")
+
+
+def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of :func:`near_copies`: that of the least id, and of its rows the one with the least text key.
+
+    All columns are kept. Of repeated rows one stays.
+    """
+    groups = near_copies(docs, id, text)
+    kept = (
+        groups.where(F.col(id).eqNullSafe(F.col("component_id")))
+        .groupBy(id)
+        .agg(F.min(F.struct("k1", "k2")).alias("__k"))
+        .select(F.col(id).alias("__id"), F.col("__k.k1").alias("__k1"), F.col("__k.k2").alias("__k2"))
+    )
+    kept = stored(kept, "kept-documents")
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.join(
+        kept,
+        F.col(id).eqNullSafe(F.col("__id"))
+        & (F.xxhash64(body) == F.col("__k1"))
+        & (F.xxhash64(F.lit("second"), body) == F.col("__k2")),
+        "left_semi",
+    )
+    return rows.dropDuplicates([id])
+
+
 def op9_simhash_components(spark, sf_dir):
     """Fingerprint and component of every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
