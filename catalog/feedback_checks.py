@@ -101,6 +101,30 @@ def evaluate_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feedback.evaluate_matched(_matched(spark, sf_dir), [KEY])
 
 
+# One score lies between the threshold and what rounding to four decimals would make of it.
+OFF_GRID = "0.49996 + doc_id / 1e12"
+
+
+@query(
+    "i04_off_grid_scores",
+    f"""WITH {PREDICTIONS_CTE} SELECT count(*) AS sample_size, cast(0 as bigint) AS tp, sum(observed_churn) AS fn FROM predictions JOIN late USING (doc_id)""",
+)
+def off_grid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores just below the threshold stay below it: they are compared as stored."""
+    rows = _matched(spark, sf_dir).withColumn("churn_probability", F.expr(OFF_GRID))
+    return feedback.evaluate_matched(rows, [KEY]).select("sample_size", "tp", "fn")
+
+
+@query(
+    "i04_matched_calibration",
+    f"""WITH {PREDICTIONS_CTE}, m AS (SELECT churn_probability AS p, observed_churn AS y FROM predictions JOIN late USING (doc_id)),
+b AS (SELECT *, {' + '.join(f'cast(p > {i} * (1.0::double / 10) as int)' for i in range(1, 10))} AS bin FROM m)
+SELECT bin, round(sum(y) / count(*), 4) AS prob_true, round(avg(p), 4) AS prob_pred, count(*) AS bin_count FROM b GROUP BY bin""",
+)
+def matched_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feedback.matched_calibration(_matched(spark, sf_dir))
+
+
 # --- campaign on the snapshot -----------------------------------------------------
 
 ARM_SQL = "CASE WHEN substr(md5(\"customerID\"), 1, 1) < '8' THEN ' Treated' ELSE 'HOLDOUT ' END"
@@ -173,7 +197,12 @@ DECISION_SQL = """SELECT (degraded OR (drifted AND miscalibrated)) AS retrain_re
   0.05::double AS pr_auc_drop_threshold, round(brier_score, 4) AS brier_score, 0.2::double AS brier_score_max, round(max_psi, 4) AS max_psi,
   0.25::double AS psi_alert_threshold, round(match_rate, 4) AS match_rate, 0.8::double AS min_match_rate,
   concat_ws('|', CASE WHEN degraded THEN 'PR_AUC_DEGRADATION' END, CASE WHEN miscalibrated THEN 'CALIBRATION_DEGRADATION' END,
-    CASE WHEN drifted THEN 'FEATURE_DRIFT_ALERT' END, CASE WHEN match_rate < 0.8 THEN 'DATA_QUALITY_ALERT' END) AS triggers_fired
+    CASE WHEN drifted THEN 'FEATURE_DRIFT_ALERT' END, CASE WHEN match_rate < 0.8 THEN 'DATA_QUALITY_ALERT' END) AS triggers_fired,
+  drifted_features,
+  round(CASE WHEN degraded THEN round(0.6437::double - pr_auc, 4) ELSE 0 END + CASE WHEN miscalibrated THEN round(brier_score, 4) ELSE 0 END
+    + CASE WHEN drifted THEN round(max_psi, 4) ELSE 0 END + CASE WHEN match_rate < 0.8 THEN round(match_rate, 4) ELSE 0 END, 4)::double AS observed_sum,
+  round(CASE WHEN degraded THEN 0.05 ELSE 0 END + CASE WHEN miscalibrated THEN 0.2 ELSE 0 END + CASE WHEN drifted THEN 0.25 ELSE 0 END
+    + CASE WHEN match_rate < 0.8 THEN 0.8 ELSE 0 END, 4)::double AS limit_sum
 FROM (SELECT *, 0.6437::double - pr_auc > 0.05 AS degraded, brier_score > 0.2 AS miscalibrated,
   max_psi >= 0.25 OR drifted_features_count > 0 AS drifted FROM evaluation, statistics, drift) x"""
 
@@ -184,7 +213,18 @@ def _drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _shown(decision: DataFrame) -> DataFrame:
-    return decision.withColumn("triggers_fired", F.array_join("triggers_fired", "|"))
+    """Lists as text, and what the reasons say as sums."""
+    def total(field: str):
+        return F.round(F.aggregate("reasons", F.lit(0.0), lambda sum, r: sum + r[field]), 4)
+
+    return decision.withColumns(
+        {
+            "triggers_fired": F.array_join("triggers_fired", "|"),
+            "drifted_features": F.array_join("drifted_features", "|"),
+            "observed_sum": total("observed"),
+            "limit_sum": total("limit"),
+        }
+    ).drop("reasons")
 
 
 @query(

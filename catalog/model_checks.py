@@ -30,8 +30,6 @@ from riskspark.session import new_scratch_path
 NUMERIC = preprocessing.NUMERIC_FEATURES
 CATEGORICAL = preprocessing.CATEGORICAL_FEATURES
 KEY = "customerID"
-# Fewer rounds than the published model keep a query short; the model default is unchanged.
-SHORT_BOOSTING = {"n_estimators": 10}
 
 
 def split_sql(source: str, stratum: str, seed_hash: str) -> str:
@@ -161,7 +159,7 @@ def logistic_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("f07_gradient_boosting")
 def gradient_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = training.ModelSpec("candidate_gradient_boosting", "GradientBoosting", SHORT_BOOSTING)
+    spec = training.ModelSpec("candidate_gradient_boosting", "GradientBoosting")
     trained = _trained(spark, sf_dir, spec)
     return training.predict(trained.model, trained.rows).select(
         KEY, "split", "churn_prediction", "churn_probability"
@@ -170,7 +168,7 @@ def gradient_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("f08_histogram_boosting")
 def histogram_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = training.ModelSpec("candidate_histogram", "HistGradientBoosting", SHORT_BOOSTING)
+    spec = training.ModelSpec("candidate_histogram", "HistGradientBoosting")
     trained = _trained(spark, sf_dir, spec)
     return training.accuracy_by_split(trained.model, trained.rows, spec)
 
@@ -191,7 +189,7 @@ def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("f11_feature_importance")
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Longest bars of the importance chart of a boosted model."""
-    spec = training.ModelSpec("candidate_gradient_boosting", "GradientBoosting", SHORT_BOOSTING)
+    spec = training.ModelSpec("candidate_gradient_boosting", "GradientBoosting")
     trained = _trained(spark, sf_dir, spec)
     return training.importance_bars(training.feature_importance(trained.model, trained.rows))
 
@@ -265,6 +263,6 @@ def trained_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     selection = run_selection(
         typed(snapshot(spark, sf_dir), CUSTOMER_CONTRACT),
         training.ModelSpec(),
-        training.ModelSpec("candidate_gradient_boosting", "GradientBoosting", SHORT_BOOSTING),
+        training.ModelSpec("candidate_gradient_boosting", "GradientBoosting"),
     )
     return selection.comparison

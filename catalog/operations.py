@@ -26,7 +26,7 @@ from riskspark.models.scoring import score_batch
 from riskspark.operators import drift, monitoring, quality
 from riskspark.operators.contract import CUSTOMER_CONTRACT, validation_errors, validation_report
 from riskspark.session import new_scratch_path
-from riskspark.sources.manifest import source_manifest
+from riskspark.sources.manifest import file_checksums, source_manifest
 from riskspark.sources.sinks import quarantine_batch, write_report, write_scored
 from riskspark.sources.tables import as_table, load_scoring_batch, load_training_table, read_table
 
@@ -145,7 +145,7 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "b11_redact_json",
-    """SELECT event_id, concat('{"Name":"[REDACTED]","k":"', json_extract_string(props, '$.k'), '"}') AS payload_text FROM events""",
+    """SELECT event_id, concat('{"Name":"[REDACTED]","k":', json_extract(props, '$.k'), '}') AS payload_text FROM events""",
 )
 def redact_json_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event properties with an added name, masked inside the JSON text."""
@@ -153,6 +153,42 @@ def redact_json_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", redact_json(named).alias("payload_text"))
 
 
+@query(
+    "b11_redact_nested_json",
+    """SELECT event_id, concat('{"a":{"email":"[REDACTED]","n":', event_id, '},"list":[{"Address":"[REDACTED]","t":"', event_type, '"},1.5,null,true],"payload":"[REDACTED]"}') AS payload_text FROM events""",
+)
+def redact_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensitive keys inside objects, arrays and above whole objects; other values keep their types."""
+    text = F.format_string(
+        '{"a": {"email": "x@y", "n": %d}, "list": [{"Address": 7, "t": "%s"}, 1.5, null, true], "payload": {"k": [1]}}',
+        "event_id",
+        "event_type",
+    )
+    return table(spark, sf_dir, "events").select("event_id", redact_json(text).alias("payload_text"))
+
+
+@query(
+    "b11_redact_typed_maps",
+    """SELECT c_custkey, '[REDACTED]' AS number_masked, cast(c_nationkey as varchar) AS number_kept, '[REDACTED]' AS struct_masked,
+  concat('{"segment":"', c_mktsegment, '","email":"[REDACTED]"}') AS struct_kept FROM customer""",
+)
+def redact_typed_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maps whose values are numbers or structs are masked by key as well."""
+    inner = F.struct(F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("email"))
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.create_map(F.lit("customer_id"), F.col("c_nationkey"), F.lit("k"), F.col("c_nationkey")).alias("numbers"),
+        F.create_map(F.lit("Email"), inner, F.lit("k"), inner).alias("structs"),
+    )
+    return redact_columns(rows).select(
+        "c_custkey",
+        F.col("numbers.customer_id").alias("number_masked"),
+        F.col("numbers.k").alias("number_kept"),
+        F.col("structs.Email").alias("struct_masked"),
+        F.col("structs.k").alias("struct_kept"),
+    )
+
+
 @query(
     "b11_redact_columns",
     """SELECT c_custkey, '[REDACTED]' AS "Gender", c_mktsegment AS inner_segment, '[REDACTED]' AS inner_email,
@@ -198,9 +234,9 @@ def read_training_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_training_table(spark, path, CUSTOMER_CONTRACT)
 
 
-@query("a02_read_scoring_csv", f'WITH {RAW_CTE} SELECT * EXCLUDE ("Churn") FROM raw')
+@query("a02_read_scoring_csv", f"WITH {RAW_CTE} SELECT * FROM raw")
 def read_scoring_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw batch through CSV keeps its defects as text."""
+    """The raw batch through CSV keeps its defects, and its target column, as text."""
     path = _as_csv(raw_snapshot(spark, sf_dir), spark, "batch")
     return load_scoring_batch(spark, path, CUSTOMER_CONTRACT)
 
@@ -261,3 +297,20 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("row_count").alias("row_count"),
         F.min(F.length("file_sha256") == 64).alias("all_hashed"),
     )
+
+
+_DELIVERY = "SELECT sha256(string_agg(cast(o_orderkey as varchar), chr(10) ORDER BY o_orderkey) || chr(10)) AS file_sha256, sum(length(cast(o_orderkey as varchar)) + 1) AS file_bytes FROM orders"
+
+
+@query(
+    "a07_file_checksums",
+    f"WITH d AS ({_DELIVERY}) SELECT how, file_sha256, cast(file_bytes as bigint) AS file_bytes FROM d, (VALUES ('whole'), ('blocks')) v(how)",
+)
+def checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SHA-256 of one delivered file, as one value and block by block."""
+    path = new_scratch_path(spark, "checksums")
+    ordered = table(spark, sf_dir, "orders").select("o_orderkey").coalesce(1).sortWithinPartitions("o_orderkey")
+    ordered.select(F.col("o_orderkey").cast("string").alias("value")).write.text(path)
+    whole = file_checksums(spark, f"{path}/*.txt").withColumn("how", F.lit("whole"))
+    blocks = file_checksums(spark, f"{path}/*.txt", whole_bytes=0).withColumn("how", F.lit("blocks"))
+    return whole.unionByName(blocks).select("how", "file_sha256", "file_bytes")

@@ -13,16 +13,27 @@ POSITIVE_OUTCOME_WORDS = ("yes", "1", "true", "churn")
 TREATMENT_WORDS = ("treatment", "treated", "1", "true", "targeted")
 CONTROL_WORDS = ("control", "holdout", "0", "false", "untargeted")
 OUTCOME_COLUMNS = ("observed_churn", "Churn", "churn", "target")
+# Every character that counts as white space, not only the blank.
+BLANKS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    + "".join(map(chr, range(0x2000, 0x200B)))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def stripped(text: Column) -> Column:
+    """Text without white space at both ends."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def is_numeral(text: Column) -> Column:
     """True for decimal number text; type suffixes such as ``1.0d`` are not numbers."""
-    return F.trim(text).rlike(NUMERAL_PATTERN)
+    return stripped(text).rlike(NUMERAL_PATTERN)
 
 
 def to_number(text: Column) -> Column:
     """Number text to double; anything else becomes null without failing the job."""
-    trimmed = F.trim(text.cast("string"))
+    trimmed = stripped(text.cast("string"))
     return F.when(
         trimmed.rlike(NUMERAL_PATTERN),
         F.regexp_replace(trimmed, "_", "").try_cast("double"),
@@ -36,7 +47,7 @@ def charge_value(text: Column) -> Column:
 
 def charge_is_bad(text: Column) -> Column:
     """True where charge text is neither blank nor a number (an error, not a missing value)."""
-    trimmed = F.trim(text.cast("string"))
+    trimmed = stripped(text.cast("string"))
     return F.coalesce((trimmed != "") & ~trimmed.rlike(NUMERAL_PATTERN), F.lit(False))
 
 
@@ -49,7 +60,7 @@ def binary_outcome(column: Column, data_type: str) -> Column:
     """Observed outcome to 0/1: words for text columns, truncation for numbers."""
     if data_type == "string":
         return F.coalesce(
-            F.lower(F.trim(column)).isin(*POSITIVE_OUTCOME_WORDS).cast("int"), F.lit(0)
+            F.lower(stripped(column)).isin(*POSITIVE_OUTCOME_WORDS).cast("int"), F.lit(0)
         )
     return column.cast("int")
 
@@ -64,7 +75,7 @@ def outcome_column(columns: Sequence[str]) -> str:
 
 def treatment_arm(column: Column) -> Column:
     """'treatment', 'control', or null for any other text."""
-    word = F.lower(F.trim(column.cast("string")))
+    word = F.lower(stripped(column.cast("string")))
     return F.when(word.isin(*TREATMENT_WORDS), F.lit("treatment")).when(
         word.isin(*CONTROL_WORDS), F.lit("control")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,13 +38,16 @@ def _clean(value: Column, kind: T.DataType, keys: frozenset[str]) -> Column:
         return F.when(value.isNotNull(), F.struct(*fields))
     if isinstance(kind, T.ArrayType):
         return F.transform(value, lambda item: _clean(item, kind.elementType, keys))
-    if isinstance(kind, T.MapType) and isinstance(kind.valueType, T.StringType):
-        return F.transform_values(
-            value,
-            lambda k, v: F.when(F.lower(k.cast("string")).isin(*keys), F.lit(MASK)).otherwise(v),
-        )
     if isinstance(kind, T.MapType):
-        return F.transform_values(value, lambda k, v: _clean(v, kind.valueType, keys))
+        # A mask is text, so the values of a map become text: plain ones as they print,
+        # nested ones as JSON, each cleaned before.
+        def entry(k: Column, v: Column) -> Column:
+            inner = _clean(v, kind.valueType, keys)
+            nested = isinstance(kind.valueType, (T.StructType, T.ArrayType, T.MapType))
+            shown = F.to_json(inner) if nested else inner.cast("string")
+            return F.when(F.lower(k.cast("string")).isin(*keys), F.lit(MASK)).otherwise(shown)
+
+        return F.transform_values(value, entry)
     return value
 
 
@@ -61,13 +65,33 @@ def redact_columns(df: DataFrame, keys: tuple[str, ...] = SENSITIVE_KEYS) -> Dat
 
 
 def redact_json(text: Column, keys: tuple[str, ...] = SENSITIVE_KEYS) -> Column:
-    """Mask sensitive keys of a flat JSON object held as text.
+    """Mask sensitive keys of JSON text at every depth; all other values keep their types.
 
-    Values come back as JSON strings. Text that is no JSON object gives null
-    rather than passing through unseen.
+    Built-in functions cannot walk JSON of unknown depth, so this is a Pandas UDF. Text that is
+    no JSON object or array gives null rather than passing through unseen.
     """
-    parsed = F.from_json(text, "map<string,string>")
-    masked = F.transform_values(
-        parsed, lambda k, v: F.when(F.lower(k).isin(*[x.lower() for x in keys]), F.lit(MASK)).otherwise(v)
-    )
-    return F.to_json(masked)
+    names, mask = frozenset(k.lower() for k in keys), MASK
+
+    @F.pandas_udf("string")
+    def masked(batch: pd.Series) -> pd.Series:
+        import json
+
+        import pandas
+
+        def walk(value):
+            if isinstance(value, dict):
+                return {k: mask if k.lower() in names else walk(v) for k, v in value.items()}
+            return [walk(v) for v in value] if isinstance(value, list) else value
+
+        def one(cell):
+            try:
+                value = json.loads(cell)
+            except (TypeError, ValueError, RecursionError):
+                return None
+            if not isinstance(value, (dict, list)):
+                return None
+            return json.dumps(walk(value), ensure_ascii=False, separators=(",", ":"))
+
+        return pandas.Series([one(cell) for cell in batch], dtype="object")
+
+    return masked(text)

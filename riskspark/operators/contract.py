@@ -1,9 +1,9 @@
 """Data contract checks at table scale.
 
 All row-level checks run in one map-only pass that turns each failing (row,
-check) into a violation row; counts and samples come from one small aggregation
-of those. Only the two duplicate checks need a shuffle of their own, and they
-shuffle ids with a 32-byte row digest, never whole rows.
+check) into a violation row; these are counted once and the counts written, and
+errors, samples and report read the counts. The two duplicate checks take a second
+pass, which shuffles ids with a row digest, never whole rows.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.functions.parsing import NUMERAL_PATTERN
+from riskspark.functions.parsing import BLANKS, NUMERAL_PATTERN
 from riskspark.operators.distribution import side_by_side
+from riskspark.session import written
 
 SAMPLE_SIZE = 5
 
@@ -124,12 +125,17 @@ def _text(value: object) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _stripped(text: str) -> str:
+    """SQL text of a value without white space at both ends."""
+    return f"btrim({text}, {_text(BLANKS)})"
+
+
 def _is_text(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, (T.StringType, T.VarcharType, T.CharType))
 
 
 def _is_number(column: str) -> str:
-    return f"trim({_name(column)}) RLIKE r'{NUMERAL_PATTERN}'"
+    return f"{_stripped(_name(column))} RLIKE r'{NUMERAL_PATTERN}'"
 
 
 def _number(df: DataFrame, column: str, integer: bool = False) -> str:
@@ -138,10 +144,10 @@ def _number(df: DataFrame, column: str, integer: bool = False) -> str:
     if not _is_text(df, column):
         return name
     if integer:
-        return f"try_cast(trim({name}) AS int)"
+        return f"try_cast({_stripped(name)} AS int)"
     return (
         f"CASE WHEN {_is_number(column)} "
-        f"THEN try_cast(replace(trim({name}), '_', '') AS double) END"
+        f"THEN try_cast(replace({_stripped(name)}, '_', '') AS double) END"
     )
 
 
@@ -177,9 +183,9 @@ def row_checks(df: DataFrame, contract: Contract, training: bool = True) -> list
     key = contract.primary_key
     if key in df.columns:
         text = f"CAST({_name(key)} AS string)"
-        add("null_primary_key", key, f"{text} IS NULL OR trim({text}) = ''", text, per_row=False)
+        add("null_primary_key", key, f"{text} IS NULL OR {_stripped(text)} = ''", text, per_row=False)
         add("not_nullable", key, f"{text} IS NULL", text)
-        add("non_blank_id", key, f"trim({text}) = ''", text)
+        add("non_blank_id", key, f"{_stripped(text)} = ''", text)
 
     domains: dict[str, tuple] = dict(contract.categorical)
     if contract.target and contract.target in df.columns:
@@ -203,7 +209,7 @@ def row_checks(df: DataFrame, contract: Contract, training: bool = True) -> list
         value, name = _number(df, column, rule.integer), _name(column)
         if _is_text(df, column):
             if rule.lenient_text:
-                bad_text = f"trim({name}) <> '' AND NOT {_is_number(column)}"
+                bad_text = f"{_stripped(name)} <> '' AND NOT {_is_number(column)}"
                 add("invalid_type_conversion", column, bad_text, name)
             else:
                 add("dtype", column, f"{name} IS NOT NULL AND {value} IS NULL", name)
@@ -293,13 +299,34 @@ def check_counts(df: DataFrame, contract: Contract, training: bool = True) -> Da
     )
 
 
+# Times are written to the microsecond and nulls by name, so different rows have different text.
+DIGEST_FORM = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "ignoreNullFields": "false",
+}
+
+
+def _plain(df: DataFrame, column: str) -> Column:
+    """A column as the row digest sees it: both zeros are one number."""
+    value = F.col(_name(column))
+    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
+        value = F.when(value == 0, F.lit(0.0)).otherwise(value)
+    return value.alias(column)
+
+
+def written_counts(df: DataFrame, contract: Contract, training: bool = True) -> DataFrame:
+    """The check counts, written once: errors, samples and report read them without the table."""
+    return written(check_counts(df, contract, training), "check-counts")
+
+
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     """Per key: rows ``n`` and extra whole-row copies ``extra`` (null is a key of its own).
 
     Two aggregations with map-side combine, so neither a key nor a row that makes
     up a third of the table lands whole on one task.
     """
-    digest = F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256)
+    digest = F.sha2(F.to_json(F.struct(*[_plain(df, c) for c in df.columns]), DIGEST_FORM), 256)
     return (
         df.select(F.col(key).cast("string").alias("key"), digest.alias("_digest"))
         .groupBy("key", "_digest")
@@ -349,7 +376,7 @@ def validation_errors(
     ``error_records`` is how many entries the check adds to an error list that has
     one entry per failing value, or one per table for the table-level checks.
     """
-    counts = check_counts(df, contract, training) if counts is None else counts
+    counts = written_counts(df, contract, training) if counts is None else counts
     found = counts.filter(F.col("check_type").isNotNull())
     totals = found.groupBy("check_type", "column", "per_row").agg(F.sum("n").alias("invalid_count"))
     first = Window.partitionBy("check_type", "column").orderBy("value")
@@ -372,8 +399,9 @@ def validation_errors(
 
     key = contract.primary_key
     if key in df.columns:
+        # Keys that stand alone have no say below; the others are few and read three times.
         keys = key_counts(df, key) if keys is None else keys
-        repeated = keys.filter(F.col("n") > 1)
+        repeated = written(keys.filter(F.col("n") > 1), "repeated-keys")
         first_keys = repeated.orderBy("key").limit(SAMPLE_SIZE).agg(
             F.array_sort(F.collect_list("key")).alias("sample_invalid_values")
         )
@@ -391,7 +419,7 @@ def validation_errors(
         listed = listed.unionByName(dup_keys)
         if not contract.allow_duplicate_rows:
             dup_rows = (
-                keys.agg(F.sum("extra").alias("invalid_count"))
+                repeated.agg(F.sum("extra").alias("invalid_count"))
                 .filter(F.col("invalid_count") > 0)
                 .select(
                     F.lit("duplicate_rows").alias("check_type"),
@@ -425,7 +453,7 @@ def validation_report(
     ``valid_rows`` is the table size less the number of error records (never below
     zero); ``clean_rows`` counts the rows without any row-level violation.
     """
-    counts = check_counts(df, contract, training) if counts is None else counts
+    counts = written_counts(df, contract, training) if counts is None else counts
     errors = validation_errors(df, contract, training, counts) if errors is None else errors
     none = F.lit(0).cast("bigint")
     sized = counts.select(
@@ -471,11 +499,11 @@ def validate(
     df: DataFrame, contract: Contract, training: bool = True, raise_on_error: bool = True
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Typed rows, one-row report and error list; raises on request when anything failed."""
-    counts = check_counts(df, contract, training)
-    errors = validation_errors(df, contract, training, counts)
+    counts = written_counts(df, contract, training)
+    errors = written(validation_errors(df, contract, training, counts), "validation-errors")
     report = validation_report(df, contract, training, errors, counts)
     if raise_on_error:
-        require_valid(report)
+        require_valid(report, errors)
     return typed(df, contract, training), report, errors
 
 
@@ -486,8 +514,20 @@ def validate_scoring_batch(
     return validate(df, contract, training=False, raise_on_error=raise_on_error)
 
 
-def require_valid(report: DataFrame) -> None:
-    """The whole-batch gate: read the one-row report and raise unless it is valid."""
+def require_valid(report: DataFrame, errors: DataFrame | None = None) -> None:
+    """The whole-batch gate: read the one-row report and raise unless it is valid.
+
+    With the error list the message also names the first error, by column and check.
+    """
     row = report.first().asDict()
-    if not row["is_valid"]:
-        raise ContractViolation(f"data validation failed: {row['summary']}", row)
+    if row["is_valid"]:
+        return
+    message = f"data validation failed: {row['summary']}"
+    if errors is not None:
+        order = [F.col("column").asc_nulls_first(), "check_type"]
+        first = errors.orderBy(*order).first()
+        message += (
+            f"\nfirst error: {first['check_type']} on column '{first['column']}', "
+            f"{first['invalid_count']} value(s), such as {list(first['sample_invalid_values'])}"
+        )
+    raise ContractViolation(message, row)

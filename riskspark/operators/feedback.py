@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskspark.functions.parsing import binary_outcome, outcome_column
 from riskspark.functions.rounding import round4, share
+from riskspark.operators.calibration import calibration_uniform
 from riskspark.operators.capacity import capacity_metrics
 from riskspark.operators.classification import binary_metrics
 from riskspark.operators.distribution import side_by_side
@@ -16,7 +17,6 @@ from riskspark.operators.scores import score_table
 
 SCORE_COLUMN = "churn_probability"
 OUTCOME = "observed_churn"
-STORED_DECIMALS = 4
 
 
 def keep_last(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -101,20 +101,28 @@ def evaluate_matched(
     fraction: float = 0.10,
     score: str = SCORE_COLUMN,
     outcome: str = OUTCOME,
+    decimals: int | None = None,
 ) -> DataFrame:
     """One row: prevalence, binary metrics and capacity metrics of matched predictions.
 
-    Stored probabilities carry four decimals, so the score histogram stays small.
-    Calibration points come from ``calibration_uniform`` on the same score table.
+    Scores are compared as stored. ``decimals`` says that they lie on a grid of so many
+    decimals, which keeps the histogram small. ``matched_calibration`` has the calibration points.
     """
     for column in (score, outcome):
         if column not in matched.columns:
             raise ValueError(f"matched rows lack the column '{column}'")
-    table = score_table(matched, outcome, score, decimals=STORED_DECIMALS)
+    table = score_table(matched, outcome, score, decimals=decimals)
     size = matched.agg(
         F.count(F.lit(1)).alias("sample_size"),
         round4(F.avg(outcome)).alias("observed_churn_prevalence"),
     )
     metrics = binary_metrics(table, threshold)
-    capacity = capacity_metrics(matched, fraction, ids, outcome, score, decimals=STORED_DECIMALS)
+    capacity = capacity_metrics(matched, fraction, ids, outcome, score, decimals=decimals)
     return side_by_side(size, metrics, capacity)
+
+
+def matched_calibration(
+    matched: DataFrame, n_bins: int = 10, score: str = SCORE_COLUMN, outcome: str = OUTCOME
+) -> DataFrame:
+    """Calibration points of matched predictions over equal-width bins."""
+    return calibration_uniform(score_table(matched, outcome, score), n_bins)

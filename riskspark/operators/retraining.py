@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions.rounding import round4
@@ -35,14 +35,21 @@ def retraining_decision(
     """
     parts = [evaluation.select("pr_auc", "brier_score")]
     if drift is not None:
-        parts.append(drift.select("max_psi", "drifted_features_count"))
+        names = F.col("drifted_features") if "drifted_features" in drift.columns else F.array()
+        parts.append(
+            drift.select(
+                "max_psi",
+                "drifted_features_count",
+                names.cast("array<string>").alias("drifted_features"),
+            )
+        )
     if matching is not None:
         parts.append(matching.select("match_rate"))
     row = side_by_side(*parts)
     if drift is None:
         row = row.withColumn("max_psi", F.lit(0.0)).withColumn(
             "drifted_features_count", F.lit(0).cast("bigint")
-        )
+        ).withColumn("drifted_features", F.array().cast("array<string>"))
     if matching is None:
         row = row.withColumn("match_rate", F.lit(1.0))
 
@@ -61,6 +68,25 @@ def retraining_decision(
             F.when(unmatched, F.lit("DATA_QUALITY_ALERT")),
         )
     )
+    # What each fired trigger saw and the limit it compared with, in the order of the triggers.
+    def reason(fired: Column, code: str, seen: Column, limit: float) -> Column:
+        return F.when(
+            fired,
+            F.struct(
+                F.lit(code).alias("trigger"),
+                round4(seen).alias("observed"),
+                F.lit(float(limit)).alias("limit"),
+            ),
+        )
+
+    reasons = F.array_compact(
+        F.array(
+            reason(degraded, "PR_AUC_DEGRADATION", baseline - current, policy.pr_auc_drop),
+            reason(miscalibrated, "CALIBRATION_DEGRADATION", brier, policy.brier_max),
+            reason(drifted, "FEATURE_DRIFT_ALERT", F.col("max_psi"), policy.psi_alert),
+            reason(unmatched, "DATA_QUALITY_ALERT", F.col("match_rate"), policy.min_match_rate),
+        )
+    )
     advise = degraded | (drifted & miscalibrated)
     return row.select(
         advise.alias("retrain_recommended"),
@@ -78,4 +104,6 @@ def retraining_decision(
         round4(F.col("match_rate")).alias("match_rate"),
         F.lit(float(policy.min_match_rate)).alias("min_match_rate"),
         triggers.alias("triggers_fired"),
+        reasons.alias("reasons"),
+        F.col("drifted_features"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.operators.distribution import running_totals, side_by_side
@@ -63,6 +63,23 @@ class ScoreTable:
         return frame.drop(SCOPE) if self.keys == (SCOPE,) else frame
 
 
+def usable(label: str, score: str) -> Column:
+    """The rule for rows of a score table: both label and score are known.
+
+    Rows without one of them are left out of every metric; ``skipped_rows`` counts them.
+    """
+    value = F.col(score).cast("double")
+    return F.col(label).isNotNull() & value.isNotNull() & ~F.isnan(value)
+
+
+def skipped_rows(df: DataFrame, label: str = "y_true", score: str = "y_prob") -> DataFrame:
+    """One row: ``rows`` of the table and how many are ``skipped`` for a missing label or score."""
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(~usable(label, score), 1)).alias("skipped"),
+    )
+
+
 def score_table(
     df: DataFrame,
     label: str = "y_true",
@@ -70,12 +87,12 @@ def score_table(
     keys: Sequence[str] = (),
     decimals: int | None = None,
 ) -> ScoreTable:
-    """Score rows of ``df``; rows with a null key are left out, as in a group-by."""
+    """Score rows of ``df``; rows that are not :func:`usable` or have a null key are left out."""
     keys = tuple(keys)
     value = F.col(score).cast("double")
     if decimals is not None:
         value = F.round(value, decimals)
-    frame = df.select(
+    frame = df.where(usable(label, score)).select(
         *(keys or [F.lit("all").alias(SCOPE)]),
         value.alias("score"),
         F.lit(1).cast("bigint").alias("n"),
@@ -96,13 +113,15 @@ def score_cells(
 ) -> DataFrame:
     """Rows counted per combination of keys, dimensions and score.
 
-    Both the score histogram and the per-dimension tables can be read from it.
+    Both the score histogram and the per-dimension tables can be read from it. Rows that
+    are not :func:`usable` are left out.
     """
     value = F.col(score).cast("double")
     if decimals is not None:
         value = F.round(value, decimals)
     return (
-        df.select(
+        df.where(usable(label, score))
+        .select(
             *keys,
             *[F.col(d).cast("string").alias(d) for d in dimensions],
             value.alias("score"),

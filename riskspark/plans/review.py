@@ -8,7 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from riskspark.operators.campaign import campaign_effect
-from riskspark.operators.feedback import evaluate_matched, match_outcomes, match_statistics
+from riskspark.operators.feedback import (
+    evaluate_matched,
+    match_outcomes,
+    match_statistics,
+    matched_calibration,
+)
 from riskspark.operators.retraining import RetrainingPolicy, retraining_decision
 from riskspark.session import written
 
@@ -20,6 +25,7 @@ class Review:
     matched: DataFrame
     statistics: DataFrame
     evaluation: DataFrame
+    calibration: DataFrame
     campaign: DataFrame
     decision: DataFrame
 
@@ -36,6 +42,7 @@ def run_review(
     contact_cost: float = 10.0,
     customer_value: float = 500.0,
     policy: RetrainingPolicy = RetrainingPolicy(),
+    decimals: int | None = None,
 ) -> Review:
     """Predictions and late labels in, advice out. Nothing is trained or triggered.
 
@@ -46,7 +53,9 @@ def run_review(
         match_outcomes(predictions, labels, key, prediction_order, label_order), "matched"
     )
     statistics = written(match_statistics(predictions, labels, matched), "match-statistics")
-    evaluation = written(evaluate_matched(matched, [key], threshold, fraction), "late-evaluation")
+    evaluation = written(evaluate_matched(matched, [key], threshold, fraction, decimals=decimals), "late-evaluation")
     campaign = campaign_effect(matched, contact_cost, customer_value)
     decision = retraining_decision(evaluation, drift, statistics, policy)
-    return Review(matched, statistics, evaluation, campaign, decision)
+    return Review(
+        matched, statistics, evaluation, matched_calibration(matched), campaign, decision
+    )

@@ -14,12 +14,13 @@ from riskspark.operators.contract import (
     CUSTOMER_CONTRACT,
     Contract,
     ContractViolation,
-    check_counts,
     require_valid,
     typed,
     validation_errors,
     validation_report,
+    written_counts,
 )
+from riskspark.session import written
 from riskspark.sources.sinks import quarantine_batch, write_scored
 from riskspark.sources.tables import load_scoring_batch
 
@@ -48,15 +49,15 @@ def run_batch_scoring(
     """Validate, gate, score, write; returns the written batch as read back.
 
     A batch with any error writes nothing but its quarantine folder and raises.
-    The validation aggregate and the write are the only two passes over the input.
+    Three passes read the input: row checks, duplicate keys, and the write.
     """
     batch_id = batch_id or new_batch_id(job.batch_prefix)
     raw = load_scoring_batch(spark, source, job.contract, fmt)
-    counts = check_counts(raw, job.contract, training=False)
-    errors = validation_errors(raw, job.contract, False, counts)
+    counts = written_counts(raw, job.contract, training=False)
+    errors = written(validation_errors(raw, job.contract, False, counts), "validation-errors")
     report = validation_report(raw, job.contract, False, errors, counts)
     try:
-        require_valid(report)
+        require_valid(report, errors)
     except ContractViolation as failure:
         folder = quarantine_batch(report, errors, raw, job.quarantine, batch_id)
         raise ContractViolation(f"batch '{batch_id}' quarantined under {folder}", failure.report) from failure

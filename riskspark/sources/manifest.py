@@ -4,20 +4,54 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskspark.functions.parsing import stripped
 
-def file_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 and size per file. A file is one row here, so 2 GB is the limit per file."""
+
+# A file up to this size is hashed as one value, a larger one block by block.
+WHOLE_BYTES = 256 << 20
+BLOCK_BYTES = 8 << 20
+
+
+def _streamed_sha256(paths: Column) -> Column:
+    """SHA-256 of files of any size, read in blocks by the tasks that hold their rows."""
+    block = BLOCK_BYTES
+
+    @F.pandas_udf("string")
+    def digest(batch: pd.Series) -> pd.Series:
+        import hashlib
+        import re
+
+        import pandas
+        from pyarrow import fs
+
+        def one(uri: str) -> str:
+            # Spark writes local files with one slash, Arrow wants three.
+            store, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
+            total = hashlib.sha256()
+            with store.open_input_stream(name) as stream:
+                while data := stream.read(block):
+                    total.update(data)
+            return total.hexdigest()
+
+        return pandas.Series([one(uri) for uri in batch])
+
+    return digest(paths)
+
+
+def file_checksums(spark: SparkSession, path: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """SHA-256 and size per file; no file is held whole if it has more than ``whole_bytes``."""
+    files = spark.read.format("binaryFile").load(path)
+    small = files.where(F.col("length") <= whole_bytes)
+    large = files.where(F.col("length") > whole_bytes).select("path", "length")
+    named = [F.col("path").alias("source_path"), "file_sha256", F.col("length").alias("file_bytes")]
     return (
-        spark.read.format("binaryFile")
-        .load(path)
-        .select(
-            F.col("path").alias("source_path"),
-            F.sha2("content", 256).alias("file_sha256"),
-            F.col("length").alias("file_bytes"),
-        )
+        small.withColumn("file_sha256", F.sha2("content", 256))
+        .select(*named)
+        .unionByName(large.withColumn("file_sha256", _streamed_sha256(F.col("path"))).select(*named))
     )
 
 
@@ -28,7 +62,7 @@ def data_line_counts(spark: SparkSession, path: str) -> DataFrame:
     )
     return (
         lines.groupBy("source_path")
-        .agg(F.count(F.when(F.trim("value") != "", 1)).alias("_lines"))
+        .agg(F.count(F.when(stripped(F.col("value")) != "", 1)).alias("_lines"))
         .select("source_path", F.greatest(F.lit(0), F.col("_lines") - 1).alias("row_count"))
     )
 

@@ -10,13 +10,18 @@ from riskspark.operators.contract import Contract, validate
 def read_text_table(spark: SparkSession, path: str) -> DataFrame:
     """CSV with header, every column as text, so type errors can be counted, not thrown.
 
-    Only the header line is looked at up front; only an empty cell means missing.
+    Only the header line is looked at up front; only an empty cell means missing. Quotes
+    inside a quoted cell are doubled. A row with more or fewer cells than the header fails the
+    job, and so does a file of the folder whose header differs: no value is dropped or moved.
     """
     return (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("nullValue", "")
-        .option("mode", "PERMISSIVE")
+        .option("escape", '"')
+        .option("mode", "FAILFAST")
+        .option("columnPruning", False)
+        .option("enforceSchema", False)
         .csv(path)
     )
 
@@ -46,6 +51,9 @@ def load_training_table(
 def load_scoring_batch(
     spark: SparkSession, source: str | DataFrame, contract: Contract, fmt: str = "csv"
 ) -> DataFrame:
-    """Read a scoring batch as is; its target column, if any, is dropped."""
-    rows = as_table(spark, source, fmt)
-    return rows.drop(contract.target) if contract.target else rows
+    """Read a scoring batch as is.
+
+    A target column, which a batch may have, is checked like any other and stays in quarantined
+    rows; typed rows of a batch do not have it.
+    """
+    return as_table(spark, source, fmt)
