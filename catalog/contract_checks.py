@@ -416,3 +416,35 @@ def flag_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot(spark, sf_dir).select(
         "customerID", bands.flag_label(F.col("SeniorCitizen"), "Non-Senior", "Senior").alias("senior")
     )
+
+
+@query(
+    "c01_row_identity",
+    "SELECT count(*) AS duplicate_rows, 3 * count(*) AS total_rows, count(*) AS distinct_keys FROM events",
+)
+def row_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of three rows a key, one differs by a microsecond and one by the sign of a zero: one is a copy."""
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.lit(0.0).alias("amount")
+    )
+    later = rows.withColumn("ts", F.expr("ts + INTERVAL '0.000001' SECOND"))
+    signed = rows.withColumn("amount", F.lit(-0.0))
+    counted = checks.duplicate_counts(rows.union(later).union(signed), "event_id")
+    return counted.select("duplicate_rows", "total_rows", "distinct_keys")
+
+
+@query(
+    "c03_white_space_keys",
+    "SELECT count(*) AS blank_keys, count(*) FILTER (WHERE o_orderkey % 3 = 2) AS bad_numbers FROM orders",
+)
+def white_space_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of any white space are blank; a number among white space is a number, white space alone is missing."""
+    contract = checks.Contract("key", {}, {"amount": checks.NumericRule(nullable=True, lenient_text=True)})
+    blank = F.element_at(F.array(*map(F.lit, ("\t", "\r\n", "\u00a0 "))), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    text = F.element_at(F.array(*map(F.lit, ("\t12.5\r", "\t", "\tx"))), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    rows = table(spark, sf_dir, "orders").select(blank.alias("key"), text.alias("amount"))
+    errors = checks.validation_errors(rows, contract, training=False)
+    return errors.agg(
+        F.sum(F.when(F.col("check_type") == "null_primary_key", F.col("invalid_count"))).alias("blank_keys"),
+        F.sum(F.when(F.col("check_type") == "invalid_type_conversion", F.col("invalid_count"))).alias("bad_numbers"),
+    )

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from catalog.standins import ROW_KEY, SCORE_DECIMALS, SCORED_CTE, scored
 from riskspark.operators import calibration, capacity, classification, ranking, segments, suite
-from riskspark.operators.scores import by_dimension, score_table
+from riskspark.operators.distribution import side_by_side
+from riskspark.operators.scores import by_dimension, score_table, skipped_rows
 from riskspark.operators.split import hash_split
 
 SEGMENTS = ("line_status", "quantity_band")
@@ -394,6 +395,32 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparison(spark, sf_dir)
 
 
+# Every fifth label and every seventh score is missing.
+_HOLES_CTE = f"""{SCORED_CTE}, holed AS (SELECT 'all' AS scope, CASE WHEN l_orderkey % 5 <> 0 THEN y_true END AS y_true,
+  CASE WHEN l_orderkey % 7 <> 0 THEN y_prob END AS y_prob FROM scored),
+known AS (SELECT * FROM holed WHERE y_true IS NOT NULL AND y_prob IS NOT NULL)"""
+
+
+def _holed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(spark, sf_dir).select(
+        F.when(F.col("l_orderkey") % 5 != 0, F.col("y_true")).alias("y_true"),
+        F.when(F.col("l_orderkey") % 7 != 0, F.col("y_prob")).alias("y_prob"),
+    )
+
+
+@query(
+    "g03_missing_labels_and_scores",
+    f"""WITH {_HOLES_CTE}, {CURVE.format(k="scope", p="y_prob", t="known")}, r AS (SELECT {PR_AUC} AS pr_auc, {ROC_AUC} AS roc_auc FROM curve),
+c AS (SELECT {confusion_sql("y_prob", "0.5")} FROM known)
+SELECT pr_auc, roc_auc, tn, fp, fn, tp, (SELECT count(*) FROM holed) AS rows, (SELECT count(*) FROM holed) - (SELECT count(*) FROM known) AS skipped FROM r, c""",
+)
+def missing_labels_and_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without label or score are in no metric and are counted."""
+    rows = _holed(spark, sf_dir)
+    metrics = classification.binary_metrics(score_table(rows)).select("pr_auc", "roc_auc", "tn", "fp", "fn", "tp")
+    return side_by_side(metrics, skipped_rows(rows))
+
+
 @query(
     "g17_acceptance_gates",
     f"""WITH {COMPARE_CTE} SELECT split AS selection_split, sample_size AS selection_sample_size, pr_auc_diff,
@@ -407,11 +434,34 @@ def acceptance_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suite.acceptance_gates(_comparison(spark, sf_dir))
 
 
-@query("g18_decision_record")
+@query(
+    "g18_decision_record",
+    f"""WITH {COMPARE_CTE}, gate AS (SELECT pr_auc_diff, (pr_auc_diff >= 0.01 AND brier_score_diff <= 0.02 AND parity_change <= 0.05 AND models_present = 2) AS passed
+  FROM compared WHERE split = 'val')
+SELECT CASE WHEN passed THEN 'challenger' ELSE 'champion' END AS selected_model_name, passed AS all_gates_passed, 'val' AS selection_split,
+  'test' AS evaluation_split, 'champion|challenger' AS models_compared, pr_auc_diff AS gate_pr_auc_diff,
+  (SELECT sample_size FROM compared WHERE split = 'test') AS report_sample_size, true AS has_segments FROM gate""",
+)
 def decision_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record parsed again: its fields must agree with comparison and gates."""
     evaluation = _evaluation(spark, sf_dir)
     comparison = suite.compare_models(evaluation, "champion", "challenger")
-    return suite.decision_record(evaluation, comparison, "champion", "challenger")
+    row = suite.decision_record(evaluation, comparison, "champion", "challenger")
+
+    def of(path: str):
+        return F.get_json_object("record", "$." + path)
+
+    compared = F.from_json(of("models_compared"), "array<string>")
+    return row.select(
+        of("selected_model_name").alias("selected_model_name"),
+        "all_gates_passed",
+        of("selection_split").alias("selection_split"),
+        of("evaluation_split").alias("evaluation_split"),
+        F.array_join(compared, "|").alias("models_compared"),
+        of("acceptance_gates.pr_auc_diff").cast("double").alias("gate_pr_auc_diff"),
+        of("metrics_summary[0].sample_size").cast("bigint").alias("report_sample_size"),
+        (of("segment_analysis[0]").isNotNull() & of("fairness_review[0]").isNotNull()).alias("has_segments"),
+    )
 
 
 @query(

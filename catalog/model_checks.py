@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,19 +132,28 @@ def one_hot_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preprocessing.categories(_train(spark, sf_dir), CATEGORICAL)
 
 
-@query("f05_feature_vector")
-def feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names and mean of each slot of the assembled training vector."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.functions import vector_to_array
+_FILLED_LONG = "SELECT feature, category FROM long WHERE category IS NOT NULL UNION ALL SELECT feature, mode FROM long JOIN modes USING (feature) WHERE category IS NULL"
+_ORDER_CASE = "CASE feature " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(CATEGORICAL)) + " END"
+_SLOTS_CTE = f"""long AS ({_CATEGORY_LONG}), counted AS (SELECT feature, category, count(*) AS n FROM long WHERE category IS NOT NULL GROUP BY ALL),
+modes AS (SELECT feature, category AS mode FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, category) AS rn FROM counted) r WHERE rn = 1),
+filled AS ({_FILLED_LONG}),
+slots AS (SELECT slot, feature, 0.0::double AS mean FROM (VALUES {', '.join(f"({i}, '{c}')" for i, c in enumerate(NUMERIC))}) v(slot, feature)
+  UNION ALL SELECT {len(NUMERIC)} - 1 + row_number() OVER (ORDER BY {_ORDER_CASE}, category), concat(feature, '_', category),
+    round(count(*)::double / (SELECT count(*) FROM train), 4) FROM filled GROUP BY feature, category)"""
+
 
+@query("f05_feature_vector", f"WITH {_TRAIN}, {_SLOTS_CTE} SELECT cast(slot as int) AS slot, feature, mean FROM slots")
+def feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name and mean of each slot of the assembled training vector; scaled numbers have mean zero."""
     train = _train(spark, sf_dir)
     fitted = preprocessing.fit_preprocessing(train, NUMERIC, CATEGORICAL)
     model = Pipeline(stages=preprocessing.encoding_stages(fitted)).fit(train)
     names = training.feature_names(model)
     slots = model.transform(train).select(F.posexplode(vector_to_array("features")).alias("slot", "value"))
     labels = F.array(*[F.lit(n) for n in names])
-    return slots.groupBy("slot").agg(F.round(F.avg("value"), 4).alias("mean")).select(
+    # Adding zero turns a negative zero into zero.
+    mean = F.round(F.avg("value"), 4) + F.lit(0.0)
+    return slots.groupBy("slot").agg(mean.alias("mean")).select(
         "slot", F.element_at(labels, F.col("slot") + 1).alias("feature"), "mean"
     )
 
@@ -151,47 +162,125 @@ def _trained(spark: SparkSession, sf_dir: str, spec: training.ModelSpec) -> trai
     return training.train_model(snapshot(spark, sf_dir), spec)
 
 
-@query("f06_logistic_regression")
+def _plausible(p: str = "churn_probability", c: str = "churn_prediction") -> list:
+    """Whether a score is a probability and the class follows from it."""
+    probability = F.col(p)
+    return [
+        probability.between(0.0, 1.0).alias("is_probability"),
+        # Scores are shown with four decimals, so right at the threshold either class may stand.
+        ((F.col(c) == (probability >= 0.5).cast("int")) | (F.abs(probability - 0.5) < 1e-4)).alias("class_follows"),
+    ]
+
+
+@query(
+    "f06_logistic_regression",
+    f"WITH {_TRAIN}, {_SLOTS_CTE} SELECT feature, true AS is_stationary, true AS odds_ratio_follows FROM slots",
+)
 def logistic_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fit is the minimum of the penalised loss: its gradient is zero in every coefficient."""
     trained = _trained(spark, sf_dir, training.ModelSpec())
-    return training.feature_importance(trained.model, trained.rows)
+    train = training.with_label(trained.rows.filter("split = 'train'"), trained.spec)
+    fitted = trained.model.stages[-1]
+    residual = F.col("probability_1") - F.col("label")
+    slots = training.positive_probability(trained.model.transform(train)).select(
+        residual.alias("r"), F.posexplode(vector_to_array("features")).alias("slot", "x")
+    )
+    gradient = slots.groupBy("slot").agg(F.avg(F.col("r") * F.col("x")).alias("g"))
+    weights = spark.createDataFrame(
+        [(i, n, float(w)) for i, (n, w) in enumerate(zip(training.feature_names(trained.model), fitted.coefficients))],
+        "slot int, feature string, w double",
+    )
+    shown = training.feature_importance(trained.model, trained.rows)
+    near = F.abs(F.col("odds_ratio") - F.round(F.exp("coefficient"), 4)) <= 1e-3 * F.greatest(F.lit(1.0), F.col("odds_ratio"))
+    return gradient.join(weights, "slot").join(shown, "feature").select(
+        "feature",
+        (F.abs(F.col("g") + F.lit(fitted.getRegParam()) * F.col("w")) < 1e-3).alias("is_stationary"),
+        near.alias("odds_ratio_follows"),
+    )
 
 
-@query("f07_gradient_boosting")
+@query(
+    "f07_gradient_boosting",
+    f'WITH {SNAPSHOT_CTE}, {SNAPSHOT_SPLIT} SELECT "customerID", split, true AS is_probability, true AS class_follows FROM split',
+)
 def gradient_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All published rounds; every row gets a probability and the class that follows from it."""
     spec = training.ModelSpec("candidate_gradient_boosting", "GradientBoosting")
     trained = _trained(spark, sf_dir, spec)
-    return training.predict(trained.model, trained.rows).select(
-        KEY, "split", "churn_prediction", "churn_probability"
-    )
+    return training.predict(trained.model, trained.rows).select(KEY, "split", *_plausible())
 
 
-@query("f08_histogram_boosting")
+@query(
+    "f08_histogram_boosting",
+    f"""WITH {SNAPSHOT_CTE}, {SNAPSHOT_SPLIT} SELECT split, count(*) AS rows, true AS in_range,
+  true AS beats_majority FROM split GROUP BY split""",
+)
 def histogram_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of the parts; on what it has seen the model is at least as good as the larger class."""
     spec = training.ModelSpec("candidate_histogram", "HistGradientBoosting")
     trained = _trained(spark, sf_dir, spec)
-    return training.accuracy_by_split(trained.model, trained.rows, spec)
+    majority = trained.rows.groupBy("split").agg(
+        F.avg((F.col("Churn") == "Yes").cast("double")).alias("share")
+    )
+    reached = F.round(F.greatest("share", 1 - F.col("share")), 4)
+    return training.accuracy_by_split(trained.model, trained.rows, spec).join(majority, "split").select(
+        "split",
+        "rows",
+        F.col("accuracy").between(0.0, 1.0).alias("in_range"),
+        ((F.col("split") != "train") | (F.col("accuracy") >= reached)).alias("beats_majority"),
+    )
 
 
-@query("f09_train_workflow")
+@query(
+    "f09_train_workflow",
+    f"""WITH {_TRAIN}, {_SLOTS_CTE} SELECT 'baseline_logistic_regression' AS model_name, 'LogisticRegression' AS model_type,
+  (SELECT count(*) FROM split WHERE split = 'train') AS train_rows, (SELECT count(*) FROM split WHERE split = 'val') AS val_rows,
+  (SELECT count(*) FROM split WHERE split = 'test') AS test_rows, true AS accuracies_in_range,
+  string_agg(feature, '|' ORDER BY slot) AS feature_names FROM slots""",
+)
 def train_workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _trained(spark, sf_dir, training.ModelSpec()).metadata()
+    accuracies = [F.col(f"{s}_accuracy").between(0.0, 1.0) for s in ("train", "val", "test")]
+    return _trained(spark, sf_dir, training.ModelSpec()).metadata().select(
+        "model_name",
+        "model_type",
+        "train_rows",
+        "val_rows",
+        "test_rows",
+        (accuracies[0] & accuracies[1] & accuracies[2]).alias("accuracies_in_range"),
+        F.array_join("feature_names", "|").alias("feature_names"),
+    )
 
 
-@query("f10_predict")
+@query(
+    "f10_predict",
+    f'WITH {SNAPSHOT_CTE} SELECT "customerID", true AS is_probability, true AS class_follows FROM snapshot',
+)
 def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     trained = _trained(spark, sf_dir, training.ModelSpec())
-    return training.predict(trained.model, snapshot(spark, sf_dir)).select(
-        KEY, "churn_prediction", "churn_probability"
-    )
+    return training.predict(trained.model, snapshot(spark, sf_dir)).select(KEY, *_plausible())
 
 
-@query("f11_feature_importance")
+@query(
+    "f11_feature_importance",
+    f"""WITH {_TRAIN}, {_SLOTS_CTE} SELECT count(*) AS features, least(count(*), 15) AS bars, true AS sums_to_one, true AS bars_are_longest FROM slots""",
+)
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Longest bars of the importance chart of a boosted model."""
+    """Importances of a boosted model and the longest bars of their chart."""
     spec = training.ModelSpec("candidate_gradient_boosting", "GradientBoosting")
     trained = _trained(spark, sf_dir, spec)
-    return training.importance_bars(training.feature_importance(trained.model, trained.rows))
+    shown = training.feature_importance(trained.model, trained.rows)
+    bars = training.importance_bars(shown)
+    counted = shown.select("abs_coefficient", F.lit(None).cast("double").alias("bar")).unionByName(
+        bars.select(F.lit(None).cast("double").alias("abs_coefficient"), F.col("abs_coefficient").alias("bar"))
+    )
+    every = F.array_sort(F.collect_list("abs_coefficient"))
+    shortest = F.element_at(every, -F.greatest(F.lit(1), F.count("bar").cast("int")))
+    return counted.agg(
+        F.count("abs_coefficient").alias("features"),
+        F.count("bar").alias("bars"),
+        (F.abs(F.sum("abs_coefficient") - 1.0) < 0.01).alias("sums_to_one"),
+        (F.min("bar") >= shortest).alias("bars_are_longest"),
+    )
 
 
 BATCH, VERSION = "batch_20240101_000000_abc123", "2.1.0"
@@ -218,7 +307,10 @@ def batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("scoring_timestamp")
 
 
-@query("f14_registered_version")
+@query(
+    "f14_registered_version",
+    f"""WITH {SNAPSHOT_CTE} SELECT "customerID", '2' AS model_version, true AS same_score FROM snapshot""",
+)
 def registered_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two stored versions; the latest one scores."""
     root = new_scratch_path(spark, "models")
@@ -226,12 +318,23 @@ def registered_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         latest = save_version(spark, trained.model, root, {"name": trained.spec.name})
     model = load_version(spark, root, "latest")
-    return score_batch(snapshot(spark, sf_dir), model, KEY, 0.5, str(latest), BATCH, SCORED_AT)
+    rows = snapshot(spark, sf_dir)
+    stored = score_batch(rows, model, KEY, 0.5, str(latest), BATCH, SCORED_AT)
+    direct = score_batch(rows, trained.model, KEY, 0.5, str(latest), BATCH, SCORED_AT)
+    direct = direct.select(KEY, F.col("churn_probability").alias("direct"))
+    return stored.join(direct, KEY).select(
+        KEY, "model_version", (F.col("churn_probability") == F.col("direct")).alias("same_score")
+    )
 
 
-@query("b13_batch_stamp")
+@query(
+    "b13_batch_stamp",
+    f"""WITH {SNAPSHOT_CTE} SELECT "customerID", 0.5::double AS decision_threshold, '{VERSION}' AS model_version,
+  cast({int(SCORED_AT.timestamp())} as bigint) AS scoring_second, '{BATCH}' AS batch_id FROM snapshot""",
+)
 def stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshot(spark, sf_dir).select(KEY, *batch_stamp(0.5, VERSION, BATCH, SCORED_AT))
+    rows = snapshot(spark, sf_dir).select(KEY, *batch_stamp(0.5, VERSION, BATCH, SCORED_AT))
+    return rows.withColumn("scoring_second", F.unix_seconds("scoring_timestamp")).drop("scoring_timestamp")
 
 
 @query(
@@ -257,7 +360,11 @@ def batch_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("g16_trained_selection")
+@query(
+    "g16_trained_selection",
+    f"""WITH {SNAPSHOT_CTE}, {SNAPSHOT_SPLIT} SELECT split, count(*) AS sample_size, cast(2 as bigint) AS models_present, true AS in_range
+FROM split WHERE split <> 'train' GROUP BY split""",
+)
 def trained_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logistic champion against boosted challenger, both fitted on one split."""
     selection = run_selection(
@@ -265,4 +372,7 @@ def trained_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
         training.ModelSpec(),
         training.ModelSpec("candidate_gradient_boosting", "GradientBoosting"),
     )
-    return selection.comparison
+    ranges = [F.col(c).between(-1.0, 1.0) for c in ("pr_auc_diff", "brier_score_diff")]
+    return selection.comparison.select(
+        "split", "sample_size", "models_present", (ranges[0] & ranges[1]).alias("in_range")
+    )
