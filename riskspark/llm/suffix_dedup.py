@@ -270,7 +270,9 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     runs = stored(texts.select("k1", "k2", "text").mapInArrow(_emit_runs(length), _RUNS), "runs")
     again = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
-    shared = stored(runs.join(again.select("anchor"), "anchor"), "shared-runs")
+    # Written, so that the join reads two plain exchanges, whose large partitions Spark can split.
+    again = stored(again.select("anchor"), "shared-anchors")
+    shared = stored(runs.join(again, "anchor"), "shared-runs")
     # One row for each different run; what occurs twice as a whole is covered as a whole.
     distinct = stored(
         shared.groupBy("anchor", "run").agg(
