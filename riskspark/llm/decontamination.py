@@ -57,7 +57,7 @@ def contamination(
     item_text: str = "text",
     window: int = WINDOW,
 ) -> DataFrame:
-    """What each distinct text shares with the items: ``text_key``, ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``, ``contaminated``.
+    """What each text that holds a window shares with the items: ``text_key``, ``n_hit``, ``n_items``, ``items_sha256``.
 
     ``text_key`` is :func:`text_key` of the text; join it back to rows. Equal texts are looked at
     once, so a hot group of copies is one row. A word is hit if it lies inside any occurrence of a
@@ -116,15 +116,14 @@ def contamination(
         .groupBy("text_key")
         .agg(F.array_sort(F.collect_set("item")).alias("ids"))
     )
-    return (
-        hit.join(listed, "text_key")
-        .select(
-            "text_key",
-            "n_hit",
-            F.size("ids").cast("long").alias("n_items"),
-            F.sha2(F.array_join("ids", ","), 256).alias("items_sha256"),
-        )
+    found_in = hit.join(listed, "text_key", "left").select(
+        "text_key",
+        "n_hit",
+        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.coalesce("ids", F.array().cast("array<string>")), ","), 256).alias("items_sha256"),
     )
+    # Written, so that the join to rows reads plain exchanges and a hot text can be split.
+    return stored(found_in, "contaminated-texts")
 
 
 def text_key(text: Column) -> Column:
