@@ -111,6 +111,8 @@ def links(fingerprints: DataFrame) -> DataFrame:
         "grid-cells",
     )
     sizes = cells.groupBy("p", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written, so that the join reads two plain exchanges, whose large partitions Spark can split.
+    sizes = stored(sizes, "cell-sizes")
     shared = stored(cells.join(sizes, ["p", "cell"]), "shared-cells")
     members = (
         shared.where(F.col("n") <= CELL).groupBy("p", "cell").agg(F.collect_list("f").alias("fs"))
@@ -200,6 +202,8 @@ def candidates(classes: DataFrame) -> DataFrame:
         classes.select("node", "f", F.posexplode("samples").alias("p", "cell")), "sample-cells"
     )
     sizes = cells.groupBy("p", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written, so that the join reads two plain exchanges, whose large partitions Spark can split.
+    sizes = stored(sizes, "cell-sizes")
     shared = stored(cells.join(sizes, ["p", "cell"]), "shared-samples")
     members = (
         shared.where(F.col("n") <= CELL).groupBy("p", "cell").agg(F.collect_list("node").alias("ns"))
