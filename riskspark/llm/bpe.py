@@ -78,8 +78,30 @@ class Vocabulary:
         # Letters are lowered one by one: the end of a word changes no letter.
         plain = unicodedata.normalize("NFC", piece)
         plain = plain.lower() if "Σ" not in plain else "".join(c.lower() for c in plain)
+        if not piece.isascii() and any(unicodedata.category(c) == "Cn" for c in piece):
+            return self._young_words(piece)
         return map(str.encode, self.word.findall(plain))
 
+    def _young_words(self, piece: str) -> Iterator[bytes]:
+        """Words of a text with code points that Python's Unicode tables do not know yet.
+
+        Whether these are letters, and which lower case they have, depends on the age of tables,
+        so the library's own normalizer and pre-tokenizer decide.
+        """
+        plain = self._library.normalizer.normalize_str(piece)
+        for word, _ in self._library.pre_tokenizer.pre_tokenize_str(plain):
+            yield bytes(map(self._bytes.__getitem__, word))
+
+    @cached_property
+    def _library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.source)
+
+    @cached_property
+    def _bytes(self) -> dict[str, int]:
+        return {letter: b for b, letter in enumerate(self.letters)}
+
     def merge(self, word: bytes) -> list[int]:
         """Ids of a word by its merges: least rank first, leftmost of equals."""
         parts = [self.letters[b] for b in word]

@@ -280,9 +280,13 @@ def near_copies(
     shared = F.size(F.array_intersect("a", "b"))
     close = both.where(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("u", "v")
     reached = components(close)
-    named = classes.join(reached, "node", "left").select(
-        "k1", "k2", F.coalesce("component", "node")["least"].alias("component_id")
+    grouped = classes.join(reached, "node", "left").select(
+        "k1", "k2", "least", F.coalesce("component", "node").alias("component")
     )
+    grouped = stored(grouped, "copy-groups")
+    # Null ids sort first among nodes, but name a group only if it has no other.
+    named = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = grouped.join(named, "component").select("k1", "k2", "component_id")
     ids = printed.select("__id", "k1", "k2").distinct()
     return ids.join(named, ["k1", "k2"]).select(F.col("__id").alias(id), "k1", "k2", "component_id")
 
