@@ -12,11 +12,12 @@ import hashlib
 import heapq
 import json
 import os
+import re
 import tempfile
 import unicodedata
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cached_property
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from riskspark.llm.chunks import ChunkTable
+from riskspark.llm.chunks import ChunkTable, worker_memory
 from riskspark.llm.common import table, utf8
 
 #: Most frequent words that are compiled.
@@ -61,6 +62,9 @@ class Vocabulary:
         self.ranks = {tuple(pair): rank for rank, pair in enumerate(model["merges"])}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.word = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        # The same pattern for texts of ASCII bytes.
+        ascii_pattern = self.word.pattern.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9")
+        self.ascii_word = re.compile(ascii_pattern.encode())
         self.specials = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         self.letters = byte_letters()
 
@@ -76,10 +80,12 @@ class Vocabulary:
     def words(self, piece: str) -> Iterator[bytes]:
         """Words of a text without special tokens, as UTF-8."""
         # Letters are lowered one by one: the end of a word changes no letter.
+        # No code point below U+0378 is unassigned.
+        if max(piece, default="") >= "\u0378":
+            if any(unicodedata.category(c) == "Cn" for c in piece):
+                return self._young_words(piece)
         plain = unicodedata.normalize("NFC", piece)
         plain = plain.lower() if "Σ" not in plain else "".join(c.lower() for c in plain)
-        if not piece.isascii() and any(unicodedata.category(c) == "Cn" for c in piece):
-            return self._young_words(piece)
         return map(str.encode, self.word.findall(plain))
 
     def _young_words(self, piece: str) -> Iterator[bytes]:
@@ -92,6 +98,11 @@ class Vocabulary:
         for word, _ in self._library.pre_tokenizer.pre_tokenize_str(plain):
             yield bytes(map(self._bytes.__getitem__, word))
 
+    def library_merge(self, word: bytes) -> list[int]:
+        """Ids of a word by the model of the tokenizers library."""
+        text = word.decode() if word.isascii() else "".join(map(self.letters.__getitem__, word))
+        return [t.id for t in self._library.model.tokenize(text)]
+
     @cached_property
     def _library(self):
         from tokenizers import Tokenizer
@@ -247,13 +258,21 @@ class Transducer:
 class Encoder:
     """Ids of text pieces: compiled words from the transducer, all others by merging."""
 
-    def __init__(self, vocabulary: Vocabulary, transducer: Transducer | None = None):
+    def __init__(
+        self,
+        vocabulary: Vocabulary,
+        transducer: Transducer | None = None,
+        merge: Callable[[bytes], list[int]] | None = None,
+    ):
         self.vocabulary, self.transducer = vocabulary, transducer
+        self.merge = merge or vocabulary.merge
         self.merged: dict[bytes, list[int]] = {}
 
-    def _split(self, piece: bytes) -> list[bytes | int]:
+    def split(self, piece: bytes) -> list[bytes | int]:
         """Words and ids of special tokens of one piece."""
         v = self.vocabulary
+        if piece.isascii() and b"<" not in piece:
+            return v.ascii_word.findall(piece.lower())
         text = piece.decode("utf-8", "replace")
         if "<" not in text or not v.specials.search(text):
             return list(v.words(text))
@@ -268,7 +287,7 @@ class Encoder:
     def resolve(self, pieces: list[bytes]) -> list[list[int]]:
         if len(self.merged) > MERGED:
             self.merged.clear()
-        split = [self._split(p) for p in pieces]
+        split = [self.split(p) for p in pieces]
         words = list({w for parts in split for w in parts if isinstance(w, bytes)})
         ids: dict[bytes | int, list[int]] = {i: [i] for i in self.vocabulary.special.values()}
         t = self.transducer
@@ -279,9 +298,12 @@ class Encoder:
             else:
                 found = self.merged.get(word)
                 if found is None:
-                    found = self.merged[word] = self.vocabulary.merge(word)
+                    found = self.merged[word] = self.merge(word)
                 ids[word] = found
-        return [[i for part in parts for i in ids[part]] for parts in split]
+        return [
+            ids[parts[0]] if len(parts) == 1 else [i for part in parts for i in ids[part]]
+            for parts in split
+        ]
 
 
 def decode(vocabulary: Vocabulary, ids: np.ndarray) -> bytes:
@@ -301,7 +323,7 @@ def frequent_words(docs: DataFrame, text: str, vocabulary: Vocabulary, size: int
                 pieces.update(utf8(t.as_py()).split())
             seen: Counter[bytes] = Counter()
             for piece, n in pieces.items():
-                for w in encoder._split(piece):
+                for w in encoder.split(piece):
                     if isinstance(w, bytes):
                         seen[w] += n
             yield pa.RecordBatch.from_arrays(
@@ -341,6 +363,7 @@ def encode_documents(
     others = [c for c in docs.columns if c != text]
     name = compile_lexicon(docs, text, vocabulary, size)
     source = docs.sparkSession.sparkContext.broadcast(vocabulary.source)
+    mark = hashlib.sha1(vocabulary.source.encode()).hexdigest()
     fields = [
         StructField("n_tokens", LongType()),
         StructField("ids_sha256", StringType()),
@@ -350,8 +373,11 @@ def encode_documents(
         fields += StructType.fromDDL("ids array<int>, decoded string").fields
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(source.value)
-        pieces = ChunkTable(Encoder(v, Transducer.load(SparkFiles.get(name))).resolve)
+        v = worker_memory(("vocabulary", mark), lambda: Vocabulary(source.value))
+        lexicon = SparkFiles.get(name)
+        pieces = worker_memory(
+            ("transducer", name), lambda: ChunkTable(Encoder(v, Transducer.load(lexicon)).resolve)
+        )
         for batch in batches:
             n, ids_sha, decoded_sha, kept, texts = [], [], [], [], []
             for ids in pieces.encode(utf8(t.as_py()) for t in batch.column(batch.num_columns - 1)):

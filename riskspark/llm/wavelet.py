@@ -7,7 +7,7 @@ counted or found in one step per plane.
 
 from __future__ import annotations
 
-import os
+import hashlib
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from riskspark.llm.chunks import ChunkTable
+from riskspark.llm.bpe import Encoder, Vocabulary
+from riskspark.llm.chunks import ChunkTable, worker_memory
 from riskspark.llm.common import stored, table, utf8
 from riskspark.session import new_scratch_path
 
@@ -190,19 +191,13 @@ def _write(folder: str, name: str, content: bytes) -> None:
 
 
 def library_resolver(source: str) -> Callable[[list[bytes]], list[list[int]]]:
-    """Ids of text pieces by the tokenizers library."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    """Ids of text pieces by the tokenizers library.
 
-    tokenizer = Tokenizer.from_str(source)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-
-    def resolve(pieces: list[bytes]) -> list[list[int]]:
-        texts = [p.decode("utf-8", "replace") for p in pieces]
-        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    return resolve
+    Its model is asked once for each distinct word; words are split by the pattern of the tokenizer file. That
+    this gives the ids of its ``encode`` on whole texts is tested.
+    """
+    vocabulary = Vocabulary(source)
+    return Encoder(vocabulary, merge=vocabulary.library_merge).resolve
 
 
 def write_shards(
@@ -215,13 +210,16 @@ def write_shards(
     repeated rows are all written; an empty table writes no file. The manifest has ``part``, ``shard``, ``n_docs`` and ``n_tokens``.
     """
     source = docs.sparkSession.sparkContext.broadcast(tokenizer)
+    mark = hashlib.sha1(tokenizer.encode()).hexdigest()
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     order = ("id", F.xxhash64("text"), "text")
     rows = rows.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions(*order)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        pieces = ChunkTable(library_resolver(source.value))
+        pieces = worker_memory(
+            ("library", mark), lambda: ChunkTable(library_resolver(source.value))
+        )
         ids: list[np.ndarray] = []
         keys: list[pa.Array] = []
         held, number = 0, 0
