@@ -29,12 +29,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from riskspark.llm.chunks import ChunkTable, worker_memory
-from riskspark.llm.common import table, utf8
+from riskspark.llm.common import stored, table, utf8
 
 #: Most frequent words that are compiled.
-LEXICON = 65_536
+LEXICON = 131_072
 #: Merged words a worker remembers before it starts anew.
-MERGED = 100_000
+MERGED = 200_000
+#: Words of up to so many bytes are merged on a plain list, longer ones with a queue.
+SHORT = 48
+_NEVER = 1 << 60
 
 
 def byte_letters() -> list[str]:
@@ -118,6 +121,18 @@ class Vocabulary:
         parts = [self.letters[b] for b in word]
         parts[-1] += self.end
         n = len(parts)
+        if n <= SHORT:
+            rank = self.ranks.get
+            order = [rank(pair, _NEVER) for pair in zip(parts, parts[1:])]
+            while order and (least := min(order)) < _NEVER:
+                i = order.index(least)
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+                del order[i]
+                if i:
+                    order[i - 1] = rank((parts[i - 1], parts[i]), _NEVER)
+                if i < len(order):
+                    order[i] = rank((parts[i], parts[i + 1]), _NEVER)
+            return [self.ids[p] for p in parts]
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
         queue: list[tuple[int, int, str, str]] = []
 
@@ -312,7 +327,11 @@ def decode(vocabulary: Vocabulary, ids: np.ndarray) -> bytes:
 
 
 def frequent_words(docs: DataFrame, text: str, vocabulary: Vocabulary, size: int) -> list[bytes]:
-    """The ``size`` most frequent words of all documents, counted per batch before the shuffle."""
+    """The most frequent words of all documents, up to ``size`` of them.
+
+    Words are counted per batch before the shuffle. A histogram of counts on a logarithmic scale, which has
+    some hundred rows at most, gives the least count to take; no task sends more than its share.
+    """
     source = docs.sparkSession.sparkContext.broadcast(vocabulary.source)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,8 +350,17 @@ def frequent_words(docs: DataFrame, text: str, vocabulary: Vocabulary, size: int
             )
 
     counts = docs.select(F.col(text)).mapInArrow(counted, "w binary, n long").groupBy("w")
-    top = counts.agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(size)
-    return [bytes(r["w"]) for r in top.collect()]
+    counts = counts.agg(F.sum("n").alias("n")).withColumn("step", F.floor(F.log2("n") * 16))
+    counts = stored(counts, "word-counts")
+    least, taken = None, 0
+    for step, n in sorted(map(tuple, counts.groupBy("step").count().collect()), reverse=True):
+        taken += n
+        if taken > size:
+            break
+        least = step
+    if least is None:
+        return []
+    return [bytes(r["w"]) for r in counts.where(F.col("step") >= least).select("w").collect()]
 
 
 def compile_lexicon(docs: DataFrame, text: str, vocabulary: Vocabulary, size: int = LEXICON) -> str:
