@@ -10,7 +10,7 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> tuple[np.ndarray,
 
     With no rows or one class only, the weights are zero and the score is the (smoothed) rate.
     """
-    x = np.asarray(x, float).reshape(len(y), -1)
+    x = np.atleast_2d(np.asarray(x, float))
     y = np.asarray(y, float)
     rate = (y.sum() + 0.5) / (len(y) + 1)
     if len(y) == 0 or y.min() == y.max():

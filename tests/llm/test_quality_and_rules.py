@@ -113,7 +113,8 @@ def test_learning_prunes_to_conditions_that_hold_on_other_rows():
     frame = pd.DataFrame({name: rng.random(900) for name in rules.RATIOS})
     frame["label"] = (frame["symbols_per_char"] <= 0.7).astype(int)
     learned = rules.learn_rules(frame)
-    assert [c.ratio for c in learned[0]] == ["symbols_per_char"] and abs(learned[0][0].cut - 0.7) < 0.05
+    # A rule may cut the same ratio twice, first at a coarse quantile and then closer.
+    assert {c.ratio for c in learned[0]} == {"symbols_per_char"} and abs(learned[0][-1].cut - 0.7) < 0.05
 
 
 def test_query_statistics(spark, sf_dir):
