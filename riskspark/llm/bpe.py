@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from riskspark.llm.chunks import ChunkTable, worker_memory
-from riskspark.llm.common import stored, table, utf8
+from riskspark.llm.chunks import ChunkTable
+from riskspark.llm.common import small_batches, stored, table, utf8, worker_memory
 
 #: Most frequent words that are compiled.
 LEXICON = 131_072
@@ -38,6 +38,8 @@ MERGED = 200_000
 #: Words of up to so many bytes are merged on a plain list, longer ones with a queue.
 SHORT = 48
 _NEVER = 1 << 60
+#: Different pieces a task counts before it hands on what it has.
+COUNTED = 300_000
 
 
 def byte_letters() -> list[str]:
@@ -336,19 +338,26 @@ def frequent_words(docs: DataFrame, text: str, vocabulary: Vocabulary, size: int
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(source.value))
-        for batch in batches:
-            pieces: Counter[bytes] = Counter()
-            for t in batch.column(0):
-                pieces.update(utf8(t.as_py()).split())
+        pieces: Counter[bytes] = Counter()
+
+        def flush() -> pa.RecordBatch:
             seen: Counter[bytes] = Counter()
             for piece, n in pieces.items():
                 for w in encoder.split(piece):
                     if isinstance(w, bytes):
                         seen[w] += n
-            yield pa.RecordBatch.from_arrays(
+            pieces.clear()
+            return pa.RecordBatch.from_arrays(
                 [pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], ["w", "n"]
             )
 
+        for batch in batches:
+            for t in batch.column(0):
+                pieces.update(utf8(t.as_py()).split())
+            if len(pieces) > COUNTED:
+                yield flush()
+        yield flush()
+
     counts = docs.select(F.col(text)).mapInArrow(counted, "w binary, n long").groupBy("w")
     counts = counts.agg(F.sum("n").alias("n")).withColumn("step", F.floor(F.log2("n") * 16))
     counts = stored(counts, "word-counts")
@@ -386,6 +395,7 @@ def encode_documents(
     are replaced); an empty table gives an empty one. A very long text is worked on as one value, its
     pieces at most once each.
     """
+    small_batches(docs.sparkSession)
     added = ("n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")
     docs = docs.select(*[c for c in docs.columns if c not in added])
     others = [c for c in docs.columns if c != text]

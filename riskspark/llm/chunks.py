@@ -6,7 +6,6 @@ after the other. Each distinct piece is resolved once per worker.
 
 from __future__ import annotations
 
-import sys
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
@@ -14,7 +13,7 @@ from itertools import chain
 import numpy as np
 
 #: Distinct pieces a worker remembers before it starts anew.
-MEMORY = 700_000
+MEMORY = 500_000
 #: Bytes of text whose pieces are resolved together.
 BLOCK_BYTES = 2_000_000
 
@@ -22,18 +21,6 @@ BLOCK_BYTES = 2_000_000
 Resolver = Callable[[list[bytes]], Iterable[Iterable[int]]]
 
 
-def worker_memory(key: tuple, make: Callable):
-    """What a Python worker keeps from one task to the next, by key; one thing of a kind at a time.
-
-    It holds only what can be made again, so a new worker loses nothing but time.
-    """
-    held = sys.__dict__.setdefault("_riskspark_worker_memory", {})
-    kind, rest = key
-    if held.get(kind, (None, None))[0] != rest:
-        held[kind] = (rest, make())
-    return held[kind][1]
-
-
 class ChunkTable:
     """A bounded memory of pieces and their ids."""
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,29 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+#: Rows of an Arrow batch at most, as a batch of texts is held whole by a Python worker.
+BATCH_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of this session have ``BATCH_ROWS`` rows at most; a smaller setting is kept."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def worker_memory(key: tuple, make: Callable):
+    """What a Python worker keeps from one task to the next, by key; one thing of a kind at a time.
+
+    It holds only what can be made again, so a new worker loses nothing but time.
+    """
+    held = sys.__dict__.setdefault("_riskspark_worker_memory", {})
+    kind, rest = key
+    if held.get(kind, (None, None))[0] != rest:
+        held[kind] = (rest, make())
+    return held[kind][1]
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and go on from its files.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from riskspark.llm import logistic
-from riskspark.llm.common import id_remainder, labelled_sample, table, utf8
+from riskspark.llm.common import id_remainder, labelled_sample, small_batches, table, utf8
 
 #: Labelled documents of each class used at most for the two dictionaries, and as many for calibration.
 SAMPLE = 2_000
@@ -69,10 +69,11 @@ class CompressionClassifier:
         weights, intercept = self.weights, self.intercept
 
         @F.pandas_udf(DoubleType())
-        def of(texts: pd.Series) -> pd.Series:
+        def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             measure = measures(good, bad, raw)
-            x = np.array([measure(utf8(t)) for t in texts], float).reshape(len(texts), 5)
-            return pd.Series(logistic.score(x, weights, intercept))
+            for texts in batches:
+                x = np.array([measure(utf8(t)) for t in texts], float).reshape(len(texts), 5)
+                yield pd.Series(logistic.score(x, weights, intercept))
 
         return of(text)
 
@@ -103,6 +104,7 @@ def classify(
     as the id "" ; repeated rows and other columns are kept (columns named as those added are
     replaced); repeated labels of an id count as their least; an empty table gives an empty one.
     """
+    small_batches(docs.sparkSession)
     model = learn(docs, labels, id, text, label, id_remainder(id, 3) != 1)
     return (
         docs.drop("held_out", "score", "predicted")

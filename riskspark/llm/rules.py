@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import stored, table, utf8
+from riskspark.llm.common import small_batches, stored, table, utf8
 
 SYMBOLS = "#*$%&|<>"
 _BLANKS = " \t\n\r\x0b\x0c"
@@ -236,6 +236,7 @@ def judged(
     limits; repeated rows are kept; labels other than 0 and 1 are passed over, repeated labels
     count as their least; without labels only the base limits reject. Empty tables give empty ones.
     """
+    small_batches(docs.sparkSession)
     counted = docs.select(F.col(id).alias("__id"), statistics(F.col(text)).alias("s"))
     counted = stored(counted.select("__id", "s.*"), "text-statistics")
     one = (

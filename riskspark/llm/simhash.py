@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from riskspark.llm.common import stored, table, utf8
+from riskspark.llm.common import small_batches, stored, table, utf8
 from riskspark.llm.graph import components
 
 DISTANCE = 2
@@ -147,6 +147,7 @@ def near_duplicates(docs: DataFrame, id: str, text: str, words: int = 3) -> Data
     repeated rows are kept; ids may be null and are then no component's least id unless
     it has no other; an empty table gives an empty one. Other columns are not returned.
     """
+    small_batches(docs.sparkSession)
     prints = stored(
         docs.select(F.col(id).alias("__id"), fingerprint(F.col(text), words).alias("f")), "simhash"
     )
@@ -241,6 +242,8 @@ def near_copies(
     null id is named only if its group has no other; an empty table gives an empty one.
     """
 
+    small_batches(docs.sparkSession)
+
     @F.pandas_udf("f long, samples array<long>")
     def prints(texts: pd.Series) -> pd.DataFrame:
         rows = []

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import stored, table, utf8
+from riskspark.llm.common import small_batches, stored, table, utf8, worker_memory
 
 LENGTH = 200
 ANCHOR = 48
@@ -42,11 +42,12 @@ def _powers(base: int, n: int) -> np.ndarray:
 class Hasher:
     """Hashes of any stretch of a text from one running sum, by a polynomial modulo 2**64."""
 
-    up = _powers(_BASE, BLOCK + 2 * LENGTH)
-    down = _powers(_INVERSE, BLOCK + 2 * LENGTH)
-
     def __init__(self, text: np.ndarray):
-        sums = np.cumsum(_LETTERS[text] * self.up[: len(text)], dtype=np.uint64)
+        size = max(1 << 12, 1 << (len(text) + 1).bit_length())
+        up, self.down = worker_memory(
+            (f"powers {size}", 0), lambda: (_powers(_BASE, size), _powers(_INVERSE, size))
+        )
+        sums = np.cumsum(_LETTERS[text] * up[: len(text)], dtype=np.uint64)
         self.sums = np.concatenate((np.zeros(1, np.uint64), sums))
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -268,6 +269,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     ``texts`` has the columns ``k1``, ``k2`` and ``text`` (not null), a row for each document. Equal texts
     have equal keys and one set of spans. Spans may overlap.
     """
+    small_batches(texts.sparkSession)
     runs = stored(texts.select("k1", "k2", "text").mapInArrow(_emit_runs(length), _RUNS), "runs")
     again = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
     # Written, so that the join reads two plain exchanges, whose large partitions Spark can split.

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from riskspark.llm import logistic
-from riskspark.llm.common import id_remainder, labelled_sample, stored, table
+from riskspark.llm.common import id_remainder, labelled_sample, small_batches, stored, table
 
 # Letters that a written character can stand for.
 LEET = {
@@ -263,13 +263,20 @@ def corpus_trigrams(docs: DataFrame, text: str) -> dict[str, int]:
     """
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter[str] = Counter()
+
+        def flush() -> pd.DataFrame:
+            words = [(w, n) for w, n in seen.items() if w.isalpha()]
+            seen.clear()
+            return pd.DataFrame(words, columns=["w", "n"])
+
         for batch in batches:
-            seen: Counter[str] = Counter()
             for t in batch["t"]:
                 if t:
                     seen.update(t.lower().split())
-            words = [(w, n) for w, n in seen.items() if w.isalpha()]
-            yield pd.DataFrame(words, columns=["w", "n"])
+            if len(seen) > MEMORY:
+                yield flush()
+        yield flush()
 
     table_of = (
         docs.select(F.col(text).alias("t"))
@@ -309,6 +316,7 @@ def score_toxicity(
     columns are kept (columns named as those added are replaced); repeated labels of an id count as
     their least; without labels the score is one half; an empty table gives an empty one.
     """
+    small_batches(docs.sparkSession)
     usable = id_remainder(id, 5) != 0
     model = ToxicityModel(corpus_trigrams(docs, text))
     parts = labelled_sample(docs, labels, id, text, label, usable, SAMPLE, SAMPLE_BYTES)

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from riskspark.llm.bpe import Encoder, Vocabulary
-from riskspark.llm.chunks import ChunkTable, worker_memory
-from riskspark.llm.common import stored, table, utf8
+from riskspark.llm.chunks import ChunkTable
+from riskspark.llm.common import small_batches, stored, table, utf8, worker_memory
 from riskspark.session import new_scratch_path
 
 MAGIC = b"WAVELET1"
@@ -210,6 +210,7 @@ def write_shards(
     repeated rows are all written; an empty table writes no file. The manifest has ``part``, ``shard``, ``n_docs`` and ``n_tokens``.
     """
     source = docs.sparkSession.sparkContext.broadcast(tokenizer)
+    small_batches(docs.sparkSession)
     mark = hashlib.sha1(tokenizer.encode()).hexdigest()
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     order = ("id", F.xxhash64("text"), "text")
