@@ -71,6 +71,17 @@ def utf8(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass") if text else b""
 
 
+def hashed_sample(rows: DataFrame, order: Column, size: int, *ties: str) -> DataFrame:
+    """About the first ``size`` rows by a hash, never more.
+
+    Rows are counted first and cut by their hash, so all tasks together offer little more than ``size`` rows
+    however many there are.
+    """
+    place = F.pmod(order, F.lit(1 << 30))
+    limit = min(1.0, 1.2 * size / max(rows.count(), 1)) * (1 << 30)
+    return rows.where(place < int(limit)).orderBy(place, *ties).limit(size)
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, usable: Column, size: int, longest: int
 ) -> dict[int, list[bytes]]:
@@ -84,11 +95,11 @@ def labelled_sample(
     fits = usable & (F.octet_length(F.coalesce(F.col(text), F.lit(""))) <= longest)
     rows = docs.select(F.col(id).alias("__id"), F.col(text).alias("__text"), fits.alias("__fits"))
     rows = rows.where("__fits and __id is not null").drop("__fits")
-    known = rows.select("__id").distinct().join(one, "__id")
+    known = stored(rows.select("__id").distinct().join(one, "__id"), "labelled-ids")
     order = F.xxhash64(F.col("__id").cast("string"), F.lit("sample"))
     chosen = None
     for y in (0, 1):
-        part = known.where(F.col("__y") == y).orderBy(order, "__id").limit(size)
+        part = hashed_sample(known.where(F.col("__y") == y), order, size, "__id")
         chosen = part if chosen is None else chosen.union(part)
     chosen = stored(chosen, "sample-ids")
     found = rows.join(F.broadcast(chosen), "__id").groupBy("__id", "__y").agg(F.min("__text").alias("__text"))

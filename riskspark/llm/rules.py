@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import small_batches, stored, table, utf8
+from riskspark.llm.common import hashed_sample, small_batches, stored, table, utf8
 
 SYMBOLS = "#*$%&|<>"
 _BLANKS = " \t\n\r\x0b\x0c"
@@ -245,14 +245,13 @@ def judged(
         .agg(F.min(label).cast("int").alias("label"))
     )
     order = F.xxhash64(F.col("__id").cast("string"), F.lit("rules"))
-    examples = (
+    labelled = stored(
         counted.where(~base_failed())
         .join(one, "__id")
-        .select(order.alias("o"), "label", *[c.alias(n) for n, c in ratios().items()])
-        .orderBy("o", "label", *RATIOS)
-        .limit(EXAMPLES)
-        .toPandas()
+        .select(order.alias("o"), "label", *[c.alias(n) for n, c in ratios().items()]),
+        "labelled-statistics",
     )
+    examples = hashed_sample(labelled, F.col("o"), EXAMPLES, "label", *RATIOS).toPandas()
     rules = learn_rules(examples)
     rule = F.when(base_failed(), 0).otherwise(verdict(rules))
     result = counted.withColumns({"base_failed": base_failed(), "rule": rule})
