@@ -127,6 +127,23 @@ def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "k05_compacted_log",
+    """SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) e WHERE rn = 1""",
+)
+def compacted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log merged into one epoch, and the same events arriving again after it."""
+    root, order = new_scratch_path(spark, "compact"), ["ts", "event_id"]
+    events = table(spark, sf_dir, "events")
+    stream = _stored(spark, events, "compact-arrivals", 4)
+    runs.run_per_batch(stream, label_streams.latest_log(f"{root}/log", "user_id", order), f"{root}/checkpoint")
+    label_streams.compact_log(spark.read.parquet(f"{root}/log"), "user_id", order, f"{root}/base")
+    again = label_streams.latest_log(f"{root}/base", "user_id", order)
+    again(events, 1_000_000)
+    log = spark.read.parquet(f"{root}/base")
+    return label_streams.latest_rows(log, "user_id", order).select("user_id", "event_id", "event_type")
+
+
 @query("k05_first_per_key", "SELECT DISTINCT user_id, event_type FROM events")
 def first_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First arrival per user and type, with a delay longer than the month of data."""

@@ -1,7 +1,7 @@
 """Drift between a reference table and a current table: PSI, KS, missing rates.
 
-Both tables are read once. Their values meet in one histogram per kind of feature
-with a count for each side; PSI, KS and missing rates are all read from it.
+Both tables are read once. Their values meet in one histogram of all features with a
+count for each side, which is written; PSI, KS, missing rates and sizes are read from it.
 """
 
 from __future__ import annotations
@@ -20,9 +20,11 @@ from riskspark.operators.distribution import (
     quantiles_from_curve,
     running_totals,
     side_by_side,
+    finite,
     small,
     unpivot,
 )
+from riskspark.session import written
 
 # Bins, zero-share replacement, missing category, default features.
 PSI_BINS = 10
@@ -98,6 +100,42 @@ def numeric_histogram(reference: DataFrame, current: DataFrame, columns: Sequenc
     return _side_counts(_numbers(reference, columns), _numbers(current, columns), columns, "double")
 
 
+def feature_histogram(
+    reference: DataFrame, current: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
+) -> DataFrame:
+    """Two-sided counts per (kind, feature, number, word) of all shared features, from one pass over each table."""
+    numeric = _shared(reference, current, numeric)
+    categorical = _shared(reference, current, categorical)
+    if not numeric and not categorical:
+        raise ValueError("the two tables share none of the drift features")
+
+    def side(df: DataFrame, ref: int) -> DataFrame:
+        def cell(kind: str, name: str) -> Column:
+            value = F.col(name)
+            text = isinstance(df.schema[name].dataType, T.StringType)
+            number = finite(to_number(value) if text else value) if kind == "numerical" else F.lit(None)
+            word = value if kind == "categorical" else F.lit(None)
+            return F.struct(
+                F.lit(kind).alias("kind"),
+                F.lit(name).alias("feature"),
+                number.cast("double").alias("number"),
+                word.cast("string").alias("word"),
+            )
+
+        cells = [cell("numerical", c) for c in numeric] + [cell("categorical", c) for c in categorical]
+        return df.select(F.explode(F.array(*cells)).alias("_cell"), F.lit(ref).alias("is_ref"))
+
+    return (
+        side(reference, 1)
+        .unionByName(side(current, 0))
+        .groupBy("_cell.kind", "_cell.feature", "_cell.number", "_cell.word")
+        .agg(
+            F.sum("is_ref").cast("bigint").alias("ref_n"),
+            F.sum(1 - F.col("is_ref")).cast("bigint").alias("cur_n"),
+        )
+    )
+
+
 def categorical_histogram(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Two-sided counts per (feature, category) of categorical features."""
     columns = _shared(reference, current, columns)
@@ -237,14 +275,22 @@ def feature_drift(
     numeric: Sequence[str] = NUMERIC_FEATURES,
     categorical: Sequence[str] = CATEGORICAL_FEATURES,
     policy: DriftPolicy = DriftPolicy(),
+    histogram: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per feature present in both tables: PSI, KS, missing rates, status."""
+    """One row per feature present in both tables: PSI, KS, missing rates, status.
+
+    ``histogram`` is a :func:`feature_histogram` that was made before.
+    """
+    if histogram is None:
+        histogram = written(feature_histogram(reference, current, numeric, categorical), "drift-histogram")
     numeric = _shared(reference, current, numeric)
     categorical = _shared(reference, current, categorical)
     parts = []
     if numeric:
-        hist = numeric_histogram(reference, current, numeric)
-        curve = _curve(hist)
+        hist = histogram.where("kind = 'numerical'").select(
+            "feature", F.col("number").alias("value"), "ref_n", "cur_n"
+        )
+        curve = written(_curve(hist), "drift-curve")
         # A feature that is missing everywhere has no curve and keeps PSI 0, KS 0, p 1.
         parts.append(
             missing_rates(hist)
@@ -262,7 +308,9 @@ def feature_drift(
             )
         )
     if categorical:
-        hist = categorical_histogram(reference, current, categorical)
+        hist = histogram.where("kind = 'categorical'").select(
+            "feature", F.col("word").alias("value"), "ref_n", "cur_n"
+        )
         parts.append(
             missing_rates(hist)
             .join(categorical_psi(hist, len(categorical)), "feature")
@@ -277,8 +325,6 @@ def feature_drift(
                 "missing_rate_delta",
             )
         )
-    if not parts:
-        raise ValueError("the two tables share none of the drift features")
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     out = out.withColumn("drift_status", status(F.col("psi"), policy))
     if policy.ks_alpha is not None:
@@ -295,10 +341,27 @@ def drift_report(
     reference: DataFrame,
     current: DataFrame,
     policy: DriftPolicy = DriftPolicy(),
+    histogram: DataFrame | None = None,
 ) -> DataFrame:
-    """One row: sizes of both tables, highest PSI, drifted features, overall status."""
-    def rows(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(name))
+    """One row: sizes of both tables, highest PSI, drifted features, overall status.
+
+    With a :func:`feature_histogram` the sizes are sums over any one of its features.
+    """
+    if histogram is None:
+        sizes = (
+            reference.agg(F.count(F.lit(1)).alias("reference_record_count")),
+            current.agg(F.count(F.lit(1)).alias("scoring_record_count")),
+        )
+    else:
+        per_feature = histogram.groupBy("kind", "feature").agg(
+            F.sum("ref_n").alias("ref_n"), F.sum("cur_n").alias("cur_n")
+        )
+        sizes = (
+            per_feature.agg(
+                F.coalesce(F.max("ref_n"), F.lit(0)).alias("reference_record_count"),
+                F.coalesce(F.max("cur_n"), F.lit(0)).alias("scoring_record_count"),
+            ),
+        )
 
     rolled = features.agg(
         F.coalesce(F.max("psi"), F.lit(0.0)).alias("max_psi"),
@@ -308,9 +371,7 @@ def drift_report(
             F.collect_list(F.when(F.col("drift_status") == "significant_drift", F.col("feature")))
         ).alias("drifted_features"),
     )
-    joined = side_by_side(
-        rolled, rows(reference, "reference_record_count"), rows(current, "scoring_record_count")
-    )
+    joined = side_by_side(rolled, *sizes)
     overall = status(F.col("max_psi"), policy)
     return joined.select(
         "reference_record_count",
@@ -342,5 +403,8 @@ def detect_drift(
     policy: DriftPolicy = DriftPolicy(),
 ) -> tuple[DataFrame, DataFrame]:
     """Per-feature rows and the one-row rollup of one drift comparison."""
-    features = feature_drift(current, reference, numeric, categorical, policy)
-    return features, drift_report(features, reference, current, policy)
+    histogram = written(feature_histogram(reference, current, numeric, categorical), "drift-histogram")
+    features = written(
+        feature_drift(current, reference, numeric, categorical, policy, histogram), "drift-features"
+    )
+    return features, drift_report(features, reference, current, policy, histogram)
