@@ -171,3 +171,15 @@ def test_challenger_needs_every_gate(spark):
     same = evaluate_suite(frame, {"old": "old", "new": "old"}, ["id"], segment_dimensions=["seg"], sensitive_dimensions=["gender"])
     kept = one(acceptance_gates(compare_models(same, "old", "new")))
     assert not kept["all_gates_passed"] and kept["pr_auc_diff"] == 0.0
+
+
+def test_rows_without_label_or_score_are_left_out(spark):
+    from riskspark.operators.classification import binary_metrics
+    from riskspark.operators.scores import score_table, skipped_rows
+
+    rows = spark.createDataFrame(
+        [(1, 0.9), (None, 0.8), (0, None), (0, 0.2), (1, float("nan"))], "y_true int, y_prob double"
+    )
+    r = binary_metrics(score_table(rows)).first()
+    assert (r["tp"], r["tn"], r["fp"], r["fn"], r["roc_auc"], r["accuracy"]) == (1, 1, 0, 0, 1.0, 1.0)
+    assert tuple(skipped_rows(rows).first()) == (5, 3)

@@ -17,8 +17,8 @@ from riskspark.operators import profile
 from riskspark.operators.contract import CUSTOMER_CONTRACT, typed
 from riskspark.operators.monitoring import latency_quantiles
 from riskspark.operators.split import exact_split, hash_split, stratum_quotas
-from riskspark.sources.manifest import source_manifest
-from riskspark.sources.tables import load_training_table
+from riskspark.sources.manifest import file_checksums, source_manifest
+from riskspark.sources.tables import load_training_table, read_table
 from riskspark.streaming import labels, runs, scoring
 
 
@@ -128,6 +128,31 @@ def test_csv_source_and_manifest(spark, tmp_path):
         load_training_table(spark, str(tmp_path / "absent.csv"), CUSTOMER_CONTRACT)
 
 
+def test_csv_drops_and_moves_no_value(spark, tmp_path):
+    quoted = tmp_path / "quoted.csv"
+    quoted.write_text('x,y\n"a ""q"" b","1,5"\n,2\n')
+    assert [tuple(r) for r in read_table(spark, str(quoted), "csv").collect()] == [('a "q" b', "1,5"), (None, "2")]
+    surplus = tmp_path / "surplus.csv"
+    surplus.write_text("x,y\n1,2\n1,2,3\n")
+    for columns in (["x"], ["x", "y"]):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read_table(spark, str(surplus), "csv").select(*columns).collect()
+    folder = tmp_path / "folder"
+    folder.mkdir()
+    (folder / "a.csv").write_text("x,y\n1,2\n")
+    (folder / "b.csv").write_text("y,x\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_table(spark, str(folder), "csv").collect()
+
+
+def test_large_files_are_hashed_in_blocks(spark, tmp_path):
+    path = tmp_path / "file.csv"
+    path.write_bytes(b"h\n" + b"0123456789\n" * 1000)
+    for whole in (1 << 20, 10):
+        row = file_checksums(spark, str(path), whole).first()
+        assert row["file_sha256"] == hashlib.sha256(path.read_bytes()).hexdigest() and row["file_bytes"] == 11_002
+
+
 def test_redaction(spark):
     rows = spark.createDataFrame(
         [("C1", {"gender": "F", "k": "1"}, [("a@b", "x")])],
@@ -137,7 +162,9 @@ def test_redaction(spark):
     assert r["customerID"] == "[REDACTED]" and r["tags"] == {"gender": "[REDACTED]", "k": "1"}
     assert tuple(r["inner"][0]) == ("[REDACTED]", "x")
     text = spark.createDataFrame([('{"Name": "n", "k": 1}',)], "t string")
-    assert text.select(redact_json(F.col("t"))).first()[0] == '{"Name":"[REDACTED]","k":"1"}'
+    assert text.select(redact_json(F.col("t"))).first()[0] == '{"Name":"[REDACTED]","k":1}'
+    deep = spark.createDataFrame([('{"a": [{"email": {"x": 1}}, null], "n": 1.50}',), ("no json",), (None,), ("3",)], "t string")
+    assert [r[0] for r in deep.select(redact_json(F.col("t"))).collect()] == ['{"a":[{"email":"[REDACTED]"},null],"n":1.5}', None, None, None]
 
 
 def test_latency_quantile_inside_a_bucket(spark):
