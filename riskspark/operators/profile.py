@@ -15,11 +15,12 @@ from riskspark.operators.distribution import (
     exact_quantiles,
     finite,
     quantiles_from_curve,
+    running_totals,
     small,
     unpivot,
-    value_curve,
 )
 from riskspark.operators.quality import missing_values
+from riskspark.session import written
 
 # Default profile columns.
 NUMERIC_COLUMNS = ("tenure", "MonthlyCharges", "TotalCharges")
@@ -87,19 +88,40 @@ def target_balance(df: DataFrame, target: str, positive: str = "Yes", negative:
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
-    """Moments, exact quartiles, skewness (bias-corrected), IQR and outlier count per column."""
+    """Moments, exact quartiles, skewness (bias-corrected), IQR and outlier count per column.
+
+    The table is read once: its value histogram is written, and all figures come from it.
+    """
     columns = [c for c in columns if c in df.columns]
     long = unpivot(df, columns).filter(F.col("value").isNotNull())
-    n = F.count(F.lit(1))
-    moments = long.groupBy("feature").agg(
-        n.alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
+    hist = written(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")), "value-histogram")
+    sums = hist.groupBy("feature").agg(
+        F.sum("n").alias("count"),
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-        F.skewness("value").alias("g1"),
     )
-    curve = value_curve(long, ["feature"], "value")
+    off = F.col("value") - F.col("mean")
+    central = (
+        hist.join(small(sums, len(columns)), "feature")
+        .groupBy("feature", "count", "mean", "min", "max")
+        .agg(
+            F.sum(F.col("n") * off * off).alias("m2"),
+            F.sum(F.col("n") * off * off * off).alias("m3"),
+        )
+    )
+    moments = central.select(
+        "feature",
+        "count",
+        "mean",
+        "min",
+        "max",
+        F.when(F.col("count") > 1, F.sqrt(F.col("m2") / (F.col("count") - 1))).alias("std"),
+        F.when(
+            F.col("m2") > 0, (F.col("m3") / F.col("count")) / F.pow(F.col("m2") / F.col("count"), 1.5)
+        ).alias("g1"),
+    )
+    curve = written(running_totals(hist, ["feature"], "value", ["n"]), "value-curve")
     quartiles = quantiles_from_curve(curve, ["feature"], "value", QUARTILES, out="q")
     bounds = quartiles.select(
         "feature",
