@@ -230,16 +230,16 @@ def candidates(classes: DataFrame) -> DataFrame:
     return pairs.union(spokes).where("u < v").distinct()
 
 
-def near_copies(
+def copy_groups(
     docs: DataFrame, id: str, text: str, words: int = 5, similarity: float = SIMILARITY
-) -> DataFrame:
-    """Groups of texts with equal or nearly equal shingle sets: ``id``, ``k1``, ``k2`` and ``component_id``.
+) -> tuple[DataFrame, DataFrame]:
+    """Different pairs of id and text (``__id``, ``k1``, ``k2``), and the group of each text.
 
-    For copies whose SimHashes differ in many bits: candidates share one of several SimHashes of sampled
+    ``k1`` and ``k2`` stand for the text. The second table has a row for each text: ``k1``, ``k2``, ``least`` (its
+    least id) and ``component``, the least node (``least``, ``k1``, ``k2``) of its group. Ids are not
+    unique, so only the node stands for a group. Candidates share one of several SimHashes of sampled
     shingles, and count as links if the Jaccard similarity of their whole sets of ``words``-word
-    shingles is at least ``similarity``. One row for each different pair of id and text; ``k1`` and ``k2`` stand for the text.
-    ``component_id`` is the least id of a group. Null and empty texts are equal to each other; a
-    null id is named only if its group has no other; an empty table gives an empty one.
+    shingles is at least ``similarity``. Null and empty texts are equal to each other.
     """
 
     small_batches(docs.sparkSession)
@@ -286,36 +286,47 @@ def near_copies(
     grouped = classes.join(reached, "node", "left").select(
         "k1", "k2", "least", F.coalesce("component", "node").alias("component")
     )
-    grouped = stored(grouped, "copy-groups")
+    return printed.select("__id", "k1", "k2").distinct(), stored(grouped, "copy-groups")
+
+
+def near_copies(
+    docs: DataFrame, id: str, text: str, words: int = 5, similarity: float = SIMILARITY
+) -> DataFrame:
+    """Groups of texts with equal or nearly equal shingle sets: ``id``, ``k1``, ``k2``, ``component`` and ``component_id``.
+
+    For copies whose SimHashes differ in many bits, see :func:`copy_groups`. One row for each different pair of
+    id and text. ``component`` stands for the group, ``component_id`` is its least id; groups can share it. A
+    null id is named only if its group has no other; an empty table gives an empty one.
+    """
+    ids, grouped = copy_groups(docs, id, text, words, similarity)
     # Null ids sort first among nodes, but name a group only if it has no other.
     named = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = grouped.join(named, "component").select("k1", "k2", "component_id")
-    ids = printed.select("__id", "k1", "k2").distinct()
-    return ids.join(named, ["k1", "k2"]).select(F.col("__id").alias(id), "k1", "k2", "component_id")
+    named = grouped.join(named, "component").select("k1", "k2", "component", "component_id")
+    return ids.join(named, ["k1", "k2"]).select(
+        F.col("__id").alias(id), "k1", "k2", "component", "component_id"
+    )
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group of :func:`near_copies`: that of the least id, and of its rows the one with the least text key.
+    """One row of each group of :func:`copy_groups`: that of the least id, and of its rows the one with the least text key.
 
-    All columns are kept. Of repeated rows one stays.
+    An id with several texts can stand for several groups and then stays with one text of each; of
+    groups with null ids only, each keeps a row. All columns are kept. Of repeated rows one stays.
     """
-    groups = near_copies(docs, id, text)
-    kept = (
-        groups.where(F.col(id).eqNullSafe(F.col("component_id")))
-        .groupBy(id)
-        .agg(F.min(F.struct("k1", "k2")).alias("__k"))
-        .select(F.col(id).alias("__id"), F.col("__k.k1").alias("__k1"), F.col("__k.k2").alias("__k2"))
+    _, grouped = copy_groups(docs, id, text)
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "k1", "k2"))
+    kept = grouped.groupBy("component").agg(first.alias("__k")).select(
+        F.col("__k.least").alias("__id"), F.col("__k.k1").alias("__k1"), F.col("__k.k2").alias("__k2")
     )
     kept = stored(kept, "kept-documents")
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.join(
+    keys = {"__t1": F.xxhash64(body), "__t2": F.xxhash64(F.lit("second"), body)}
+    rows = docs.withColumns(keys).join(
         kept,
-        F.col(id).eqNullSafe(F.col("__id"))
-        & (F.xxhash64(body) == F.col("__k1"))
-        & (F.xxhash64(F.lit("second"), body) == F.col("__k2")),
+        F.col(id).eqNullSafe(F.col("__id")) & (F.col("__t1") == F.col("__k1")) & (F.col("__t2") == F.col("__k2")),
         "left_semi",
     )
-    return rows.dropDuplicates([id])
+    return rows.dropDuplicates([id, "__t1", "__t2"]).drop("__t1", "__t2")
 
 
 def op9_simhash_components(spark, sf_dir):

@@ -139,3 +139,23 @@ def test_near_copies_of_the_given_documents(spark, sf_dir):
     for i, g in groups.items():
         least[g] = min(least.get(g, i), i)
     assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == set(least.values())
+
+
+def test_groups_without_an_id_of_their_own_stay(spark):
+    rng = random.Random(12)
+    base = [[f"word{rng.randint(0, 9000)}" for _ in range(200)] for _ in range(6)]
+    rows = [(None, " ".join(b)) for b in base[:4]] + [(None, " ".join(base[0] + ["end"]))]
+    # Document 5 has texts of two groups, one of them shared with document 9.
+    rows += [(5, " ".join(base[4])), (5, " ".join(base[5])), (9, " ".join(base[5] + ["end"])), (5, " ".join(base[4]))]
+    # A text without id belongs to a group with one.
+    rows += [(None, " ".join(base[4] + ["end"]))]
+    texts = sorted({(str(i), t) for i, t in rows})
+    sets = {k: shingle_set(k[1]) for k in texts}
+    close = [(a, b) for a in texts for b in texts if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    groups = grouped(close, texts)
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    mine = [(str(r["doc_id"]), r["text"]) for r in kept]
+    assert len(set(groups.values())) == 6 == len(mine)
+    # One row for each group of brute force, and an id where the group has one.
+    assert {groups[k] for k in mine} == set(groups.values())
+    assert sorted(i for i, _ in mine) == ["5", "5", "None", "None", "None", "None"]
