@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskspark.session import new_scratch_path
@@ -82,6 +82,32 @@ def hashed_sample(rows: DataFrame, order: Column, size: int, *ties: str) -> Data
     return rows.where(place < int(limit)).orderBy(place, *ties).limit(size)
 
 
+def labelled_texts(
+    docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, usable: Column, size: int
+) -> DataFrame:
+    """Whole texts of at most ``size`` labelled documents of each class 0 and 1: ``__id``, ``__y``, ``__text``, ``__half``.
+
+    Drawn by a hash of the id among rows that are ``usable``, whatever their length. Ids are chosen first, from narrow
+    rows; their texts are fetched with a broadcast of these ids, at most ``2 * size``, and written, not gathered. Repeated
+    ids count once, with their least label and text; rows without a label or id are not drawn. ``__half`` deals the
+    documents of each class by turns to 0 and 1.
+    """
+    one = labels.groupBy(F.col(id).alias("__id")).agg(F.min(label).cast("int").alias("__y"))
+    rows = docs.where(usable & F.col(id).isNotNull()).select(F.col(id).alias("__id"), F.col(text).alias("__text"))
+    known = stored(rows.select("__id").distinct().join(one, "__id"), "labelled-ids")
+    order = F.xxhash64(F.col("__id").cast("string"), F.lit("sample"))
+    chosen = None
+    for y in (0, 1):
+        part = hashed_sample(known.where(F.col("__y") == y), order, size, "__id")
+        # At most ``size`` narrow rows.
+        turn = F.row_number().over(Window.partitionBy("__y").orderBy(F.col("__id").cast("string")))
+        part = part.withColumn("__half", (turn - 1) % 2)
+        chosen = part if chosen is None else chosen.union(part)
+    chosen = stored(chosen, "sample-ids")
+    found = rows.join(F.broadcast(chosen), "__id").groupBy("__id", "__y", "__half")
+    return stored(found.agg(F.min("__text").alias("__text")), "sample-texts")
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, usable: Column, size: int, longest: int
 ) -> dict[int, list[bytes]]:

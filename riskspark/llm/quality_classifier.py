@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from riskspark.llm import logistic
-from riskspark.llm.common import id_remainder, labelled_sample, small_batches, table, utf8
+from riskspark.llm.common import id_remainder, labelled_texts, small_batches, table, utf8
 
 #: Labelled documents of each class used at most for the two dictionaries, and as many for calibration.
 SAMPLE = 2_000
-#: Longer documents are not sampled; they are scored like all others.
+#: Bytes of a document that train a dictionary at most; of a longer one, pieces spread evenly over it.
 SAMPLE_BYTES = 65_536
+#: Texts are compressed in pieces of so many bytes, so that a dictionary helps everywhere and not at the head only.
+PIECE = 2_048
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
 
@@ -32,8 +34,20 @@ def _dictionary(samples: list[bytes]) -> zstandard.ZstdCompressionDict:
         return zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
+def spread(text: bytes) -> bytes:
+    """A text of up to ``SAMPLE_BYTES`` bytes, or as many bytes in pieces spread evenly over a longer one."""
+    if len(text) <= SAMPLE_BYTES:
+        return text
+    n = SAMPLE_BYTES // PIECE
+    starts = [i * (len(text) - PIECE) // (n - 1) for i in range(n)]
+    return b"".join(text[a : a + PIECE] for a in starts)
+
+
 def measures(good: bytes, bad: bytes, raw: tuple[bool, bool]) -> Callable[[bytes], tuple[float, ...]]:
-    """A function from text bytes to the normalised difference and the compressed sizes per byte."""
+    """A function from text bytes to the normalised difference and the compressed sizes per byte.
+
+    Sizes are sums over all pieces of the text, so each part has an equal say however long the text is.
+    """
     kinds = [zstandard.DICT_TYPE_RAWCONTENT if r else zstandard.DICT_TYPE_FULLDICT for r in raw]
     dictionaries = [
         zstandard.ZstdCompressionDict(d, dict_type=k) for d, k in zip((good, bad), kinds)
@@ -45,8 +59,10 @@ def measures(good: bytes, bad: bytes, raw: tuple[bool, bool]) -> Callable[[bytes
 
     def of(text: bytes) -> tuple[float, ...]:
         n = len(text) + 1
-        g, b, p = (len(c.compress(text)) for c in (by_good, by_bad, plain))
-        return (b - g) / (b + g), np.log(n), p / n, g / n, b / n
+        pieces = [text[at : at + PIECE] for at in range(0, len(text), PIECE)] or [b""]
+        g, b, p = (sum(len(c.compress(piece)) for piece in pieces) for c in (by_good, by_bad, plain))
+        # Beyond one piece the length says nothing more about the sizes per byte.
+        return (b - g) / (b + g), np.log(min(n, PIECE)), p / n, g / n, b / n
 
     return of
 
@@ -54,14 +70,27 @@ def measures(good: bytes, bad: bytes, raw: tuple[bool, bool]) -> Callable[[bytes
 class CompressionClassifier:
     """Two dictionaries and the weights that turn compressed sizes into a score."""
 
-    def __init__(self, good: list[bytes], bad: list[bytes], texts: list[bytes], labels: list[int]):
+    def __init__(self, good: list[bytes], bad: list[bytes]):
         trained = [_dictionary(good), _dictionary(bad)]
         # A trained dictionary has an id, raw content has none.
         self.raw = tuple(d.dict_id() == 0 for d in trained)
         self.good, self.bad = (d.as_bytes() for d in trained)
-        of = measures(self.good, self.bad, self.raw)
-        x = np.array([of(t) for t in texts], float).reshape(len(texts), 5)
-        self.weights, self.intercept = logistic.fit(x, np.array(labels, float))
+        self.weights, self.intercept = np.zeros(5), 0.0
+
+    def calibrate(self, rows: DataFrame, id: str, text: str, label: str) -> None:
+        """Fit the weights; of the rows only five numbers each reach the driver."""
+        good, bad, raw = self.good, self.bad, self.raw
+
+        @F.pandas_udf("array<double>")
+        def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            measure = measures(good, bad, raw)
+            for texts in batches:
+                yield pd.Series([list(map(float, measure(utf8(t)))) for t in texts], dtype=object)
+
+        found = rows.select(F.col(id).cast("string"), label, of(text)).collect()
+        found.sort(key=lambda r: (-r[1], r[0]))
+        x = np.array([r[2] for r in found], float).reshape(len(found), 5)
+        self.weights, self.intercept = logistic.fit(x, np.array([r[1] for r in found], float))
 
     def score(self, text: Column) -> Column:
         """Calibrated probability that a text has label 1; null counts as empty."""
@@ -81,17 +110,23 @@ class CompressionClassifier:
 def learn(
     docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, usable: Column
 ) -> CompressionClassifier:
-    """Fit on a bounded sample of labelled rows.
+    """Fit on a bounded sample of labelled rows of any length.
 
-    For each class at most ``2 * SAMPLE`` documents of up to ``SAMPLE_BYTES`` bytes reach the driver,
-    one half for the dictionary and the other for calibration. Without any label every score
-    is one half.
+    For each class at most ``2 * SAMPLE`` documents are drawn, one half for the dictionary (``SAMPLE_BYTES`` bytes of
+    each at most reach the driver) and the other for calibration, measured whole where it lies. Without any
+    label every score is one half.
     """
-    parts = labelled_sample(docs, labels, id, text, label, usable, 2 * SAMPLE, SAMPLE_BYTES)
-    good, bad = parts[1], parts[0]
-    return CompressionClassifier(
-        good[::2], bad[::2], good[1::2] + bad[1::2], [1] * len(good[1::2]) + [0] * len(bad[1::2])
-    )
+    drawn = labelled_texts(docs, labels, id, text, label, usable, 2 * SAMPLE)
+
+    @F.pandas_udf("binary")
+    def part(texts: pd.Series) -> pd.Series:
+        return pd.Series([spread(utf8(t)) for t in texts], dtype=object)
+
+    half = drawn.where("__half = 0").select(F.col("__id").cast("string"), "__y", part("__text")).collect()
+    half.sort(key=lambda r: r[0])
+    model = CompressionClassifier(*([bytes(r[2]) for r in half if r[1] == y] for y in (1, 0)))
+    model.calibrate(drawn.where("__half = 1"), "__id", "__text", "__y")
+    return model
 
 
 def classify(

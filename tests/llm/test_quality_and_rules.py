@@ -124,3 +124,34 @@ def test_query_statistics(spark, sf_dir):
         assert tuple(r[n] for n in rules.BASE) == want
         assert r["base_failed"] == (want[0] < 50 or 100 * want[4] > 50 * want[0])
         assert not (r["kept"] and r["base_failed"])
+
+
+def test_long_documents_are_judged_by_all_of_their_text(spark, sf_dir):
+    folder = sf_dir.replace("sf0.001", "sf0.1")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    held = docs.where(quality_classifier.id_remainder("doc_id", 3) == 1).join(labels, "doc_id").orderBy("doc_id").toPandas()
+    held["bytes"] = held["text"].str.encode("utf-8").str.len()
+    made, rng = [], np.random.default_rng(7)
+    for quality in (0, 1):
+        texts = held[held["quality"] == quality]["text"].tolist()
+        for size in (30_000, 100_000, 300_000):
+            for _ in range(12):
+                text = ""
+                while len(text) < size:
+                    text += texts[rng.integers(len(texts))] + "\n"
+                made.append((-1 - len(made), text, quality, size))
+    joined = pd.DataFrame(made, columns=["doc_id", "text", "quality", "size"])
+    rows = docs.union(spark.createDataFrame(joined[["doc_id", "text"]], "doc_id long, text string"))
+    got = quality_classifier.classify(rows, labels).select("doc_id", "predicted", "score").toPandas()
+    both = joined.merge(got, on="doc_id")
+    print(both.groupby(["size", "quality"])["predicted"].agg(["mean", "count"]))
+    own = held.merge(got, on="doc_id")
+    own["band"] = pd.cut(own["bytes"], [-1, 500, 2_000, 8_000, 1 << 40]).astype(str)
+    print(own.groupby(["band", "quality"])["predicted"].agg(["mean", "count"]))
+    print("auc", auc(own["score"], own["quality"]))
+    for size in (30_000, 100_000, 300_000):
+        part = both[both["size"] == size]
+        assert part[part["quality"] == 0]["predicted"].mean() < 0.1
+        assert part[part["quality"] == 1]["predicted"].mean() > 0.9
+    assert own[(own["bytes"] > 8_000) & (own["quality"] == 0)]["predicted"].mean() < 0.2
