@@ -87,10 +87,11 @@ class LanguageModel:
         return value
 
 
-def decode(written: str, model: LanguageModel) -> str:
+def decode(written: str, model: LanguageModel, whole: bool = False) -> str:
     """The likeliest word behind a written one: Viterbi over the lattice of readings.
 
-    A state is the last two letters read; the work grows linearly with the length.
+    A state is the last two letters read; the work grows linearly with the length. With ``whole`` only
+    characters that stand for no letter are dropped.
     """
     states: dict[tuple[str, str], tuple[float, tuple | None]] = {("^", "^"): (0.0, None)}
     previous = ""
@@ -104,6 +105,8 @@ def decode(written: str, model: LanguageModel) -> str:
             drop = SEPARATOR
         elif char.isdigit() or not readings:
             drop = DIGIT
+        if whole and readings:
+            drop = None
         new: dict[tuple[str, str], tuple[float, tuple | None]] = {}
         for (a, b), (weight, path) in states.items():
             if drop is not None and (a, b) not in new or drop is not None and new[a, b][0] < weight + drop:
@@ -133,17 +136,24 @@ def restore(chunk: str, model: LanguageModel) -> list[str]:
     """Readings of a piece of text: itself if it is a plain word, else also the decoded word."""
     chunk = plain(chunk)
     core = _EDGES.sub("", chunk)
+    found = []
+    if core != chunk and any(c in LEET for c in chunk if not c.isalnum()):
+        # A symbol at an edge may be punctuation or a letter, and a doubled one two letters.
+        found = [decode(chunk, model), decode(chunk, model, whole=True)]
     if core.isalpha():
-        if not _RUN.search(core):
-            return [core]
-        return [core, decode(core, model)]
+        return [core, *found] if not _RUN.search(core) else [core, decode(core, model), *found]
     if not any(c.isalpha() for c in chunk):
-        return []
-    found = [decode(core, model)] if core else []
-    if core != chunk and any(c in LEET for c in chunk if not c.isalnum()):
-        found.append(decode(chunk, model))
+        return found
     # Joined plain words are also read one by one.
-    return found + [w for w in re.split(r"[\W\d_]+", core) if len(w) > 1]
+    return [decode(core, model), *found] + [w for w in re.split(r"[\W\d_]+", core) if len(w) > 1]
+
+
+def readings(chunk: str, model: LanguageModel) -> list[str]:
+    """As :func:`restore`; a number is also read as the word its digits can stand for."""
+    found = restore(chunk, model)
+    if not found and any(c in LEET for c in plain(chunk)):
+        found = [decode(plain(chunk), model, whole=True)]
+    return found
 
 
 def spaced(text: str) -> list[str]:
@@ -223,7 +233,7 @@ class TextReader:
     def words(self, text: str | None) -> list[str]:
         """All restored words of a text."""
         text = text or ""
-        found = [w for chunk in text.split() for w in restore(chunk, self.model)]
+        found = [w for chunk in text.split() for w in readings(chunk, self.model)]
         return found + [decode(plain(s), self.model) for s in spaced(text)]
 
     def weight(self, word: str) -> float:
@@ -239,7 +249,7 @@ class TextReader:
         chunks = text.split()
         weights = []
         for chunk in set(chunks).difference(known):
-            known[chunk] = max(map(self.weight, restore(chunk, self.model)), default=0.0)
+            known[chunk] = max(map(self.weight, readings(chunk, self.model)), default=0.0)
         values = np.fromiter(map(known.__getitem__, chunks), float, len(chunks))
         if len(known) > MEMORY:
             known.clear()

@@ -34,6 +34,24 @@ def test_plain_words_stay(model):
     assert toxicity.restore("2024", model) == [] and toxicity.restore("--", model) == []
 
 
+@pytest.mark.parametrize(
+    ("written", "word"),
+    [("$tupid", "stupid"), ("!diot", "idiot"), ("a$$", "ass"), ("@$$", "ass"), ("worthle$$", "worthless"), ("\"$tupid\"!", "stupid")],
+)
+def test_decodes_symbols_at_the_edges(written, word):
+    grams: dict[str, int] = {}
+    for known in ("stupid", "idiot", "ass", "worthless", "as", "the"):
+        padded = f"^^{known}$"
+        for i in range(len(padded) - 2):
+            grams[padded[i : i + 3]] = grams.get(padded[i : i + 3], 0) + 50
+    assert word in toxicity.restore(written, toxicity.LanguageModel(grams))
+
+
+def test_numbers_are_read_too(model):
+    assert toxicity.readings("7045", model) == ["toas"]
+    assert toxicity.readings("--", model) == []
+
+
 def test_spaced_letters_are_joined():
     assert toxicity.spaced("you s t u p i d thing") == ["stupid"]
     assert toxicity.spaced("i.d.i.o.t") == ["idiot"]
