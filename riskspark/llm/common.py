@@ -106,30 +106,3 @@ def labelled_texts(
     chosen = stored(chosen, "sample-ids")
     found = rows.join(F.broadcast(chosen), "__id").groupBy("__id", "__y", "__half")
     return stored(found.agg(F.min("__text").alias("__text")), "sample-texts")
-
-
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, usable: Column, size: int, longest: int
-) -> dict[int, list[bytes]]:
-    """Texts of at most ``size`` labelled documents of each class 0 and 1, in an order set by a hash of the id.
-
-    Only rows that are ``usable`` and have up to ``longest`` bytes are drawn. Ids are chosen first, from narrow rows;
-    their texts are fetched with a broadcast of these ids, at most ``2 * size``. Repeated ids count
-    once, with their least label and text; rows without a label or id are not drawn.
-    """
-    one = labels.groupBy(F.col(id).alias("__id")).agg(F.min(label).cast("int").alias("__y"))
-    fits = usable & (F.octet_length(F.coalesce(F.col(text), F.lit(""))) <= longest)
-    rows = docs.select(F.col(id).alias("__id"), F.col(text).alias("__text"), fits.alias("__fits"))
-    rows = rows.where("__fits and __id is not null").drop("__fits")
-    known = stored(rows.select("__id").distinct().join(one, "__id"), "labelled-ids")
-    order = F.xxhash64(F.col("__id").cast("string"), F.lit("sample"))
-    chosen = None
-    for y in (0, 1):
-        part = hashed_sample(known.where(F.col("__y") == y), order, size, "__id")
-        chosen = part if chosen is None else chosen.union(part)
-    chosen = stored(chosen, "sample-ids")
-    found = rows.join(F.broadcast(chosen), "__id").groupBy("__id", "__y").agg(F.min("__text").alias("__text"))
-    texts: dict[int, list[bytes]] = {0: [], 1: []}
-    for row in sorted(found.collect(), key=lambda r: str(r["__id"])):
-        texts[row["__y"]].append(utf8(row["__text"]))
-    return texts

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from riskspark.llm import logistic
-from riskspark.llm.common import id_remainder, labelled_sample, small_batches, stored, table
+from riskspark.llm.common import id_remainder, labelled_texts, small_batches, stored, table
 
 # Letters that a written character can stand for.
 LEET = {
@@ -33,7 +33,8 @@ SUBSTITUTED, SEPARATOR, REPEAT, DIGIT = -1.0, -0.3, -0.2, -6.0
 ALPHABET = 64
 #: Labelled documents of each class used at most, half for the lexicon and half for calibration.
 SAMPLE = 4_000
-SAMPLE_BYTES = 65_536
+#: Texts are scored in windows of twice so many words, each beginning in the middle of the one before.
+HALF_WINDOW = 64
 #: Words keep their own weight and that of their prefixes of these lengths.
 PREFIXES = (4, 5, 6, 7)
 #: A feature enters the lexicon with so many toxic documents and so high a log-odds ratio.
@@ -46,6 +47,7 @@ MEMORY = 300_000
 _SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*][^\W_]){2,}(?!\w)|(?<!\S)\S(?: \S){3,}(?!\S)")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _RUN = re.compile(r"(.)\1\1")
+_CHUNK = re.compile(r"\S+")
 _DOUBLE = re.compile(r"(.)\1+")
 
 
@@ -156,9 +158,14 @@ def readings(chunk: str, model: LanguageModel) -> list[str]:
     return found
 
 
+def spaced_runs(text: str) -> Iterator[tuple[re.Match, str]]:
+    """Runs of single characters, and joined."""
+    return ((m, re.sub(r"[ .\-_*]", "", m.group())) for m in _SPACED.finditer(text))
+
+
 def spaced(text: str) -> list[str]:
     """Runs of single characters, joined."""
-    return [re.sub(r"[ .\-_*]", "", m.group()) for m in _SPACED.finditer(text)]
+    return [s for _, s in spaced_runs(text)]
 
 
 def features(word: str) -> Iterator[str]:
@@ -176,36 +183,52 @@ class ToxicityModel:
         self.lexicon: dict[str, float] = {}
         self.weights, self.intercept = np.zeros(4), 0.0
 
-    def reader(self) -> TextReader:
-        return TextReader(self.trigrams, self.lexicon)
-
-    def fit(self, toxic: list[str], clean: list[str], odds: float) -> None:
-        """Learn the lexicon from every second document and calibrate on the others.
+    def fit(self, drawn: DataFrame, odds: float) -> None:
+        """Learn the lexicon from one half of the drawn documents and calibrate on the other, whatever their length.
 
-        ``odds`` is the ratio of toxic to clean among all labelled rows; the samples are balanced.
+        ``odds`` is the ratio of toxic to clean among all labelled rows; the samples are balanced. Texts are read
+        where they lie: to the driver come the lexicon and four numbers of each document's heaviest window.
         """
-        reader = self.reader()
-        seen = [Counter(), Counter()]
-        for side, texts in enumerate((clean[::2], toxic[::2])):
-            for text in texts:
-                seen[side].update({f for w in reader.words(text) for f in features(w)})
-        n0, n1 = len(clean[::2]) + 1, len(toxic[::2]) + 1
-        scored = {
-            f: math.log((a + 0.5) / n1) - math.log((seen[0][f] + 0.5) / n0)
-            for f, a in seen[1].items()
-            if a >= SUPPORT
-        }
-        best = sorted((f for f, w in scored.items() if w >= LEAST_ODDS), key=lambda f: (-scored[f], f))
-        self.lexicon = {f: scored[f] for f in best[:LEXICON]}
-        reader = self.reader()
-        x = np.array([reader.measure(t) for t in clean[1::2] + toxic[1::2]], float).reshape(-1, 4)
-        y = np.array([0.0] * len(clean[1::2]) + [1.0] * len(toxic[1::2]))
+        trigrams = self.trigrams
+
+        def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            reader = TextReader(trigrams, {})
+            for batch in batches:
+                for y, text in zip(batch["__y"], batch["__text"]):
+                    found = list({f for w in reader.words(text) for f in features(w)})
+                    yield pd.DataFrame({"f": pd.Series(found, dtype=object), "y": np.full(len(found), y, np.int32)})
+
+        half = drawn.where("__half = 0")
+        sizes = {r[0]: r[1] for r in half.groupBy("__y").count().collect()}
+        n0, n1 = sizes.get(0, 0) + 1, sizes.get(1, 0) + 1
+        counts = (
+            half.select("__y", "__text")
+            .mapInPandas(seen, "f string, y int")
+            .groupBy("f")
+            .agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
+            .where(F.col("a") >= SUPPORT)
+        )
+        weight = F.log((F.col("a") + 0.5) / n1) - F.log((F.col("b") + 0.5) / n0)
+        best = counts.select("f", weight.alias("w")).where(F.col("w") >= LEAST_ODDS)
+        self.lexicon = {r[0]: r[1] for r in best.orderBy(F.desc("w"), "f").limit(LEXICON).collect()}
+        lexicon = self.lexicon
+
+        @F.pandas_udf("array<double>")
+        def heaviest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            reader = TextReader(trigrams, lexicon)
+            for texts in batches:
+                yield pd.Series([max(reader.measure(t).tolist()) for t in texts], dtype=object)
+
+        rows = drawn.where("__half = 1").select(F.col("__id").cast("string"), "__y", heaviest("__text")).collect()
+        rows.sort(key=lambda r: (r[1], r[0]))
+        x = np.array([r[2] for r in rows], float).reshape(-1, 4)
+        y = np.array([r[1] for r in rows], float)
         self.weights, self.intercept = logistic.fit(x, y)
         if 0 < y.sum() < len(y):
             self.intercept += math.log(odds) - math.log(y.sum() / (len(y) - y.sum()))
 
     def score(self, text: Column) -> Column:
-        """Probability that a text is toxic, of the whole text; null counts as empty."""
+        """Probability that a text is toxic: that of its most toxic window; null counts as empty."""
         trigrams, lexicon = self.trigrams, self.lexicon
         weights, intercept = self.weights, self.intercept
 
@@ -213,8 +236,8 @@ class ToxicityModel:
         def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             reader = TextReader(trigrams, lexicon)
             for texts in batches:
-                x = np.array([reader.measure(t) for t in texts], float).reshape(-1, 4)
-                yield pd.Series(logistic.score(x, weights, intercept))
+                best = [logistic.score(reader.measure(t), weights, intercept).max() for t in texts]
+                yield pd.Series(best, dtype=float)
 
         return of(text)
 
@@ -242,26 +265,37 @@ class TextReader:
             best = self.single.get("=" + _DOUBLE.sub(r"\1", word), 0.0)
         return best
 
-    def measure(self, text: str | None) -> tuple[float, float, float, float]:
-        """Sum, largest, mean and number of the weights of a text's words."""
+    def measure(self, text: str | None) -> np.ndarray:
+        """Sum, largest, mean and number of the weights of the words of each window of a text, a row each."""
         text = text or ""
         known = self.known
         chunks = text.split()
-        weights = []
         for chunk in set(chunks).difference(known):
             known[chunk] = max(map(self.weight, readings(chunk, self.model)), default=0.0)
         values = np.fromiter(map(known.__getitem__, chunks), float, len(chunks))
         if len(known) > MEMORY:
             known.clear()
-        weights = values[values > 0].tolist()
-        weights += [w for s in spaced(text) if (w := self.weight(decode(plain(s), self.model)))]
-        total = sum(weights)
-        return (
-            math.log1p(total),
-            max(weights, default=0.0),
-            total / (len(chunks) + 20),
-            math.log1p(sum(w >= 3 for w in weights)),
-        )
+        n = max(1, -(-len(chunks) // HALF_WINDOW))
+        total, most, hits = np.zeros(n), np.zeros(n), np.zeros(n)
+        words = np.full(n, HALF_WINDOW)
+        words[-1] = len(chunks) - HALF_WINDOW * (n - 1)
+
+        def add(at: np.ndarray, weights: np.ndarray) -> None:
+            np.add.at(total, at, weights)
+            np.maximum.at(most, at, weights)
+            np.add.at(hits, at, weights >= 3)
+
+        heavy = np.flatnonzero(values)
+        add(heavy // HALF_WINDOW, values[heavy])
+        joined = [(m.start(), w) for m, s in spaced_runs(text) if (w := self.weight(decode(plain(s), self.model)))]
+        if joined:
+            starts = np.fromiter((m.start() for m in _CHUNK.finditer(text)), np.int64, len(chunks))
+            at = np.searchsorted(starts, [place for place, _ in joined], side="right") - 1
+            add(at // HALF_WINDOW, np.array([w for _, w in joined]))
+        if n > 1:
+            total, hits, words = (x[:-1] + x[1:] for x in (total, hits, words))
+            most = np.maximum(most[:-1], most[1:])
+        return np.stack([np.log1p(total), most, total / (words + 20), np.log1p(hits)], axis=1)
 
 
 def corpus_trigrams(docs: DataFrame, text: str) -> dict[str, int]:
@@ -321,7 +355,8 @@ def score_toxicity(
     """``docs`` with ``held_out``, ``score`` and ``predicted`` (score of one half or more).
 
     The language model counts all documents; labels are learned from only where ``crc32(id as
-    text) mod 5`` is not 0, on at most ``SAMPLE`` documents of each class. Null and empty texts
+    text) mod 5`` is not 0, on at most ``SAMPLE`` documents of each class, of any length. The score of a text is that of
+    its most toxic window. Null and empty texts
     get the score of a text without words; a null id counts as ""; repeated rows and other
     columns are kept (columns named as those added are replaced); repeated labels of an id count as
     their least; without labels the score is one half; an empty table gives an empty one.
@@ -329,10 +364,9 @@ def score_toxicity(
     small_batches(docs.sparkSession)
     usable = id_remainder(id, 5) != 0
     model = ToxicityModel(corpus_trigrams(docs, text))
-    parts = labelled_sample(docs, labels, id, text, label, usable, SAMPLE, SAMPLE_BYTES)
+    drawn = labelled_texts(docs, labels, id, text, label, usable, SAMPLE)
     n = {r[0]: r[1] for r in labels.where(id_remainder(id, 5) != 0).groupBy(label).count().collect()}
-    as_text = {y: [t.decode("utf-8", "surrogatepass") for t in parts[y]] for y in (0, 1)}
-    model.fit(as_text[1], as_text[0], (n.get(1, 0) + 1) / (n.get(0, 0) + 1))
+    model.fit(drawn, (n.get(1, 0) + 1) / (n.get(0, 0) + 1))
     return (
         docs.drop("held_out", "score", "predicted")
         .withColumn("held_out", id_remainder(id, 5) == 0)

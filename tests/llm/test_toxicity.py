@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from riskspark.llm import toxicity
@@ -102,3 +103,38 @@ def test_held_out_accuracy(spark, sf_dir):
     held = got[got["held_out"]].merge(labels, on="doc_id")
     assert len(got) == 10_000 and auc(held["score"], held["toxic"]) > 0.9
     assert (held["predicted"] == held["toxic"]).mean() > 0.95
+
+
+def test_long_documents_are_scored_by_windows(spark, sf_dir):
+    folder = sf_dir.replace("sf0.001", "sf0.1")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    held = docs.where(toxicity.id_remainder("doc_id", 5) == 0).join(labels, "doc_id").orderBy("doc_id").toPandas()
+    kinds = [held[held["toxic"] == y]["text"].tolist() for y in (0, 1)]
+    rng, made = np.random.default_rng(3), []
+    for size, times in ((30_000, 12), (100_000, 12), (300_000, 8), (1_000_000, 4)):
+        for k in range(2 * times):
+            parts, length, used = [], 0, set()
+            while length < size:
+                at = int(rng.integers(len(kinds[0])))
+                used.add(at)
+                parts.append(kinds[0][at])
+                length += len(parts[-1])
+            if k % 2:
+                parts.insert(rng.integers(len(parts) + 1), kinds[1][rng.integers(len(kinds[1]))])
+            made.append((-1 - len(made), "\n".join(parts), k % 2, size, used))
+    joined = pd.DataFrame(made, columns=["doc_id", "text", "toxic", "size", "used"])
+    rows = docs.union(spark.createDataFrame(joined[["doc_id", "text"]], "doc_id long, text string"))
+    got = toxicity.score_toxicity(rows, labels).select("doc_id", "predicted", "score").toPandas()
+    both = joined.merge(got, on="doc_id")
+    print(both.groupby(["size", "toxic"])["predicted"].agg(["mean", "sum", "count"]))
+    own = held.merge(got, on="doc_id")
+    own["band"] = pd.cut(own["text"].str.len(), [-1, 500, 2_000, 8_000, 1 << 40]).astype(str)
+    print(own.groupby(["band", "toxic"])["predicted"].agg(["mean", "sum", "count"]))
+    print("auc", auc(own["score"], own["toxic"]))
+    # A clean text that is flagged by itself is flagged inside a longer one too; length adds nothing to it.
+    alone = own[own["toxic"] == 0]["predicted"].tolist()
+    both["flagged"] = [any(alone[i] for i in u) for u in both["used"]]
+    clean, toxic = both[(both["toxic"] == 0) & ~both["flagged"]], both[both["toxic"] == 1]
+    print("clean parts only", len(clean), int(clean["predicted"].sum()))
+    assert len(clean) > 20 and clean["predicted"].mean() < 0.05 and toxic["predicted"].mean() > 0.85
