@@ -1,10 +1,10 @@
-"""The registered queries of the ten operators and their check SQL."""
+"""The registered queries of the operators and their check SQL."""
 
 from __future__ import annotations
 
-from riskspark.llm import bpe, chat, decontamination, quality_classifier, rules, sharding, simhash, suffix_dedup, toxicity, wavelet
+from riskspark.llm import bpe, chat, decontamination, pieces, quality_classifier, rules, sharding, simhash, suffix_dedup, toxicity, wavelet
 
-MODULES = (sharding, suffix_dedup, bpe, decontamination, quality_classifier, rules, toxicity, wavelet, simhash, chat)
+MODULES = (sharding, suffix_dedup, bpe, decontamination, quality_classifier, rules, toxicity, wavelet, simhash, chat, pieces)
 
 QUERIES = {name: f for module in MODULES for name, f in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

@@ -1,7 +1,7 @@
-"""Token ids of texts by way of their blank-separated pieces.
+"""Token ids of texts by way of pieces that are encoded on their own.
 
-The word tokenizer drops white space and never joins across it, so a text's ids are those of its pieces, one
-after the other. Each distinct piece is resolved once per worker.
+The word tokenizer drops white space and never joins across it, so a text's ids are those of its blank-separated pieces, one
+after the other; another tokenizer brings its own way to split. Each distinct piece is resolved once per worker.
 """
 
 from __future__ import annotations
@@ -19,13 +19,15 @@ BLOCK_BYTES = 2_000_000
 
 #: From new pieces to their ids.
 Resolver = Callable[[list[bytes]], Iterable[Iterable[int]]]
+#: From a text to its pieces, in order.
+Splitter = Callable[[bytes], list[bytes]]
 
 
 class ChunkTable:
     """A bounded memory of pieces and their ids."""
 
-    def __init__(self, resolve: Resolver, memory: int = MEMORY):
-        self.resolve, self.memory = resolve, memory
+    def __init__(self, resolve: Resolver, memory: int = MEMORY, split: Splitter = bytes.split):
+        self.resolve, self.memory, self.split = resolve, memory, split
         self._clear()
 
     def _clear(self) -> None:
@@ -46,7 +48,7 @@ class ChunkTable:
     def _block(self, block: list[bytes]) -> Iterator[np.ndarray]:
         if len(self.index) > self.memory:
             self._clear()
-        split = [text.split() for text in block]
+        split = [self.split(text) for text in block]
         new = list(set(chain.from_iterable(split)).difference(self.index))
         for chunk, ids in zip(new, self.resolve(new), strict=True):
             self.index[chunk] = len(self.index)
