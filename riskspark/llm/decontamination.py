@@ -1,5 +1,7 @@
 """Benchmark decontamination by a prefix-filtered set join, with built-in functions only.
 
+Texts are cut into words once; the words are written and every later step reads them.
+
 A window of an item occurs in a document exactly if all its shingles do, one after the other.
 For such full containment one shingle of the window is a necessary prefix: the one that is rarest in the
 documents. Documents are joined on that shingle alone, and a candidate must have room for
@@ -13,17 +15,19 @@ from pyspark.sql import functions as F
 
 from riskspark.llm.common import stored, table
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 #: Prefix shingles up to this number are broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: ASCII characters that stand in no word: all but letters and digits.
+_BETWEEN = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 
 
 def words_of(text: Column) -> Column:
-    """Words of a text after lower-casing A-Z; null has none."""
-    plain = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    return F.regexp_extract_all(plain, F.lit(WORD), F.lit(0))
+    """Words of a text after lower-casing A-Z, runs of ASCII letters and digits and of all other characters; null has none."""
+    plain = F.translate(F.coalesce(text, F.lit("")), _UPPER + _BETWEEN, _LOWER + " " * len(_BETWEEN))
+    # A blank as pattern is split without a regular expression.
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def item_windows(items: DataFrame, id: str, text: str, window: int) -> tuple[DataFrame, DataFrame]:
@@ -49,6 +53,15 @@ def _near(small: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(small) if rows <= BROADCAST_ROWS else small
 
 
+def _cut(docs: DataFrame, text: str) -> DataFrame:
+    """The rows as ``rest``, with ``text_key`` and the words ``ws`` of each text, written."""
+    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if docs.columns else F.struct(F.lit(1))
+    rows = docs.select(
+        columns.alias("rest"), text_key(F.col(f"`{text}`")).alias("text_key"), words_of(F.col(f"`{text}`")).alias("ws")
+    )
+    return stored(rows, "text-words")
+
+
 def contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -59,15 +72,18 @@ def contamination(
 ) -> DataFrame:
     """What each text that holds a window shares with the items: ``text_key``, ``n_hit``, ``n_items``, ``items_sha256``.
 
-    ``text_key`` is :func:`text_key` of the text; join it back to rows. Equal texts are looked at
-    once, so a hot group of copies is one row. A word is hit if it lies inside any occurrence of a
+    ``text_key`` is :func:`text_key` of the text; join it back to rows. Hits of equal texts are
+    one row, so a hot group of copies is one. A word is hit if it lies inside any occurrence of a
     window. Null and empty texts have no words and are clean; items without words match nothing;
     an item with a null id counts for hit words and is not listed; repeated items count once; ids
     are listed sorted as strings. Empty tables give an empty or an all-clean result. Very
     long texts are one row each; what is kept of a text while joining is its words.
     """
+    return _contamination(_cut(docs.select(text), text), items, item_id, item_text, window)
+
+
+def _contamination(texts: DataFrame, items: DataFrame, item_id: str, item_text: str, window: int) -> DataFrame:
     windows, holders = item_windows(items, item_id, item_text, window)
-    texts = docs.select(text_key(F.col(text)).alias("text_key"), words_of(F.col(text)).alias("ws"))
     vocabulary = stored(windows.select(F.explode("words").alias("word")).distinct(), "item-words")
     n_vocabulary = vocabulary.count()
     # Rarity counts all documents.
@@ -90,16 +106,7 @@ def contamination(
         .select("wid", "words", "off", "word")
     )
     prefixes = stored(prefixes, "window-prefixes")
-    n_prefixes = prefixes.count()
-    found = (
-        texts.select("text_key", "ws", F.posexplode("ws").alias("pos", "word"))
-        .join(_near(prefixes, n_prefixes), "word")
-        .withColumn("start", F.col("pos") - F.col("off"))
-        .where((F.col("start") >= 0) & (F.col("start") + F.size("words") <= F.size("ws")))
-        .where(F.slice("ws", F.col("start") + 1, F.size("words")) == F.col("words"))
-        .select("text_key", "wid", "start", F.size("words").alias("length"))
-        .distinct()
-    )
+    found = _occurrences(texts, prefixes, prefixes.count())
     found = stored(found, "window-hits")
     hit = (
         found.select(
@@ -126,30 +133,61 @@ def contamination(
     return stored(found_in, "contaminated-texts")
 
 
+def _occurrences(texts: DataFrame, prefixes: DataFrame, rows: int) -> DataFrame:
+    """Where windows occur: ``text_key``, ``wid``, ``start``, ``length``, each once.
+
+    Few prefixes are brought to the texts, whose words are at hand then. Many are shuffled with narrow rows of
+    single words; only texts with a candidate are fetched again, each once, to compare all words.
+    """
+    start = F.col("pos") - F.col("off")
+    room = (start >= 0) & (start + F.size("words") <= F.col("n"))
+    same = F.slice("ws", F.col("start") + 1, F.size("words")) == F.col("words")
+    hit = ("text_key", "wid", "start", F.size("words").alias("length"))
+    n = F.size("ws").alias("n")
+    if rows <= BROADCAST_ROWS:
+        words = texts.select("text_key", "ws", n, F.posexplode("ws").alias("pos", "word"))
+        near = words.join(F.broadcast(prefixes), "word").where(room).withColumn("start", start)
+        return near.where(same).select(*hit).distinct()
+    words = texts.select("text_key", n, F.posexplode("ws").alias("pos", "word"))
+    near = words.join(prefixes, "word").where(room)
+    near = stored(near.select("text_key", "wid", start.alias("start")).distinct(), "window-candidates")
+    # Copies are combined before the shuffle.
+    held = texts.join(near.select("text_key").distinct(), "text_key", "left_semi")
+    held = held.groupBy("text_key").agg(F.first("ws").alias("ws"))
+    wanted = near.join(prefixes.select("wid", "words"), "wid")
+    return wanted.join(held, "text_key").where(same).select(*hit)
+
+
 def text_key(text: Column) -> Column:
     """A 160-bit key of a text; null counts as empty."""
     return F.sha1(F.coalesce(text, F.lit("")).cast("binary"))
 
 
-def flagged(docs: DataFrame, items: DataFrame, text: str = "text", **names) -> DataFrame:
+def flagged(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+) -> DataFrame:
     """The rows of ``docs`` with ``n_words``, ``n_hit``, ``n_items``, ``items_sha256`` and ``contaminated``.
 
-    Columns of these names are replaced; see :func:`contamination` for the cases. Each text is
-    read once more, to stay with its row; only the short results are joined to it.
+    Columns of these names are replaced, all others stay, whatever their names; see :func:`contamination` for the
+    cases. Rows are written once with their words; only the short results are joined to them.
     """
     added = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-    hits = contamination(docs, items, text, **names).withColumnRenamed("text_key", "__key")
-    rows = docs.drop(*added).withColumns(
-        {"__key": text_key(F.col(text)), "n_words": F.size(words_of(F.col(text))).cast("long")}
+    rows = _cut(docs.drop(*added), text)
+    hits = _contamination(rows, items, item_id, item_text, window)
+    joined = rows.select("rest", "text_key", F.size("ws").cast("long").alias("n_words")).join(hits, "text_key", "left")
+    return joined.select(
+        "rest.*",
+        "n_words",
+        F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
+        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )
-    joined = rows.join(hits, "__key", "left").drop("__key")
-    return joined.withColumns(
-        {
-            "n_hit": F.coalesce("n_hit", F.lit(0).cast("long")),
-            "n_items": F.coalesce("n_items", F.lit(0).cast("long")),
-            "items_sha256": F.coalesce("items_sha256", F.sha2(F.lit(""), 256)),
-        }
-    ).withColumn("contaminated", F.col("n_hit") > 0)
 
 
 def op6_prefix_containment(spark, sf_dir):

@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskspark.llm import decontamination
 
@@ -51,9 +52,12 @@ DOCS = [
 
 
 def run(spark, docs, items):
-    d = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, n_hit string")
+    rows = [(i, t, "x", "y", "z") for i, t in docs]
+    # Names that the operator uses itself, too.
+    d = spark.createDataFrame(rows, "doc_id long, text string, n_hit string, text_key string, __key string")
     b = spark.createDataFrame(items, "item_id long, text string")
     out = decontamination.flagged(d, b)
+    assert out.columns[:4] == ["doc_id", "text", "text_key", "__key"]
     names = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     return sorted((tuple(r[n] for n in names) for r in out.collect()), key=str)
 
@@ -65,6 +69,18 @@ def test_matches_brute_force(spark, monkeypatch, limit):
     assert run(spark, DOCS, ITEMS) == brute(DOCS, ITEMS)
 
 
+def test_words_are_those_of_the_pattern(spark):
+    texts = ["", " ", "".join(map(chr, range(0x300))), "aZ\x00b\x7f9\xa0É\u2009x🙂", "'a''b' -c-", None, "\n\t x"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", decontamination.words_of(F.col("t"))).collect()
+    assert [list(r[1]) for r in rows] == [words(r[0]) for r in rows]
+
+
+def test_words_are_cut_once(spark, sf_dir):
+    """The plan of the result reads written words; no step cuts texts again."""
+    plan = decontamination.op6_prefix_containment(spark, sf_dir)._jdf.queryExecution().toString()
+    assert "translate(" not in plan and "split(" not in plan
+
+
 def test_empty_tables(spark):
     assert run(spark, [], ITEMS) == []
     assert run(spark, DOCS, []) == brute(DOCS, [])
