@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.registry import query
+from catalog.operations import quantile_sql
 from catalog.standins import FORMULA_SQL, LINE_CONTRACT, SNAPSHOT_CTE, SNAPSHOT_FORMULA, snapshot, table
+from riskspark.operators import monitoring as batch
 from riskspark.operators.contract import CUSTOMER_CONTRACT
 from riskspark.session import new_scratch_path
 from riskspark.streaming import labels as label_streams
-from riskspark.streaming import monitoring, runs, scoring
+from riskspark.streaming import monitoring, panes, runs, scoring
 
 DELAY = "10 minutes"
 
@@ -191,3 +193,137 @@ def sliding_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = monitoring.session_stream(_stream(spark, sf_dir, "events"), "user_id", "ts", DELAY)
     return _zoneless(_collected(spark, stream, "sessions"), "session_start", "session_end")
+
+
+# Panes: three arrivals by event time, every seventh row of the first two only with the third.
+
+
+def _arrivals(rows: DataFrame, time: str, key: str, cuts: tuple[str, str], label: str) -> DataFrame:
+    """A stream of three files: rows before each cut and after, with every seventh of the earlier ones late."""
+    spark = rows.sparkSession
+    path = new_scratch_path(spark, label)
+    first, second = (F.lit(c).cast("timestamp_ntz") for c in cuts)
+    at, late = F.col(time).cast("timestamp_ntz"), F.col(key) % 7 == 0
+    parts = ((at < first) & ~late, (at >= first) & (at < second) & ~late, (at >= second) | late)
+    for part in parts:
+        rows.where(part).coalesce(1).write.mode("append").parquet(path)
+    return runs.file_stream(spark, path, rows.schema, files_per_trigger=1)
+
+
+def _on_time(source: str, time: str, key: str, cuts: tuple[str, str], pane: str, delay: str) -> str:
+    """Rows of ``source`` that reach a pane, and ``newest``, the end of the newest pane written.
+
+    A late row comes with the third arrival; panes that the first one's watermark has passed are closed by then.
+    """
+    end = f"time_bucket(INTERVAL '{pane}', {time}) + INTERVAL '{pane}'"
+    return f"""marks AS (SELECT max({time}) FILTER (WHERE {time} < TIMESTAMP '{cuts[0]}' AND {key} % 7 <> 0) - INTERVAL '{delay}' AS closed,
+  max({time}) - INTERVAL '{delay}' AS mark FROM {source}),
+kept AS (SELECT s.* FROM {source} s, marks WHERE {end} <= mark AND NOT ({key} % 7 = 0 AND {time} < TIMESTAMP '{cuts[1]}' AND {end} <= closed)),
+newest AS (SELECT max({end}) AS newest FROM kept)"""
+
+
+def _window(width: str, time: str) -> str:
+    return f"time_bucket(INTERVAL '{width}', {time}, TIMESTAMP '1970-01-01')"
+
+
+_CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
+_EVENTS_ON_TIME = _on_time("events", "ts", "event_id", _CUTS, "1 minute", DELAY)
+_WITHIN = ", ".join(
+    f"count(*) FILTER (WHERE value / 1000.0::double <= {e}::double) AS b{i}" for i, e in enumerate(batch.LATENCY_BUCKETS)
+)
+
+
+@query(
+    "k06_latency_quantiles",
+    f"WITH {_EVENTS_ON_TIME} "
+    + " UNION ALL ".join(
+        f"""SELECT {m} AS minutes, window_start, event_type, requests, {quantile_sql(0.95)} AS p95, {quantile_sql(0.99)} AS p99
+  FROM (SELECT {_window(f"{m} minutes", "ts")} AS window_start, event_type, count(*) AS requests, {_WITHIN} FROM kept GROUP BY 1, 2) c, newest
+  WHERE window_start + INTERVAL '{m} minutes' <= newest"""
+        for m in (1, 5, 60)
+    ),
+)
+def latency_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles over 1, 5 and 60 minutes, the longer ones from the shorter ones' panes."""
+    calls = table(spark, sf_dir, "events").withColumn("latency", F.col("value") / 1000.0)
+    stream = panes.latency_panes(_arrivals(calls, "ts", "event_id", _CUTS, "calls"), "ts", "latency", ["event_type"], DELAY)
+    minute = _collected(spark, stream, "latency-panes")
+    five = panes.merge_panes(minute, ["event_type"], "5 minutes")
+    hour = panes.merge_panes(minute, ["event_type"], "60 minutes")
+    parts = [
+        panes.pane_quantiles(rows, ["event_type"]).select(F.lit(m).alias("minutes"), "*")
+        for m, rows in ((1, minute), (5, five), (60, hour))
+    ]
+    return _zoneless(parts[0].unionByName(parts[1]).unionByName(parts[2]), "window_start")
+
+
+@query(
+    "k06_volume",
+    f"""WITH served AS (SELECT *, CASE WHEN value >= 50 THEN 1 ELSE 0 END AS predicted_class, event_type AS model_version FROM events),
+{_on_time("served", "ts", "event_id", _CUTS, "1 minute", DELAY)}
+SELECT window_start, predicted_class, model_version, predictions FROM (
+  SELECT {_window("60 minutes", "ts")} - i * INTERVAL '15 minutes' + INTERVAL '45 minutes' AS window_start, predicted_class, model_version, count(*) AS predictions
+  FROM (SELECT *, unnest(range(0, 7)) AS i FROM kept) k
+  WHERE ts >= {_window("60 minutes", "ts")} - i * INTERVAL '15 minutes' + INTERVAL '45 minutes'
+    AND ts < {_window("60 minutes", "ts")} - i * INTERVAL '15 minutes' + INTERVAL '105 minutes' GROUP BY ALL) w, newest
+WHERE window_start + INTERVAL '60 minutes' <= newest""",
+)
+def volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions per class and version over an hour, every quarter of an hour."""
+    by = ["predicted_class", "model_version"]
+    served = table(spark, sf_dir, "events").withColumns(
+        {"predicted_class": (F.col("value") >= 50).cast("int"), "model_version": F.col("event_type")}
+    )
+    stream = panes.volume_panes(_arrivals(served, "ts", "event_id", _CUTS, "served"), "ts", by, DELAY)
+    hours = panes.merge_panes(_collected(spark, stream, "volume-panes"), by, "60 minutes", "15 minutes")
+    return _zoneless(hours, "pane_start").select(F.col("pane_start").alias("window_start"), *by, "predictions")
+
+
+_DAYS, _DAYS_LATE = ("1997-01-01 00:00:00", "1999-01-01 00:00:00"), "10 days"
+
+
+@query(
+    "k06_batch_counters",
+    f"""WITH reports AS (SELECT o_orderkey, any_value(o_orderdate) AS created, count(*) FILTER (WHERE l_quantity >= 2 AND l_extendedprice >= 1000) AS accepted,
+  count(*) FILTER (WHERE l_quantity < 2 OR l_extendedprice < 1000) AS rejected,
+  count(*) FILTER (WHERE l_quantity < 2) + count(*) FILTER (WHERE l_extendedprice < 1000) AS violations
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderkey),
+{_on_time("reports", "created", "o_orderkey", _DAYS, "1 day", _DAYS_LATE)}
+SELECT window_start, batches_success, batches_rejected, records_accepted, records_rejected, validation_failures FROM (
+  SELECT {_window("7 days", "created")} AS window_start, count(*) FILTER (WHERE violations = 0) AS batches_success,
+    count(*) FILTER (WHERE violations > 0) AS batches_rejected, cast(sum(accepted) as bigint) AS records_accepted,
+    cast(sum(rejected) as bigint) AS records_rejected, cast(sum(violations) as bigint) AS validation_failures FROM kept GROUP BY 1) w, newest
+WHERE window_start + INTERVAL '7 days' <= newest""",
+)
+def batch_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as batches of lines: their quality reports per week, from panes of a day."""
+    small, cheap = F.col("l_quantity") < 2, F.col("l_extendedprice") < 1000
+    lines = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    reports = lines.groupBy("o_orderkey").agg(
+        F.any_value("o_orderdate").alias("created"),
+        F.count_if(~small & ~cheap).alias("accepted_records"),
+        F.count_if(small | cheap).alias("rejected_records"),
+        (F.count_if(small) + F.count_if(cheap)).alias("schema_violations"),
+    )
+    reports = reports.withColumn("is_valid", F.col("schema_violations") == 0)
+    stream = _arrivals(reports, "created", "o_orderkey", _DAYS, "reports")
+    days = _collected(spark, panes.report_panes(stream, "created", _DAYS_LATE, "1 day"), "report-panes")
+    weeks = _zoneless(panes.merge_panes(days, [], "7 days"), "pane_start")
+    return weeks.select(F.col("pane_start").alias("window_start"), *batch.report_counters())
+
+
+@query(
+    "k06_failures",
+    f"""WITH {_EVENTS_ON_TIME}
+SELECT window_start, event_type, failures, events FROM (SELECT {_window("60 minutes", "ts")} AS window_start, event_type,
+  count(*) FILTER (WHERE value > 90) AS failures, count(*) AS events FROM kept GROUP BY 1, 2) w, newest
+WHERE window_start + INTERVAL '60 minutes' <= newest""",
+)
+def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failures per reason and hour."""
+    arrived = _arrivals(table(spark, sf_dir, "events"), "ts", "event_id", _CUTS, "failure-arrivals")
+    stream = panes.failure_panes(arrived, "ts", "event_type", F.col("value") > 90, DELAY)
+    hour = panes.merge_panes(_collected(spark, stream, "failure-panes"), ["event_type"], "60 minutes")
+    return _zoneless(hour, "pane_start").select(F.col("pane_start").alias("window_start"), "event_type", "failures", "events")

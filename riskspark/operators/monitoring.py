@@ -53,31 +53,39 @@ def latency_quantiles(
     One aggregation with one counter per bucket. A rank beyond the last finite
     bucket reports the last bound.
     """
-    edges = [float(b) for b in buckets]
-    value = F.col(latency)
-    cumulative = [F.count(F.when(value <= e, 1)).alias(f"_b{i}") for i, e in enumerate(edges)]
     counts = events.groupBy(F.window(time, width).alias("_w"), *by).agg(
-        F.count(F.lit(1)).alias("requests"), *cumulative
+        *[c.alias(n) for n, c in latency_counters(F.col(latency), buckets).items()]
+    )
+    return counts.select(
+        F.col("_w.start").alias("window_start"), *by, "requests", *bucket_quantiles(quantiles, buckets)
     )
 
+
+def latency_counters(latency: Column, buckets: Sequence[float] = LATENCY_BUCKETS) -> dict[str, Column]:
+    """Counters that quantiles need: ``requests``, and per bucket those of its bound at most."""
+    within = {f"within_{i}": F.count(F.when(latency <= float(e), 1)) for i, e in enumerate(buckets)}
+    return {"requests": F.count(F.lit(1)), **within}
+
+
+def bucket_quantiles(
+    quantiles: Sequence[float] = (0.95, 0.99), buckets: Sequence[float] = LATENCY_BUCKETS
+) -> list[Column]:
+    """Quantile columns ``p95`` … over the counters of :func:`latency_counters`, whose sums over windows serve as well."""
+    edges = [float(b) for b in buckets]
+
     def quantile(q: float) -> Column:
         rank = F.col("requests") * F.lit(float(q))
         out = None
         for i, upper in enumerate(edges):
-            below = F.col(f"_b{i - 1}") if i else F.lit(0)
+            below = F.col(f"within_{i - 1}") if i else F.lit(0)
             lower = edges[i - 1] if i else 0.0
-            here = F.col(f"_b{i}") - below
+            here = F.col(f"within_{i}") - below
             inside = F.lit(lower) + F.lit(upper - lower) * share(rank - below, here)
-            hit = F.col(f"_b{i}") >= rank
+            hit = F.col(f"within_{i}") >= rank
             out = F.when(hit, inside) if out is None else out.when(hit, inside)
         return out.otherwise(F.lit(edges[-1]))
 
-    return counts.select(
-        F.col("_w.start").alias("window_start"),
-        *by,
-        "requests",
-        *[round4(quantile(q)).alias(f"p{round(q * 100)}") for q in quantiles],
-    )
+    return [round4(quantile(q)).alias(f"p{round(q * 100)}") for q in quantiles]
 
 
 def prediction_volume(scored: DataFrame, by: Sequence[str] = ("predicted_class", "model_version")) -> DataFrame:
@@ -87,21 +95,29 @@ def prediction_volume(scored: DataFrame, by: Sequence[str] = ("predicted_class",
 
 def batch_counters(reports: DataFrame) -> DataFrame:
     """Totals over quality reports: jobs by status, records by status, validation failures."""
+    return reports.agg(*[c.alias(n) for n, c in report_counters().items()])
+
+
+def report_counters() -> dict[str, Column]:
+    """The counters of :func:`batch_counters`, for any grouping of report rows."""
     ok = F.col("is_valid")
-    return reports.agg(
-        F.count(F.when(ok, 1)).alias("batches_success"),
-        F.count(F.when(~ok, 1)).alias("batches_rejected"),
-        F.coalesce(F.sum("accepted_records"), F.lit(0)).alias("records_accepted"),
-        F.coalesce(F.sum("rejected_records"), F.lit(0)).alias("records_rejected"),
-        F.coalesce(F.sum("schema_violations"), F.lit(0)).alias("validation_failures"),
-    )
+    return {
+        "batches_success": F.count(F.when(ok, 1)),
+        "batches_rejected": F.count(F.when(~ok, 1)),
+        "records_accepted": F.coalesce(F.sum("accepted_records"), F.lit(0)),
+        "records_rejected": F.coalesce(F.sum("rejected_records"), F.lit(0)),
+        "validation_failures": F.coalesce(F.sum("schema_violations"), F.lit(0)),
+    }
 
 
 def failure_counts(events: DataFrame, reason: str, failed: Column) -> DataFrame:
     """Failures per reason, reasons without failures included."""
-    return events.groupBy(reason).agg(
-        F.count(F.when(failed, 1)).alias("failures"), F.count(F.lit(1)).alias("events")
-    )
+    return events.groupBy(reason).agg(*[c.alias(n) for n, c in failure_counters(failed).items()])
+
+
+def failure_counters(failed: Column) -> dict[str, Column]:
+    """The counters of :func:`failure_counts`, for any grouping of events."""
+    return {"failures": F.count(F.when(failed, 1)), "events": F.count(F.lit(1))}
 
 
 def error_rates(events: DataFrame, time: str, failed: Column, width: str = "5 minutes") -> DataFrame:
