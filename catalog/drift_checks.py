@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.registry import query
-from catalog.standins import EVENT_MIDPOINT, ORDER_HALVES_CTE, event_halves, order_halves
+from catalog.standins import EVENT_MIDPOINT, ORDER_HALVES_CTE, event_halves, order_halves, table
 from riskspark.operators import drift
 
 NUMERIC = ("o_totalprice", "o_custkey", "aged_price")
@@ -24,6 +24,21 @@ _STEPS = ", ".join(repr(i / 10) for i in range(11))
 P_VALUE = """CASE WHEN lam < 0.2 THEN 1.0::double ELSE greatest(0.0::double, least(1.0::double, 2.0::double *
   list_sum(list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 1.0::double ELSE -1.0::double END * exp(-2.0::double * k * k * lam * lam))))) END"""
 
+
+def ks_sql(gap: str) -> str:
+    """KS p-values of rows ``feature``, ``ks``, ``n_ref``, ``n_cur``: a walk inside the band for small sides, the series beyond."""
+    return f"""WITH RECURSIVE shaped AS (SELECT *, ks * sqrt(n_ref::double * n_cur / (n_ref + n_cur)) AS lam,
+    cast(n_ref as bigint) AS n, cast(n_cur as bigint) AS m, cast(n_ref + n_cur as bigint) AS t, round(ks * n_ref * n_cur) AS h FROM {gap}),
+walk AS (SELECT feature, n, m, t, h, 0::bigint AS k, 0::bigint AS lo, [1.0::double] AS p FROM shaped WHERE greatest(n, m) <= 10000 AND lam < 4 AND h > 0
+  UNION ALL SELECT feature, n, m, t, h, k + 1, lo2,
+    list_transform(range(lo2, hi2 + 1), lambda i: (coalesce(p[i - lo], 0) * (n - i + 1) + coalesce(p[i - lo + 1], 0) * (m - k + i)) / (t - k))
+  FROM (SELECT *, cast(greatest(0, k + 1 - m, floor(((k + 1) * n - h) / t) + 1) as bigint) AS lo2,
+    cast(least(n, k + 1, ceil(((k + 1) * n + h) / t) - 1) as bigint) AS hi2 FROM walk WHERE k < t) s)
+SELECT feature, round(ks, 4) AS ks_statistic, round(CASE WHEN h <= 0 THEN 1.0::double
+  WHEN greatest(n, m) <= 10000 AND lam < 4 THEN greatest(0, least(1, 1 - coalesce(rest, 0))) ELSE {P_VALUE} END, 4) AS ks_p_value
+FROM shaped LEFT JOIN (SELECT feature, list_sum(p) AS rest FROM walk WHERE k = t) w USING (feature)"""
+
+
 NUMERIC_CTE = f"""{ORDER_HALVES_CTE}, long AS ({_LONG}), known AS (SELECT * FROM long WHERE value IS NOT NULL),
 sizes AS (SELECT feature, sum(is_ref) AS n_ref, sum(1 - is_ref) AS n_cur FROM known GROUP BY feature),
 edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, [{_STEPS}]))) AS edges FROM known WHERE is_ref = 1 GROUP BY feature),
@@ -38,8 +53,7 @@ steps AS (SELECT feature, value, sum(is_ref) AS r, sum(1 - is_ref) AS c FROM kno
 running AS (SELECT feature, sum(r) OVER w AS cr, sum(c) OVER w AS cc FROM steps WINDOW w AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING)),
 gap AS (SELECT feature, max(abs(cr / n_ref::double - cc / n_cur::double)) AS ks, any_value(n_ref) AS n_ref, any_value(n_cur) AS n_cur
   FROM running JOIN sizes USING (feature) GROUP BY feature),
-ks AS (SELECT feature, round(ks, 4) AS ks_statistic, round({P_VALUE}, 4) AS ks_p_value
-  FROM (SELECT *, ks * sqrt(n_ref::double * n_cur / (n_ref + n_cur)) AS lam FROM gap) g)"""
+ks AS ({ks_sql("gap")})"""
 
 CATEGORICAL_CTE = f"""words AS ({_WORDS}),
 named AS (SELECT feature, coalesce(value, '__MISSING__') AS value, sum(is_ref) AS r, sum(1 - is_ref) AS c FROM words GROUP BY 1, 2),
@@ -110,6 +124,31 @@ def ks_p_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.ks_statistics(_numeric(spark, sf_dir)).select("feature", "ks_p_value")
 
 
+_GROUPS = "SELECT *, concat(event_type, '-', user_id % 40) AS feature, CASE WHEN day(ts) <= 15 THEN 1 ELSE 0 END AS is_ref FROM events"
+
+
+@query(
+    "h04_ks_small_samples",
+    f"""WITH known AS ({_GROUPS}), sizes AS (SELECT feature, sum(is_ref) AS n_ref, sum(1 - is_ref) AS n_cur FROM known GROUP BY feature),
+steps AS (SELECT feature, value, sum(is_ref) AS r, sum(1 - is_ref) AS c FROM known GROUP BY feature, value),
+running AS (SELECT feature, sum(r) OVER w AS cr, sum(c) OVER w AS cc FROM steps WINDOW w AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING)),
+gap AS (SELECT feature, max(abs(cr / n_ref::double - cc / n_cur::double)) AS ks, any_value(n_ref) AS n_ref, any_value(n_cur) AS n_cur
+  FROM running JOIN sizes USING (feature) WHERE n_ref > 0 AND n_cur > 0 GROUP BY feature)
+SELECT feature, ks_statistic, ks_p_value, cast(n_ref as bigint) AS n_ref, cast(n_cur as bigint) AS n_cur FROM ({ks_sql("gap")}) k JOIN sizes USING (feature)""",
+)
+def ks_small_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of the first and second half of a month, in groups of some ten rows by event type and user."""
+    events = table(spark, sf_dir, "events").select(
+        F.concat_ws("-", "event_type", (F.col("user_id") % 40).cast("string")).alias("feature"), "value", "ts"
+    )
+    early = F.dayofmonth("ts") <= 15
+    histogram = events.groupBy("feature", "value").agg(
+        F.count_if(early).alias("ref_n"), F.count_if(~early).alias("cur_n")
+    )
+    sizes = histogram.groupBy("feature").agg(F.sum("ref_n").alias("n_ref"), F.sum("cur_n").alias("n_cur"))
+    return drift.ks_statistics(histogram).join(sizes.where("n_ref > 0 AND n_cur > 0"), "feature")
+
+
 @query("h05_missing_rates", f"WITH {ORDER_HALVES_CTE}, long AS ({_LONG}) {missing_sql('long')}")
 def missing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.missing_rates(_numeric(spark, sf_dir))

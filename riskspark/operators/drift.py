@@ -48,6 +48,10 @@ CATEGORICAL_FEATURES = (
     "Dependents",
 )
 KS_TERMS = 100
+#: Up to so many rows on either side the KS p-value is exact.
+KS_EXACT_ROWS = 10_000
+#: From this shape on both p-values are below 1e-13 and the series is taken.
+KS_FAR = 4.0
 
 
 @dataclass(frozen=True)
@@ -228,13 +232,18 @@ def categorical_psi(histogram: DataFrame, max_features: int) -> DataFrame:
     )
 
 
-def ks_p_value(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
-    """Two-sided p-value from the asymptotic Kolmogorov distribution.
+def ks_p_value(statistic: Column, n_ref: Column, n_cur: Column, exact_rows: int = KS_EXACT_ROWS) -> Column:
+    """Two-sided p-value of the two-sample statistic.
 
-    An exact small-sample method gives slightly different values below about a
-    thousand rows.
+    Exact while neither side has more than ``exact_rows`` rows, from the asymptotic Kolmogorov distribution beyond. At the default
+    border the two differ by less than 0.006. Without a statistic it is 1.
     """
     lam = statistic * F.sqrt(n_ref.cast("double") * n_cur / (n_ref + n_cur))
+    few = (F.greatest(n_ref, n_cur) <= exact_rows) & (lam < KS_FAR)
+    return F.when(few, _exact_p_value(statistic, n_ref, n_cur)).otherwise(_asymptotic_p_value(lam))
+
+
+def _asymptotic_p_value(lam: Column) -> Column:
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(KS_TERMS)),
         F.lit(0.0),
@@ -247,8 +256,44 @@ def ks_p_value(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
     )
 
 
+def _exact_p_value(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
+    """The chance that a random order of both sides' rows has a statistic at least as large.
+
+    An order is a lattice path: after k rows, i are of the reference. The path is a walk whose step chances are the shares
+    of the rows left, and its statistic stays below the given one while ``abs(i * n_cur - (k - i) * n_ref)`` stays below ``h``. The
+    chances of all i inside that band are one array, taken from step to step; what is left of them at the end is the
+    chance of a smaller statistic. The band is about ``2 * lam * sqrt(n_ref * n_cur / (n_ref + n_cur))`` entries wide.
+    """
+    n, m = n_ref.cast("double"), n_cur.cast("double")
+    total = n + m
+    h = F.round(statistic * n * m)
+
+    def step(walk: Column, k: Column) -> Column:
+        low = F.greatest(F.lit(0.0), k - m, F.floor((k * n - h) / total) + 1).cast("int")
+        high = F.least(n, k.cast("double"), F.ceil((k * n + h) / total) - 1).cast("int")
+
+        def chance(i: Column) -> Column:
+            from_ref = F.coalesce(F.get(walk["p"], i - 1 - walk["low"]), F.lit(0.0)) * (n - i + 1)
+            from_cur = F.coalesce(F.get(walk["p"], i - walk["low"]), F.lit(0.0)) * (m - k + 1 + i)
+            return (from_ref + from_cur) / (total - k + 1)
+
+        none = F.array().cast("array<double>")
+        inside = F.when(high < low, none).otherwise(F.transform(F.sequence(low, high), chance))
+        return F.struct(low.alias("low"), inside.alias("p"))
+
+    start = F.struct(F.lit(0).alias("low"), F.array(F.lit(1.0)).alias("p"))
+    steps = F.sequence(F.lit(1), (n_ref + n_cur).cast("int"))
+    left = F.aggregate(
+        steps, start, step, lambda walk: F.aggregate(walk["p"], F.lit(0.0), lambda a, x: a + x)
+    )
+    return F.when(h <= 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - left)))
+
+
 def ks_statistics(histogram: DataFrame, curve: DataFrame | None = None) -> DataFrame:
-    """Two-sample KS statistic and p-value per feature; 0 and 1 when a side is empty."""
+    """Two-sample KS statistic and p-value per feature; 0 and 1 when a side is empty.
+
+    The exact p-value of a small feature is worked out in its one row.
+    """
     curve = _curve(histogram) if curve is None else curve
     gap = F.abs(
         F.col("cum_ref_n") / F.col("all_ref_n") - F.col("cum_cur_n") / F.col("all_cur_n")
