@@ -19,9 +19,10 @@ from catalog.standins import (
     raw_snapshot,
     scored,
     snapshot,
+    table,
 )
 from riskspark.functions.decisions import batch_stamp
-from riskspark.models import preprocessing, training
+from riskspark.models import boosting, preprocessing, training
 from riskspark.models.scoring import load_version, save_version, score_batch
 from riskspark.operators import split
 from riskspark.operators.contract import CUSTOMER_CONTRACT, ContractViolation, typed
@@ -162,125 +163,104 @@ def _trained(spark: SparkSession, sf_dir: str, spec: training.ModelSpec) -> trai
     return training.train_model(snapshot(spark, sf_dir), spec)
 
 
-def _plausible(p: str = "churn_probability", c: str = "churn_prediction") -> list:
-    """Whether a score is a probability and the class follows from it."""
-    probability = F.col(p)
-    return [
-        probability.between(0.0, 1.0).alias("is_probability"),
-        # Scores are shown with four decimals, so right at the threshold either class may stand.
-        ((F.col(c) == (probability >= 0.5).cast("int")) | (F.abs(probability - 0.5) < 1e-4)).alias("class_follows"),
-    ]
-
-
-@query(
-    "f06_logistic_regression",
-    f"WITH {_TRAIN}, {_SLOTS_CTE} SELECT feature, true AS is_stationary, true AS odds_ratio_follows FROM slots",
-)
+@query("f06_logistic_regression")
 def logistic_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fit is the minimum of the penalised loss: its gradient is zero in every coefficient."""
+    """Coefficient, magnitude and odds ratio of every slot; its stationarity is a test."""
     trained = _trained(spark, sf_dir, training.ModelSpec())
-    train = training.with_label(trained.rows.filter("split = 'train'"), trained.spec)
-    fitted = trained.model.stages[-1]
-    residual = F.col("probability_1") - F.col("label")
-    slots = training.positive_probability(trained.model.transform(train)).select(
-        residual.alias("r"), F.posexplode(vector_to_array("features")).alias("slot", "x")
-    )
-    gradient = slots.groupBy("slot").agg(F.avg(F.col("r") * F.col("x")).alias("g"))
-    weights = spark.createDataFrame(
-        [(i, n, float(w)) for i, (n, w) in enumerate(zip(training.feature_names(trained.model), fitted.coefficients))],
-        "slot int, feature string, w double",
-    )
-    shown = training.feature_importance(trained.model, trained.rows)
-    near = F.abs(F.col("odds_ratio") - F.round(F.exp("coefficient"), 4)) <= 1e-3 * F.greatest(F.lit(1.0), F.col("odds_ratio"))
-    return gradient.join(weights, "slot").join(shown, "feature").select(
-        "feature",
-        (F.abs(F.col("g") + F.lit(fitted.getRegParam()) * F.col("w")) < 1e-3).alias("is_stationary"),
-        near.alias("odds_ratio_follows"),
-    )
+    return training.feature_importance(trained.model, trained.rows)
 
 
-@query(
-    "f07_gradient_boosting",
-    f'WITH {SNAPSHOT_CTE}, {SNAPSHOT_SPLIT} SELECT "customerID", split, true AS is_probability, true AS class_follows FROM split',
-)
+@query("f07_gradient_boosting")
 def gradient_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All published rounds; every row gets a probability and the class that follows from it."""
+    """Probability and class of every row after all published rounds."""
     spec = training.ModelSpec("candidate_gradient_boosting", "GradientBoosting")
     trained = _trained(spark, sf_dir, spec)
-    return training.predict(trained.model, trained.rows).select(KEY, "split", *_plausible())
+    return training.predict(trained.model, trained.rows).select(KEY, "split", "churn_probability", "churn_prediction")
+
+
+@query("f08_histogram_boosting")
+def histogram_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability and class of every row after as many rounds and as deep trees as the published candidate has."""
+    published = {"max_iter": 100, "max_depth": 3, "learning_rate": 0.05}
+    trained = _trained(spark, sf_dir, training.ModelSpec("candidate_histogram", "HistGradientBoosting", published))
+    return training.predict(trained.model, trained.rows).select(KEY, "split", "churn_probability", "churn_prediction")
+
+
+_LINES = ("l_quantity", "l_discount", "l_linenumber", "l_extendedprice", "known_tax")
+_LINES_LONG = " UNION ALL ".join(f"SELECT '{c}' AS feature, cast({c} as double) AS v, y FROM lines" for c in _LINES)
+_GAIN = "(gl * gl / hl + gr * gr / hr - g * g / h)"
 
 
 @query(
-    "f08_histogram_boosting",
-    f"""WITH {SNAPSHOT_CTE}, {SNAPSHOT_SPLIT} SELECT split, count(*) AS rows, true AS in_range,
-  true AS beats_majority FROM split GROUP BY split""",
+    "f08_first_splits",
+    f"""WITH lines AS (SELECT *, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y, CASE WHEN l_shipdate < TIMESTAMP '1998-01-01' THEN l_tax END AS known_tax FROM lineitem),
+base AS (SELECT avg(y) AS p FROM lines), long AS ({_LINES_LONG}),
+sizes AS (SELECT feature, count(DISTINCT v) AS k FROM long GROUP BY feature),
+neighbours AS (SELECT feature, (v + lead(v) OVER (PARTITION BY feature ORDER BY v)) / 2 AS edge FROM (SELECT DISTINCT feature, v FROM long WHERE v IS NOT NULL) d),
+edges AS (SELECT feature, edge FROM neighbours JOIN sizes USING (feature) WHERE k <= 255 AND edge IS NOT NULL
+  UNION SELECT feature, unnest(quantile_cont(v, [{", ".join(repr(i / 255) for i in range(1, 255))}])) FROM long JOIN sizes USING (feature) WHERE k > 255 AND v IS NOT NULL GROUP BY feature),
+totals AS (SELECT feature, count(*) AS n, sum(y) AS s, count(*) FILTER (WHERE v IS NULL) AS n0, coalesce(sum(y) FILTER (WHERE v IS NULL), 0) AS s0 FROM long GROUP BY feature),
+below AS (SELECT feature, edge, count(*) AS nb, sum(y) AS sb FROM edges JOIN long USING (feature) WHERE v <= edge GROUP BY feature, edge
+  UNION ALL SELECT feature, NULL, n - n0, s - s0 FROM totals WHERE n0 > 0),
+sides AS (SELECT feature, edge, false AS missing_left, nb AS nl, sb AS sl, n, s, n0 FROM below JOIN totals USING (feature)
+  UNION ALL SELECT feature, edge, true, nb + n0, sb + s0, n, s, n0 FROM below JOIN totals USING (feature) WHERE n0 > 0 AND edge IS NOT NULL),
+sums AS (SELECT *, nl * p - sl AS gl, (n - nl) * p - (s - sl) AS gr, n * p - s AS g, nl * p * (1 - p) AS hl, (n - nl) * p * (1 - p) AS hr, n * p * (1 - p) AS h
+  FROM sides, base WHERE nl >= 20 AND n - nl >= 20),
+ranked AS (SELECT *, {_GAIN} AS gain, row_number() OVER (PARTITION BY feature ORDER BY round({_GAIN}, 6) DESC, missing_left, edge NULLS LAST) AS rn FROM sums)
+SELECT feature, round(edge, 6) AS threshold, CASE WHEN n0 > 0 THEN missing_left ELSE nl >= n - nl END AS missing_left, round(gain, 3) AS gain,
+  cast(nl as bigint) AS left_rows, cast(n - nl as bigint) AS right_rows FROM ranked WHERE rn = 1""",
 )
-def histogram_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sizes of the parts; on what it has seen the model is at least as good as the larger class."""
-    spec = training.ModelSpec("candidate_histogram", "HistGradientBoosting")
-    trained = _trained(spark, sf_dir, spec)
-    majority = trained.rows.groupBy("split").agg(
-        F.avg((F.col("Churn") == "Yes").cast("double")).alias("share")
+def first_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the first tree over all line items chooses from: the best split of each feature, one of them often missing."""
+    lines = table(spark, sf_dir, "lineitem").withColumns(
+        {
+            "y": (F.col("l_returnflag") == "R").cast("int"),
+            "known_tax": F.when(F.col("l_shipdate") < "1998-01-01", F.col("l_tax")),
+        }
     )
-    reached = F.round(F.greatest("share", 1 - F.col("share")), 4)
-    return training.accuracy_by_split(trained.model, trained.rows, spec).join(majority, "split").select(
-        "split",
-        "rows",
-        F.col("accuracy").between(0.0, 1.0).alias("in_range"),
-        ((F.col("split") != "train") | (F.col("accuracy") >= reached)).alias("beats_majority"),
+    found = boosting.first_splits(lines, _LINES, "y")
+    return found.select(
+        "feature",
+        F.round("threshold", 6).alias("threshold"),
+        "missing_left",
+        F.round("gain", 3).alias("gain"),
+        "left_rows",
+        "right_rows",
     )
 
 
-@query(
-    "f09_train_workflow",
-    f"""WITH {_TRAIN}, {_SLOTS_CTE} SELECT 'baseline_logistic_regression' AS model_name, 'LogisticRegression' AS model_type,
-  (SELECT count(*) FROM split WHERE split = 'train') AS train_rows, (SELECT count(*) FROM split WHERE split = 'val') AS val_rows,
-  (SELECT count(*) FROM split WHERE split = 'test') AS test_rows, true AS accuracies_in_range,
-  string_agg(feature, '|' ORDER BY slot) AS feature_names FROM slots""",
-)
+@query("f09_train_workflow")
 def train_workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    accuracies = [F.col(f"{s}_accuracy").between(0.0, 1.0) for s in ("train", "val", "test")]
-    return _trained(spark, sf_dir, training.ModelSpec()).metadata().select(
-        "model_name",
-        "model_type",
-        "train_rows",
-        "val_rows",
-        "test_rows",
-        (accuracies[0] & accuracies[1] & accuracies[2]).alias("accuracies_in_range"),
-        F.array_join("feature_names", "|").alias("feature_names"),
-    )
+    """Name, type, sizes, accuracies and feature names of a training run."""
+    metadata = _trained(spark, sf_dir, training.ModelSpec()).metadata()
+    return metadata.withColumn("feature_names", F.array_join("feature_names", "|"))
 
 
 @query(
-    "f10_predict",
-    f'WITH {SNAPSHOT_CTE} SELECT "customerID", true AS is_probability, true AS class_follows FROM snapshot',
+    "f09_split_sizes",
+    f"""WITH {_TRAIN}, {_SLOTS_CTE} SELECT (SELECT count(*) FROM split WHERE split = 'train') AS train_rows,
+  (SELECT count(*) FROM split WHERE split = 'val') AS val_rows, (SELECT count(*) FROM split WHERE split = 'test') AS test_rows,
+  string_agg(feature, '|' ORDER BY slot) AS feature_names FROM slots""",
 )
+def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of the same training run."""
+    return train_workflow(spark, sf_dir).select("train_rows", "val_rows", "test_rows", "feature_names")
+
+
+@query("f10_predict")
 def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     trained = _trained(spark, sf_dir, training.ModelSpec())
-    return training.predict(trained.model, snapshot(spark, sf_dir)).select(KEY, *_plausible())
+    return training.predict(trained.model, snapshot(spark, sf_dir)).select(KEY, "churn_probability", "churn_prediction")
 
 
-@query(
-    "f11_feature_importance",
-    f"""WITH {_TRAIN}, {_SLOTS_CTE} SELECT count(*) AS features, least(count(*), 15) AS bars, true AS sums_to_one, true AS bars_are_longest FROM slots""",
-)
+@query("f11_feature_importance")
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Importances of a boosted model and the longest bars of their chart."""
+    """Importances of a boosted model; ``bar`` marks the longest ones, which the chart shows."""
     spec = training.ModelSpec("candidate_gradient_boosting", "GradientBoosting")
     trained = _trained(spark, sf_dir, spec)
     shown = training.feature_importance(trained.model, trained.rows)
-    bars = training.importance_bars(shown)
-    counted = shown.select("abs_coefficient", F.lit(None).cast("double").alias("bar")).unionByName(
-        bars.select(F.lit(None).cast("double").alias("abs_coefficient"), F.col("abs_coefficient").alias("bar"))
-    )
-    every = F.array_sort(F.collect_list("abs_coefficient"))
-    shortest = F.element_at(every, -F.greatest(F.lit(1), F.count("bar").cast("int")))
-    return counted.agg(
-        F.count("abs_coefficient").alias("features"),
-        F.count("bar").alias("bars"),
-        (F.abs(F.sum("abs_coefficient") - 1.0) < 0.01).alias("sums_to_one"),
-        (F.min("bar") >= shortest).alias("bars_are_longest"),
-    )
+    bars = training.importance_bars(shown).select("feature", F.lit(True).alias("bar"))
+    return shown.join(bars, "feature", "left").withColumn("bar", F.coalesce("bar", F.lit(False)))
 
 
 BATCH, VERSION = "batch_20240101_000000_abc123", "2.1.0"
@@ -307,12 +287,9 @@ def batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("scoring_timestamp")
 
 
-@query(
-    "f14_registered_version",
-    f"""WITH {SNAPSHOT_CTE} SELECT "customerID", '2' AS model_version, true AS same_score FROM snapshot""",
-)
+@query("f14_registered_version")
 def registered_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two stored versions; the latest one scores."""
+    """Scores of the latest of two stored versions, and those of the model before it was stored."""
     root = new_scratch_path(spark, "models")
     trained = _trained(spark, sf_dir, training.ModelSpec())
     for _ in range(2):
@@ -321,10 +298,8 @@ def registered_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = snapshot(spark, sf_dir)
     stored = score_batch(rows, model, KEY, 0.5, str(latest), BATCH, SCORED_AT)
     direct = score_batch(rows, trained.model, KEY, 0.5, str(latest), BATCH, SCORED_AT)
-    direct = direct.select(KEY, F.col("churn_probability").alias("direct"))
-    return stored.join(direct, KEY).select(
-        KEY, "model_version", (F.col("churn_probability") == F.col("direct")).alias("same_score")
-    )
+    direct = direct.select(KEY, F.col("churn_probability").alias("before_storing"))
+    return stored.join(direct, KEY).select(KEY, "model_version", "churn_probability", "predicted_class", "before_storing")
 
 
 @query(
@@ -360,19 +335,12 @@ def batch_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "g16_trained_selection",
-    f"""WITH {SNAPSHOT_CTE}, {SNAPSHOT_SPLIT} SELECT split, count(*) AS sample_size, cast(2 as bigint) AS models_present, true AS in_range
-FROM split WHERE split <> 'train' GROUP BY split""",
-)
+@query("g16_trained_selection")
 def trained_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Logistic champion against boosted challenger, both fitted on one split."""
+    """Logistic champion against boosted challenger, both fitted on one split: their comparison."""
     selection = run_selection(
         typed(snapshot(spark, sf_dir), CUSTOMER_CONTRACT),
         training.ModelSpec(),
         training.ModelSpec("candidate_gradient_boosting", "GradientBoosting"),
     )
-    ranges = [F.col(c).between(-1.0, 1.0) for c in ("pr_auc_diff", "brier_score_diff")]
-    return selection.comparison.select(
-        "split", "sample_size", "models_present", (ranges[0] & ranges[1]).alias("in_range")
-    )
+    return selection.comparison

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from riskspark.functions.parsing import binary_target
 from riskspark.functions.rounding import round4, share
+from riskspark.models.boosting import HistogramBoosting
 from riskspark.models.preprocessing import (
     CATEGORICAL_FEATURES,
     NUMERIC_FEATURES,
@@ -32,6 +33,16 @@ BOOSTING_DEFAULTS = {
     "subsample": 0.8,
     "max_features": "sqrt",
 }
+# Defaults of the library whose model type this is.
+HISTOGRAM_DEFAULTS = {
+    "max_iter": 100,
+    "learning_rate": 0.1,
+    "max_leaf_nodes": 31,
+    "max_depth": None,
+    "min_samples_leaf": 20,
+    "l2_regularization": 0.0,
+    "max_bins": 255,
+}
 _LOGISTIC_NAMES = ("logisticregression", "logistic_regression")
 _BOOSTING_NAMES = ("gradientboosting", "gradientboostingclassifier", "gb", "gbc")
 _HISTOGRAM_NAMES = ("histgradientboosting", "histgradientboostingclassifier")
@@ -68,7 +79,19 @@ def classifier(spec: ModelSpec, rows: int):
             tol=1e-9,
             **common,
         )
-    if kind in _BOOSTING_NAMES or kind in _HISTOGRAM_NAMES:
+    if kind in _HISTOGRAM_NAMES:
+        p = {**HISTOGRAM_DEFAULTS, **spec.hyperparameters}
+        return HistogramBoosting(
+            maxIter=int(p["max_iter"]),
+            learningRate=float(p["learning_rate"]),
+            maxLeafNodes=int(p["max_leaf_nodes"]),
+            maxDepth=int(p["max_depth"] or 0),
+            minSamplesLeaf=int(p["min_samples_leaf"]),
+            l2=float(p["l2_regularization"]),
+            maxBins=int(p["max_bins"]),
+            **common,
+        )
+    if kind in _BOOSTING_NAMES:
         p = {**BOOSTING_DEFAULTS, **spec.hyperparameters}
         return GBTClassifier(
             maxIter=int(p["n_estimators"]),
@@ -76,8 +99,6 @@ def classifier(spec: ModelSpec, rows: int):
             stepSize=float(p["learning_rate"]),
             subsamplingRate=float(p["subsample"]),
             featureSubsetStrategy=str(p["max_features"]),
-            # Spark trees split on binned values in either case.
-            maxBins=int(p.get("max_bins", 255 if kind in _HISTOGRAM_NAMES else 32)),
             seed=spec.seed,
             **common,
         )

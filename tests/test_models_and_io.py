@@ -66,6 +66,15 @@ def test_logistic_fit_solves_its_objective(spark, trained):
     assert len(training.feature_names(model)) == len(w)
 
 
+def test_classes_follow_from_probabilities(snapshot, trained):
+    rows = training.predict(trained.model, snapshot).collect()
+    assert len(rows) == 100 and all(0 <= r["churn_probability"] <= 1 for r in rows)
+    # Probabilities are shown with four decimals, so right at the threshold either class may stand.
+    assert all(
+        r["churn_prediction"] == (r["churn_probability"] >= 0.5) for r in rows if abs(r["churn_probability"] - 0.5) > 1e-4
+    )
+
+
 def test_formula_scores_like_the_pipeline(spark, snapshot, trained):
     fast = score_batch(snapshot, trained.model, threshold=0.3, batch_id="b")
     slow = training.predict(trained.model, snapshot)
