@@ -19,17 +19,19 @@ import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from riskspark.llm.chunks import ChunkTable
-from riskspark.llm.common import small_batches, stored, table, utf8, worker_memory
+from riskspark.llm.chunks import ChunkTable, blocks, joined, white_space_pieces
+from riskspark.llm.common import small_batches, stored, table, worker_memory
 
 #: Most frequent words that are compiled.
 LEXICON = 131_072
@@ -38,6 +40,8 @@ MERGED = 200_000
 #: Words of up to so many bytes are merged on a plain list, longer ones with a queue.
 SHORT = 48
 _NEVER = 1 << 60
+#: Longer words are not compiled but merged, so neither the driver nor the automaton meets them.
+COMPILED = 64
 #: Different pieces a task counts before it hands on what it has.
 COUNTED = 300_000
 
@@ -70,6 +74,9 @@ class Vocabulary:
         # The same pattern for texts of ASCII bytes.
         ascii_pattern = self.word.pattern.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9")
         self.ascii_word = re.compile(ascii_pattern.encode())
+        letters = b"abcdefghijklmnopqrstuvwxyz"
+        #: Whether letters alone are always one word.
+        self.letters_join = bool(self.ascii_word.fullmatch(letters + letters[::-1]))
         self.specials = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         self.letters = byte_letters()
 
@@ -82,6 +89,10 @@ class Vocabulary:
             out[i] = token.encode()
         return out
 
+    @cached_property
+    def token_array(self) -> pa.Array:
+        return pa.array(self.tokens, pa.large_binary())
+
     def words(self, piece: str) -> Iterator[bytes]:
         """Words of a text without special tokens, as UTF-8."""
         # Letters are lowered one by one: the end of a word changes no letter.
@@ -288,6 +299,8 @@ class Encoder:
     def split(self, piece: bytes) -> list[bytes | int]:
         """Words and ids of special tokens of one piece."""
         v = self.vocabulary
+        if v.letters_join and piece.isalpha():
+            return [piece.lower()]
         if piece.isascii() and b"<" not in piece:
             return v.ascii_word.findall(piece.lower())
         text = piece.decode("utf-8", "replace")
@@ -305,18 +318,23 @@ class Encoder:
         if len(self.merged) > MERGED:
             self.merged.clear()
         split = [self.split(p) for p in pieces]
-        words = list({w for parts in split for w in parts if isinstance(w, bytes)})
+        words = list(set(chain.from_iterable(split)).difference(self.vocabulary.special.values()))
         ids: dict[bytes | int, list[int]] = {i: [i] for i in self.vocabulary.special.values()}
         t = self.transducer
-        ranks = t.ranks(words).tolist() if t is not None else [-1] * len(words)
-        for word, rank in zip(words, ranks):
-            if rank >= 0:
-                ids[word] = t.ids[t.starts[rank] : t.starts[rank + 1]].tolist()
-            else:
-                found = self.merged.get(word)
-                if found is None:
-                    found = self.merged[word] = self.merge(word)
-                ids[word] = found
+        if t is not None:
+            ranks = t.ranks(words)
+            known = np.flatnonzero(ranks >= 0)
+            begins, ends = t.starts[ranks[known]].tolist(), t.starts[ranks[known] + 1].tolist()
+            compiled = t.ids.tolist() if len(known) > len(t.starts) // 8 else t.ids
+            for i, a, b in zip(known.tolist(), begins, ends):
+                ids[words[i]] = compiled[a:b]
+            words = [words[i] for i in np.flatnonzero(ranks < 0)]
+        merged, merge = self.merged, self.merge
+        for word in words:
+            found = merged.get(word)
+            if found is None:
+                found = merged[word] = merge(word)
+            ids[word] = found
         return [
             ids[parts[0]] if len(parts) == 1 else [i for part in parts for i in ids[part]]
             for parts in split
@@ -329,36 +347,45 @@ def decode(vocabulary: Vocabulary, ids: np.ndarray) -> bytes:
 
 
 def frequent_words(docs: DataFrame, text: str, vocabulary: Vocabulary, size: int) -> list[bytes]:
-    """The most frequent words of all documents, up to ``size`` of them.
+    """The most frequent words of all documents of up to ``COMPILED`` bytes, up to ``size`` of them.
 
-    Words are counted per batch before the shuffle. A histogram of counts on a logarithmic scale, which has
+    Pieces between white space are counted per task before the shuffle, and each distinct one is split into words after it. A histogram of counts on a logarithmic scale, which has
     some hundred rows at most, gives the least count to take; no task sends more than its share.
     """
     source = docs.sparkSession.sparkContext.broadcast(vocabulary.source)
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(source.value))
-        pieces: Counter[bytes] = Counter()
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
 
-        def flush() -> pa.RecordBatch:
+        def combined() -> pa.Table:
+            found = pa.concat_tables(held).group_by("w").aggregate([("n", "sum")])
+            return found.select(["w", "n_sum"]).rename_columns(["w", "n"])
+
+        for batch in batches:
+            for block in blocks(batch.column(0)):
+                seen = pc.value_counts(white_space_pieces(block)[0].cast(pa.binary()))
+                held.append(pa.table({"w": seen.field("values"), "n": seen.field("counts")}))
+                if sum(map(len, held)) > 4 * COUNTED:
+                    held = [combined()]
+                    if len(held[0]) > COUNTED:
+                        yield from held.pop().to_batches()
+        if held:
+            yield from combined().to_batches()
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(worker_memory(("counted", source.value), lambda: Vocabulary(source.value)))
+        for batch in batches:
             seen: Counter[bytes] = Counter()
-            for piece, n in pieces.items():
+            for piece, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for w in encoder.split(piece):
                     if isinstance(w, bytes):
                         seen[w] += n
-            pieces.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], ["w", "n"]
-            )
-
-        for batch in batches:
-            for t in batch.column(0):
-                pieces.update(utf8(t.as_py()).split())
-            if len(pieces) > COUNTED:
-                yield flush()
-        yield flush()
+            arrays = [pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["w", "n"])
 
-    counts = docs.select(F.col(text)).mapInArrow(counted, "w binary, n long").groupBy("w")
+    counts = docs.select(F.col(text)).mapInArrow(pieces, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    # Each distinct piece is split once.
+    counts = counts.mapInArrow(words, "w binary, n long").where(F.length("w") <= COMPILED).groupBy("w")
     counts = counts.agg(F.sum("n").alias("n")).withColumn("step", F.floor(F.log2("n") * 16))
     counts = stored(counts, "word-counts")
     least, taken = None, 0
@@ -418,14 +445,17 @@ def encode_documents(
         )
         for batch in batches:
             n, ids_sha, decoded_sha, kept, texts = [], [], [], [], []
-            for ids in pieces.encode(utf8(t.as_py()) for t in batch.column(batch.num_columns - 1)):
-                back = decode(v, ids)
-                n.append(len(ids))
-                ids_sha.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
-                decoded_sha.append(hashlib.sha256(back).hexdigest())
-                if keep_ids:
-                    kept.append(ids.astype(np.int32))
-                    texts.append(back.decode())
+            for block in blocks(batch.column(batch.num_columns - 1)):
+                ids, offsets = pieces.encode_block(block)
+                n += np.diff(offsets).tolist()
+                for a, b in zip(offsets, offsets[1:]):
+                    ids_sha.append(hashlib.sha256(ids[a:b].astype("<u4", copy=False)).hexdigest())
+                    if keep_ids:
+                        kept.append(ids[a:b].astype(np.int32))
+                for back in joined(ids, offsets, v.token_array, b" ").to_pylist():
+                    decoded_sha.append(hashlib.sha256(back).hexdigest())
+                    if keep_ids:
+                        texts.append(back.decode())
             made = [pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]
             if keep_ids:
                 made += [pa.array(kept, pa.list_(pa.int32())), pa.array(texts, pa.string())]

@@ -1,21 +1,23 @@
 """Token ids of texts by way of pieces that are encoded on their own.
 
 The word tokenizer drops white space and never joins across it, so a text's ids are those of its blank-separated pieces, one
-after the other; another tokenizer brings its own way to split. Each distinct piece is resolved once per worker.
+after the other; another tokenizer brings its own way to split. Texts are split and their distinct pieces found by Arrow, a block of
+texts at a time; a worker remembers the ids of pieces, and when it has too many, it keeps those that came up most often.
 """
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Distinct pieces a worker remembers before it starts anew.
-MEMORY = 500_000
-#: Bytes of text whose pieces are resolved together.
-BLOCK_BYTES = 2_000_000
+#: Distinct pieces a worker remembers before it forgets the rarer half.
+MEMORY = 1_000_000
+#: Bytes of text whose pieces are resolved together; a longer text is a block of its own.
+BLOCK_BYTES = 8_000_000
 
 #: From new pieces to their ids.
 Resolver = Callable[[list[bytes]], Iterable[Iterable[int]]]
@@ -23,43 +25,107 @@ Resolver = Callable[[list[bytes]], Iterable[Iterable[int]]]
 Splitter = Callable[[bytes], list[bytes]]
 
 
+def blocks(texts: pa.Array, size: int = BLOCK_BYTES) -> Iterator[pa.Array]:
+    """Runs of texts with about ``size`` bytes each; null texts are empty."""
+    texts = pc.fill_null(texts.cast(pa.binary()) if not pa.types.is_binary(texts.type) else texts, b"")
+    reached = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        before = reached[at - 1] if at else 0
+        until = max(at + 1, int(np.searchsorted(reached, before + size, "right")))
+        yield texts.slice(at, until - at)
+        at = until
+
+
+def white_space_pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Pieces of all texts between ASCII white space, and where each text's pieces begin; some may be empty."""
+    # The split looks at ASCII bytes only, so the bytes are taken for text as they are.
+    plain = pa.Array.from_buffers(pa.string(), len(texts), texts.buffers(), offset=texts.offset)
+    lists = pc.ascii_split_whitespace(plain)
+    return lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+
+
 class ChunkTable:
     """A bounded memory of pieces and their ids."""
 
-    def __init__(self, resolve: Resolver, memory: int = MEMORY, split: Splitter = bytes.split):
+    def __init__(self, resolve: Resolver, memory: int = MEMORY, split: Splitter | None = None):
         self.resolve, self.memory, self.split = resolve, memory, split
-        self._clear()
-
-    def _clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.starts, self.flat = array("q", [0]), array("I")
+        self.starts, self.sizes, self.hits = (np.zeros(1024, np.int64) for _ in range(3))
+        self.ids, self.used = np.zeros(4096, np.uint32), 0
 
     def encode(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
         """The ids of each text, in order, as unsigned 32-bit integers."""
-        block, held = [], 0
-        for text in texts:
-            block.append(text)
-            held += len(text)
-            if held >= BLOCK_BYTES:
-                yield from self._block(block)
-                block, held = [], 0
-        yield from self._block(block)
-
-    def _block(self, block: list[bytes]) -> Iterator[np.ndarray]:
-        if len(self.index) > self.memory:
-            self._clear()
-        split = [self.split(text) for text in block]
-        new = list(set(chain.from_iterable(split)).difference(self.index))
-        for chunk, ids in zip(new, self.resolve(new), strict=True):
-            self.index[chunk] = len(self.index)
-            self.flat.extend(ids)
-            self.starts.append(len(self.flat))
-        starts = np.array(self.starts, np.int64)
-        flat = np.array(self.flat, np.uint32)
-        lengths = np.diff(starts)
-        for chunks in split:
-            at = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
-            n = lengths[at]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(ends) else 0
-            yield flat[np.repeat(starts[at] - ends + n, n) + np.arange(total)]
+        for block in blocks(pa.array(texts, pa.binary())):
+            ids, offsets = self.encode_block(block)
+            yield from (ids[a:b] for a, b in zip(offsets, offsets[1:]))
+
+    def encode_block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a block one after the other, and where those of each text begin and end."""
+        if self.split is None:
+            pieces, bounds = white_space_pieces(texts)
+        else:
+            split = [self.split(t) for t in texts.to_pylist()]
+            bounds = np.concatenate(([0], np.cumsum([len(s) for s in split], dtype=np.int64)))
+            pieces = pa.array(chain.from_iterable(split), pa.binary())
+        coded = pieces.dictionary_encode()
+        slots = self._slots(coded.dictionary.cast(pa.binary()).to_pylist())
+        at = slots[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.int64)
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.ids[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(total)]
+        return ids, np.concatenate(([0], ends))[bounds]
+
+    def _slots(self, pieces: list[bytes]) -> np.ndarray:
+        """Where the ids of distinct pieces lie; new pieces are resolved."""
+        new = [p for p in pieces if p not in self.index]
+        if len(self.index) + len(new) > self.memory and self.index:
+            self._forget()
+            new = [p for p in pieces if p not in self.index]
+        first = len(self.index)
+        found = [list(ids) for ids in self.resolve(new)]
+        self.index.update(zip(new, range(first, first + len(new)), strict=True))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self._room(first + len(new), self.used + int(sizes.sum()))
+        end = first + len(new)
+        self.sizes[first:end] = sizes
+        self.starts[first:end] = self.used + np.cumsum(sizes) - sizes
+        self.hits[first:end] = 0
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.used += len(flat)
+        slots = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        self.hits[slots] += 1
+        return slots
+
+    def _room(self, pieces: int, ids: int) -> None:
+        def grown(array: np.ndarray, wanted: int) -> np.ndarray:
+            if wanted <= len(array):
+                return array
+            return np.concatenate((array, np.zeros(max(wanted, 2 * len(array)) - len(array), array.dtype)))
+
+        self.starts, self.sizes, self.hits = (grown(a, pieces) for a in (self.starts, self.sizes, self.hits))
+        self.ids = grown(self.ids, ids)
+
+    def _forget(self) -> None:
+        """Keep the half of the memory that came up in most blocks; older hits count half."""
+        hits = self.hits[: len(self.index)]
+        keep = np.sort(np.argsort(-hits, kind="stable")[: self.memory // 2])
+        kept = np.zeros(len(hits), bool)
+        kept[keep] = True
+        names = [p for p, slot in self.index.items() if kept[slot]]
+        order = np.fromiter((self.index[p] for p in names), np.int64, len(names))
+        sizes = self.sizes[order]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.ids[np.repeat(self.starts[order] - ends + sizes, sizes) + np.arange(total)]
+        self.index = {p: i for i, p in enumerate(names)}
+        self.hits = hits[order] // 2
+        self.sizes, self.starts, self.ids, self.used = sizes, ends - sizes, ids, total
+
+
+def joined(ids: np.ndarray, offsets: np.ndarray, texts: pa.Array, between: bytes) -> pa.Array:
+    """The texts that ids stand for, one for each stretch of ids, with ``between`` between them; ``texts`` is large_binary."""
+    lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), texts.take(pa.array(ids)))
+    return pc.binary_join(lists, pa.scalar(between, pa.large_binary()))

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from riskspark.llm.chunks import ChunkTable
-from riskspark.llm.common import small_batches, table, utf8, worker_memory
+from riskspark.llm.chunks import ChunkTable, blocks, joined
+from riskspark.llm.common import small_batches, table, worker_memory
 
 #: The mark that stands for a blank inside pieces.
 BLANK = "▁"
@@ -205,14 +205,18 @@ def encode_documents(docs: DataFrame, model: PieceModel, text: str = "text") ->
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, parts = worker_memory(("pieces", mark), prepared)
-        ends = np.array([own.begin], "<u4"), np.array([own.end], "<u4")
+        begin, end = (np.array([i], "<u4").tobytes() for i in (own.begin, own.end))
+        known = pa.array(own.texts, pa.large_binary())
         for batch in batches:
             n, ids, texts = [], [], []
-            for found in parts.encode(utf8(t.as_py()) for t in batch.column(batch.num_columns - 1)):
-                whole = np.concatenate((ends[0], found, ends[1])).astype("<u4", copy=False)
-                n.append(len(whole))
-                ids.append(whole.tobytes())
-                texts.append(decode(own, whole.tolist()).decode())
+            for block in blocks(batch.column(batch.num_columns - 1)):
+                found, offsets = parts.encode_block(block)
+                for a, b in zip(offsets, offsets[1:]):
+                    n.append(b - a + 2)
+                    ids.append(begin + found[a:b].astype("<u4", copy=False).tobytes() + end)
+                # Begin and end ids stand for no text.
+                for back in joined(found, offsets, known, b"").to_pylist():
+                    texts.append(back.removeprefix(own.prefix).decode())
             made = [pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], [*others, *[f.name for f in added]])
 

@@ -22,13 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from riskspark.llm.bpe import Encoder, Vocabulary
-from riskspark.llm.chunks import ChunkTable
-from riskspark.llm.common import small_batches, stored, table, utf8, worker_memory
+from riskspark.llm.chunks import ChunkTable, blocks
+from riskspark.llm.common import small_batches, stored, table, worker_memory
 from riskspark.session import new_scratch_path
 
 MAGIC = b"WAVELET1"
 #: A shard is closed when it has so many ids; a document is never split.
 SHARD_TOKENS = 1 << 22
+#: Ids below this are ranked by a table of all of them, others by sorting.
+PRESENCE = 1 << 24
 #: Bits between two entries of a plane's count directory.
 BLOCK = 512
 SUFFIX = ".wavelet"
@@ -50,9 +52,13 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
-        symbols = np.unique(ids)
-        ranks = np.searchsorted(symbols, ids)
-        ranks = ranks.astype(np.uint16 if len(symbols) <= 1 << 16 else np.uint32)
+        if len(ids) and ids.max() < PRESENCE:
+            present = np.bincount(ids) > 0
+            symbols = np.flatnonzero(present).astype(ids.dtype)
+            ranks = (np.cumsum(present) - 1).astype(np.uint16 if len(symbols) <= 1 << 16 else np.uint32)[ids]
+        else:
+            symbols, ranks = np.unique(ids, return_inverse=True)
+            ranks = ranks.astype(np.uint16 if len(symbols) <= 1 << 16 else np.uint32)
         planes, zeros = [], []
         for bit in reversed(range(max(1, int(len(symbols) - 1).bit_length()) if len(symbols) else 0)):
             ones = (ranks >> bit) & 1 == 1
@@ -235,13 +241,17 @@ def write_shards(
             return pa.RecordBatch.from_pydict(made)
 
         for batch in batches:
-            for i, own in enumerate(pieces.encode(utf8(t.as_py()) for t in batch.column(1))):
-                ids.append(np.append(own, np.uint32(end_id)))
-                keys.append(batch.column(0).slice(i, 1))
-                held += len(ids[-1])
-                if held >= SHARD_TOKENS:
-                    yield close()
-                    ids, keys, held, number = [], [], 0, number + 1
+            row = 0
+            for block in blocks(batch.column(1)):
+                found, offsets = pieces.encode_block(block)
+                for a, b in zip(offsets, offsets[1:]):
+                    ids.append(np.append(found[a:b], np.uint32(end_id)))
+                    keys.append(batch.column(0).slice(row, 1))
+                    row += 1
+                    held += len(ids[-1])
+                    if held >= SHARD_TOKENS:
+                        yield close()
+                        ids, keys, held, number = [], [], 0, number + 1
         if ids:
             yield close()
 
