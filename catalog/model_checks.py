@@ -29,6 +29,7 @@ from riskspark.operators.contract import CUSTOMER_CONTRACT, ContractViolation, t
 from riskspark.plans.scoring_job import ScoringJob, run_batch_scoring
 from riskspark.plans.selection import run_selection
 from riskspark.session import new_scratch_path
+from riskspark.sources.commits import file_system
 
 NUMERIC = preprocessing.NUMERIC_FEATURES
 CATEGORICAL = preprocessing.CATEGORICAL_FEATURES
@@ -319,15 +320,13 @@ def stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def batch_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw batch is rejected whole: nothing is scored, every row is quarantined."""
-    from riskspark.models.scoring import _file_system
-
     root = new_scratch_path(spark, "gate")
     job = ScoringJob(f"{root}/scores", f"{root}/quarantine")
     try:
         run_batch_scoring(spark, raw_snapshot(spark, sf_dir), SNAPSHOT_FORMULA, job, BATCH)
         scored_batches = 1
     except ContractViolation:
-        fs, path = _file_system(spark, job.output)
+        fs, path = file_system(spark, job.output)
         scored_batches = int(fs.exists(path))
     held = spark.read.parquet(f"{job.quarantine}/batch_id={BATCH}/rows")
     return held.agg(

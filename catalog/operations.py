@@ -27,7 +27,7 @@ from riskspark.operators import drift, monitoring, quality
 from riskspark.operators.contract import CUSTOMER_CONTRACT, validation_errors, validation_report
 from riskspark.session import new_scratch_path
 from riskspark.sources.manifest import file_checksums, source_manifest
-from riskspark.sources.sinks import quarantine_batch, write_report, write_scored
+from riskspark.sources.sinks import quarantine_batch, read_scored, write_report, write_scored
 from riskspark.sources.tables import as_table, load_scoring_batch, load_training_table, read_table
 
 # Event values stand in for latencies of up to some hundred milliseconds.
@@ -266,7 +266,7 @@ def write_scored_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
             score_batch(snapshot(spark, sf_dir), SNAPSHOT_FORMULA, "customerID", 0.5, VERSION, batch_id, SCORED_AT),
             path,
         )
-    return read_table(spark, path).select("customerID", "churn_probability", "batch_id")
+    return read_scored(spark, path).select("customerID", "churn_probability", "batch_id")
 
 
 @query("a05_quarantine", f"WITH {RAW_CTE} SELECT * FROM raw")

@@ -11,6 +11,7 @@ from catalog.standins import FORMULA_SQL, LINE_CONTRACT, SNAPSHOT_CTE, SNAPSHOT_
 from riskspark.operators import monitoring as batch
 from riskspark.operators.contract import CUSTOMER_CONTRACT
 from riskspark.session import new_scratch_path
+from riskspark.sources.sinks import read_scored
 from riskspark.streaming import labels as label_streams
 from riskspark.streaming import monitoring, panes, runs, scoring
 
@@ -85,7 +86,7 @@ def gate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     stream = runs.file_stream(spark, f"{root}/in", rows.schema, files_per_trigger=1)
     runs.run_per_batch(stream, handle, f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/scores").select("customerID", "churn_probability")
+    return read_scored(spark, f"{root}/scores").select("customerID", "churn_probability")
 
 
 @query(
@@ -146,6 +147,24 @@ def compacted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_streams.latest_rows(log, "user_id", order).select("user_id", "event_id", "event_type")
 
 
+@query(
+    "k05_merged_while_running",
+    """SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) e WHERE rn = 1""",
+)
+def merged_while_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published log that is merged after every micro-batch but the last."""
+    root, order = new_scratch_path(spark, "published"), ["ts", "event_id"]
+    publish = label_streams.published_log(root, "user_id", order)
+
+    def handle(batch: DataFrame, number: int) -> None:
+        publish(batch, number)
+        if number < 3:
+            label_streams.merge_published(spark, root, "user_id", order)
+
+    runs.run_per_batch(_stored(spark, table(spark, sf_dir, "events"), "published-arrivals", 4), handle, f"{root}-checkpoint")
+    return label_streams.published_rows(spark, root, "user_id", order).select("user_id", "event_id", "event_type")
+
+
 @query("k05_first_per_key", "SELECT DISTINCT user_id, event_type FROM events")
 def first_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First arrival per user and type, with a delay longer than the month of data."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from riskspark.functions.decisions import batch_stamp, check_threshold, decide, new_batch_id
 from riskspark.functions.rounding import round4
 from riskspark.models.training import positive_probability
+from riskspark.sources.commits import CommitLog
 
 
 @dataclass(frozen=True)
@@ -101,39 +101,34 @@ def score_batch(
     )
 
 
-def _file_system(spark, path: str):
-    jvm = spark.sparkContext._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
-
-
 def model_versions(spark, root: str) -> list[int]:
-    """Version numbers stored under ``root`` as ``version=N`` folders."""
-    fs, location = _file_system(spark, root)
-    if not fs.exists(location):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(location)]
-    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("version="))
+    """Numbers of the versions that were stored whole."""
+    return CommitLog(spark, root).numbers()
 
 
 def save_version(spark, model: PipelineModel, root: str, metadata: Mapping | None = None) -> int:
-    """Store a model as the next version, with its metadata next to it."""
-    version = (model_versions(spark, root) or [0])[-1] + 1
-    path = f"{root.rstrip('/')}/version={version}"
-    model.write().save(f"{path}/model")
-    note = json.dumps(dict(metadata or {}), default=str)
-    spark.createDataFrame([(version, note)], "version int, metadata string").coalesce(1).write.json(
-        f"{path}/metadata"
-    )
-    return version
+    """Store a model as the next version, with its metadata; returns the version.
+
+    The number is taken when the model lies there whole: of two writers each gets its own, and no reader meets half a version.
+    """
+    log = CommitLog(spark, root)
+    folder = log.draft()
+    model.write().save(log.path(f"{folder}/model"))
+    return log.commit({"model": folder}, note=metadata)
+
+
+def version_metadata(spark, root: str, version: int) -> dict:
+    """What was noted when the version was stored."""
+    return CommitLog(spark, root).read(version)["note"]
 
 
 def load_version(spark, root: str, version: int | str | None = None) -> PipelineModel:
     """Load the given version, or the latest one."""
-    known = model_versions(spark, root)
+    log = CommitLog(spark, root)
+    known = log.numbers()
     if not known:
         raise ValueError(f"no model versions under {root}")
     chosen = known[-1] if version in (None, "latest") else int(version)
     if chosen not in known:
         raise ValueError(f"model version {chosen} not found under {root}")
-    return PipelineModel.load(f"{root.rstrip('/')}/version={chosen}/model")
+    return PipelineModel.load(log.path(f"{log.read(chosen)['set']['model']}/model"))

@@ -21,7 +21,7 @@ from riskspark.operators.contract import (
     written_counts,
 )
 from riskspark.session import written
-from riskspark.sources.sinks import quarantine_batch, write_scored
+from riskspark.sources.sinks import quarantine_batch, read_scored, write_scored
 from riskspark.sources.tables import load_scoring_batch
 
 
@@ -71,7 +71,7 @@ def run_batch_scoring(
         scored_at,
     )
     write_scored(scored, job.output)
-    return spark.read.parquet(job.output).where(f"batch_id = '{batch_id}'")
+    return read_scored(spark, job.output, batch_id)
 
 
 def score_with_version(

@@ -2,28 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskspark.sources.commits import CommitLog, file_system, move_new
+
 
 def write_scored(scored: DataFrame, path: str) -> None:
-    """Write one batch as partition ``batch_id=…``; writing a batch again replaces it."""
-    (
-        scored.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    """Publish all batches of a frame at once; a batch that was there before is replaced. Read with :func:`read_scored`."""
+    log = CommitLog(scored.sparkSession, path)
+    folder = log.draft()
+    scored.write.partitionBy("batch_id").parquet(log.path(folder))
+    fs, place = file_system(scored.sparkSession, log.path(folder))
+    names = [s.getPath().getName() for s in fs.listStatus(place)]
+    batches = {n: f"{folder}/{n}" for n in names if n.startswith("batch_id=")}
+    if batches:
+        log.commit(batches)
+
+
+def read_scored(spark: SparkSession, path: str, batch_id: str | None = None) -> DataFrame:
+    """The published batches, or one of them; an error if there is none."""
+    rows = CommitLog(spark, path).frame("" if batch_id is None else f"batch_id={batch_id}")
+    return rows if batch_id is None else rows.where(F.col("batch_id") == batch_id)
 
 
 def quarantine_batch(
     report: DataFrame, errors: DataFrame, rows: DataFrame, path: str, batch_id: str
 ) -> str:
-    """Persist report, error list and raw rows of a rejected batch; returns its folder."""
-    folder = f"{path.rstrip('/')}/batch_id={batch_id}"
-    report.withColumn("quarantined_batch", F.lit(batch_id)).write.mode("overwrite").json(f"{folder}/report")
-    errors.write.mode("overwrite").json(f"{folder}/errors")
-    rows.write.mode("overwrite").parquet(f"{folder}/rows")
+    """Persist report, error list and raw rows of a rejected batch; returns its folder.
+
+    The three are written beside it and moved into place together, so the folder is complete whenever it is there. A
+    batch that is quarantined again takes the place of the earlier one, which stays under ``_replaced``.
+    """
+    spark, root = rows.sparkSession, path.rstrip("/")
+    folder, draft = f"{root}/batch_id={batch_id}", f"{root}/_drafts/{uuid.uuid4().hex}"
+    report.withColumn("quarantined_batch", F.lit(batch_id)).write.json(f"{draft}/report")
+    errors.write.json(f"{draft}/errors")
+    rows.write.parquet(f"{draft}/rows")
+    while not move_new(spark, draft, folder):
+        move_new(spark, folder, f"{root}/_replaced/batch_id={batch_id}-{uuid.uuid4().hex}")
     return folder
 
 
