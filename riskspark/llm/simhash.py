@@ -138,6 +138,14 @@ def links(fingerprints: DataFrame) -> DataFrame:
     return close.union(stars).distinct()
 
 
+def fingerprint_components(prints: DataFrame) -> DataFrame:
+    """``f`` and ``component``, the least fingerprint it reaches, of all distinct fingerprints of a column ``f``."""
+    classes = stored(prints.select("f").distinct(), "simhash-classes")
+    reached = components(links(classes)).withColumnRenamed("node", "f")
+    found = classes.join(reached, "f", "left").select("f", F.coalesce("component", "f").alias("component"))
+    return stored(found, "simhash-components")
+
+
 def near_duplicates(docs: DataFrame, id: str, text: str, words: int = 3) -> DataFrame:
     """Groups of documents whose SimHashes differ in two or fewer bits, directly or through others.
 
@@ -151,182 +159,46 @@ def near_duplicates(docs: DataFrame, id: str, text: str, words: int = 3) -> Data
     prints = stored(
         docs.select(F.col(id).alias("__id"), fingerprint(F.col(text), words).alias("f")), "simhash"
     )
-    classes = stored(prints.groupBy("f").agg(F.min("__id").alias("least")), "simhash-classes")
-    reached = components(links(classes.select("f"))).withColumnRenamed("node", "f")
-    reached = stored(
-        classes.join(reached, "f", "left").select(
-            "f", "least", F.coalesce("component", "f").alias("component")
-        ),
-        "simhash-components",
-    )
-    least = reached.groupBy("component").agg(F.min("least").alias("component_id"))
+    reached = fingerprint_components(prints)
+    least = prints.groupBy("f").agg(F.min("__id").alias("least")).join(reached, "f")
+    least = stored(least.groupBy("component").agg(F.min("least").alias("component_id")), "least-ids")
     named = reached.join(least, "component").select("f", "component_id")
     return prints.join(named, "f").select(F.col("__id").alias(id), "f", "component_id")
 
 
-#: Sampled fingerprints of a text, and shingles in each.
-SAMPLES = 24
-SAMPLED = 3
-SIMILARITY = 0.8
-_MULTIPLIERS = np.random.default_rng(9).integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(
-    2
-) + np.uint64(1)
-
-
-def sampled_fingerprints(hashes: np.ndarray) -> np.ndarray:
-    """SimHashes of ``SAMPLES`` samples of three shingles, each the least under an order of its own.
-
-    Texts of Jaccard similarity 0.8 draw the same three shingles in about half of the samples.
-    """
-    distinct = np.unique(hashes)
-    if not len(distinct):
-        return np.zeros(SAMPLES, np.int64)
-    if len(distinct) < SAMPLED:
-        distinct = np.resize(distinct, SAMPLED)
-    low = np.empty((SAMPLES, SAMPLED), np.uint64)
-    for i, multiplier in enumerate(_MULTIPLIERS):
-        order = distinct * multiplier
-        order ^= order >> np.uint64(32)
-        low[i] = np.sort(np.partition(order, SAMPLED - 1)[:SAMPLED])
-    a, b, c = low.T
-    return ((a & b) | (a & c) | (b & c)).view(np.int64)
-
-
-def candidates(classes: DataFrame) -> DataFrame:
-    """Pairs ``u``, ``v`` of nodes that share a sampled fingerprint.
-
-    ``classes`` has ``node``, ``f`` (fingerprint of the whole text) and ``samples``. In a cell of at most
-    ``CELL`` nodes all pairs are candidates. A fuller cell is a family of copies: all of it is paired with
-    its hub, the node nearest to the bitwise majority of the cell's fingerprints.
-    """
-    cells = stored(
-        classes.select("node", "f", F.posexplode("samples").alias("p", "cell")), "sample-cells"
-    )
-    sizes = cells.groupBy("p", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    # Written, so that the join reads two plain exchanges, whose large partitions Spark can split.
-    sizes = stored(sizes, "cell-sizes")
-    shared = stored(cells.join(sizes, ["p", "cell"]), "shared-samples")
-    members = (
-        shared.where(F.col("n") <= CELL).groupBy("p", "cell").agg(F.collect_list("node").alias("ns"))
-    )
-    pairs = members.select("ns", F.explode("ns").alias("u")).select("u", F.explode("ns").alias("v"))
-    full = shared.where(F.col("n") > CELL)
-    bit = [F.shiftrightunsigned("f", i).bitwiseAND(F.lit(1)) for i in range(64)]
-    middle = full.groupBy("p", "cell").agg(*[F.avg(b).alias(f"b{i}") for i, b in enumerate(bit)])
-    apart = sum(
-        (F.when((F.col(f"b{i}") > 0.5) != (b == 1), 1).otherwise(0) for i, b in enumerate(bit)),
-        F.lit(0),
-    )
-    hubs = (
-        full.join(middle, ["p", "cell"])
-        .select("p", "cell", "node", apart.alias("apart"))
-        .groupBy("p", "cell")
-        .agg(F.min(F.struct("apart", "node")).alias("hub"))
-        .select("p", "cell", F.col("hub.node").alias("hub"))
-    )
-    spokes = full.join(hubs, ["p", "cell"]).select(
-        F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")
-    )
-    return pairs.union(spokes).where("u < v").distinct()
-
-
-def copy_groups(
-    docs: DataFrame, id: str, text: str, words: int = 5, similarity: float = SIMILARITY
-) -> tuple[DataFrame, DataFrame]:
-    """Different pairs of id and text (``__id``, ``k1``, ``k2``), and the group of each text.
+def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
+    """One row of each group of :func:`near_duplicates`: that of the least id, of its rows the one with the least text key.
 
-    ``k1`` and ``k2`` stand for the text. The second table has a row for each text: ``k1``, ``k2``, ``least`` (its
-    least id) and ``component``, the least node (``least``, ``k1``, ``k2``) of its group. Ids are not
-    unique, so only the node stands for a group. Candidates share one of several SimHashes of sampled
-    shingles, and count as links if the Jaccard similarity of their whole sets of ``words``-word
-    shingles is at least ``similarity``. Null and empty texts are equal to each other.
+    Groups are groups of texts, so an id with texts of several groups keeps a row in each that it leads, and of texts with null ids
+    one of each group stays; a null id leads a group only if no row has another. All columns are kept, whatever their names. Of
+    repeated rows, and of rows that differ only in other columns, one stays. An empty table gives an empty one.
     """
-
     small_batches(docs.sparkSession)
-
-    @F.pandas_udf("f long, samples array<long>")
-    def prints(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in texts:
-            hashes = shingle_hashes(t, words)
-            rows.append((fingerprint_of(np.unique(hashes)), sampled_fingerprints(hashes)))
-        return pd.DataFrame(rows, columns=["f", "samples"])
-
-    @F.pandas_udf("array<long>")
-    def shingles(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(shingle_hashes(t, words)).view(np.int64) for t in texts])
-
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     keyed = docs.select(
-        F.col(id).alias("__id"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rest"),
+        F.col(f"`{id}`").alias("id"),
         F.xxhash64(body).alias("k1"),
         F.xxhash64(F.lit("second"), body).alias("k2"),
-        body.alias("__text"),
-    )
-    printed = stored(keyed.withColumn("s", prints("__text")).select("__id", "k1", "k2", "s.*"), "prints")
-    classes = printed.groupBy("k1", "k2").agg(
-        F.min("__id").alias("least"), F.min("f").alias("f"), F.min("samples").alias("samples")
-    )
-    classes = stored(classes.withColumn("node", F.struct("least", "k1", "k2")), "text-classes")
-    pairs = stored(candidates(classes), "sample-pairs")
-    ends = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    sets = (
-        keyed.join(ends.select("node", "node.k1", "node.k2"), ["k1", "k2"])
-        .where(F.col("__id").eqNullSafe(F.col("node.least")))
-        .select("node", shingles("__text").alias("set"))
-        .distinct()
     )
-    sets = stored(sets, "shingle-sets")
-    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("set").alias("a")), "u").join(
-        sets.select(F.col("node").alias("v"), F.col("set").alias("b")), "v"
-    )
-    shared = F.size(F.array_intersect("a", "b"))
-    close = both.where(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("u", "v")
-    reached = components(close)
-    grouped = classes.join(reached, "node", "left").select(
-        "k1", "k2", "least", F.coalesce("component", "node").alias("component")
-    )
-    return printed.select("__id", "k1", "k2").distinct(), stored(grouped, "copy-groups")
-
-
-def near_copies(
-    docs: DataFrame, id: str, text: str, words: int = 5, similarity: float = SIMILARITY
-) -> DataFrame:
-    """Groups of texts with equal or nearly equal shingle sets: ``id``, ``k1``, ``k2``, ``component`` and ``component_id``.
-
-    For copies whose SimHashes differ in many bits, see :func:`copy_groups`. One row for each different pair of
-    id and text. ``component`` stands for the group, ``component_id`` is its least id; groups can share it. A
-    null id is named only if its group has no other; an empty table gives an empty one.
-    """
-    ids, grouped = copy_groups(docs, id, text, words, similarity)
-    # Null ids sort first among nodes, but name a group only if it has no other.
-    named = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = grouped.join(named, "component").select("k1", "k2", "component", "component_id")
-    return ids.join(named, ["k1", "k2"]).select(
-        F.col("__id").alias(id), "k1", "k2", "component", "component_id"
-    )
-
-
-def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group of :func:`copy_groups`: that of the least id, and of its rows the one with the least text key.
-
-    An id with several texts can stand for several groups and then stays with one text of each; of
-    groups with null ids only, each keeps a row. All columns are kept. Of repeated rows one stays.
-    """
-    _, grouped = copy_groups(docs, id, text)
-    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "k1", "k2"))
-    kept = grouped.groupBy("component").agg(first.alias("__k")).select(
-        F.col("__k.least").alias("__id"), F.col("__k.k1").alias("__k1"), F.col("__k.k2").alias("__k2")
-    )
-    kept = stored(kept, "kept-documents")
-    body = F.coalesce(F.col(text), F.lit(""))
-    keys = {"__t1": F.xxhash64(body), "__t2": F.xxhash64(F.lit("second"), body)}
-    rows = docs.withColumns(keys).join(
-        kept,
-        F.col(id).eqNullSafe(F.col("__id")) & (F.col("__t1") == F.col("__k1")) & (F.col("__t2") == F.col("__k2")),
-        "left_semi",
-    )
-    return rows.dropDuplicates([id, "__t1", "__t2"]).drop("__t1", "__t2")
+    prints = docs.select(
+        F.col(f"`{id}`").alias("id"),
+        F.xxhash64(body).alias("k1"),
+        F.xxhash64(F.lit("second"), body).alias("k2"),
+        fingerprint(body, words).alias("f"),
+    )
+    prints = stored(prints, "simhash")
+    reached = fingerprint_components(prints)
+    lead = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2"))
+    # Least rows of fingerprints first, so that a large group is combined before it is shuffled.
+    first = stored(prints.groupBy("f").agg(lead.alias("lead")), "least-rows").join(reached, "f")
+    first = first.groupBy("component").agg(F.min("lead").alias("lead")).select("lead.id", "lead.k1", "lead.k2")
+    kept = stored(first, "kept-documents").alias("kept")
+    same = F.col("all.id").eqNullSafe(F.col("kept.id"))
+    for k in ("k1", "k2"):
+        same = same & (F.col(f"all.{k}") == F.col(f"kept.{k}"))
+    rows = keyed.alias("all").join(kept, same, "left_semi")
+    return rows.dropDuplicates(["id", "k1", "k2"]).select("rest.*")
 
 
 def op9_simhash_components(spark, sf_dir):

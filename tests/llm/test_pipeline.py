@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from tests.llm.test_decontamination import brute
-from tests.llm.test_simhash import grouped, shingle_set
+from tests.llm.test_simhash import groups_of, plain_fingerprint
 from tests.llm.test_suffix_dedup import brute as repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,11 +24,10 @@ def test_stages_in_turn(spark, sf_dir):
     good = [i for i, q in labels.items() if q == 1]
     assert sum(i in kept[0] for i in good) > 0.95 * len(good)
 
-    sets = {i: shingle_set(r["text"]) for i, r in kept[0].items()}
-    close = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    least: dict = {}
-    groups = grouped(close, list(sets))
-    for i, g in groups.items():
+    rows = [(i, r["text"]) for i, r in kept[0].items()]
+    group, least = groups_of(rows), {}
+    for i, t in rows:
+        g = group[plain_fingerprint(t)]
         least[g] = min(least.get(g, i), i)
     assert set(kept[1]) == set(least.values())
     assert all(kept[1][i]["text"] == start[i]["text"] for i in kept[1])
