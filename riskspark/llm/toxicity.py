@@ -10,17 +10,20 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from riskspark.llm import logistic
-from riskspark.llm.common import id_remainder, labelled_texts, small_batches, stored, table
+from riskspark.llm.common import id_remainder, labelled_texts, small_batches, stored, table, worker_memory
 
 # Letters that a written character can stand for.
 LEET = {
@@ -31,6 +34,8 @@ LEET = {
 SUBSTITUTED, SEPARATOR, REPEAT, DIGIT = -1.0, -0.3, -0.2, -6.0
 #: Letters the language model knows; rarer ones share one symbol.
 ALPHABET = 64
+#: Texts whose words are counted together.
+TOGETHER = 64
 #: Labelled documents of each class used at most, half for the lexicon and half for calibration.
 SAMPLE = 4_000
 #: Texts are scored in windows of twice so many words, each beginning in the middle of the one before.
@@ -41,8 +46,13 @@ PREFIXES = (4, 5, 6, 7)
 SUPPORT = 4
 LEAST_ODDS = 1.5
 LEXICON = 20_000
-#: Distinct words a worker remembers before it starts anew.
-MEMORY = 300_000
+#: Distinct words a worker remembers before it forgets those not met lately, and words a task counts before it hands on.
+MEMORY = 1_000_000
+COUNTED = 300_000
+#: Imaginary parts of remembered values: a piece that can be part of a spaced word, and one that holds several of its letters.
+SINGLE, SEVERAL = 1, 2
+#: Punctuation at the edges of a word that stands for no letter.
+PUNCTUATION = ".,;:?\"'-)[]{}*/&%#=<>~^`_"
 
 _SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*][^\W_]){2,}(?!\w)|(?<!\S)\S(?: \S){3,}(?!\S)")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
@@ -180,6 +190,7 @@ class ToxicityModel:
 
     def __init__(self, trigrams: dict[str, int]):
         self.trigrams = trigrams
+        self.mark = uuid.uuid4().hex
         self.lexicon: dict[str, float] = {}
         self.weights, self.intercept = np.zeros(4), 0.0
 
@@ -189,10 +200,10 @@ class ToxicityModel:
         ``odds`` is the ratio of toxic to clean among all labelled rows; the samples are balanced. Texts are read
         where they lie: to the driver come the lexicon and four numbers of each document's heaviest window.
         """
-        trigrams = self.trigrams
+        shared = drawn.sparkSession.sparkContext.broadcast(self.trigrams)
 
         def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            reader = TextReader(trigrams, {})
+            reader = TextReader(shared.value, {})
             for batch in batches:
                 for y, text in zip(batch["__y"], batch["__text"]):
                     found = list({f for w in reader.words(text) for f in features(w)})
@@ -211,11 +222,11 @@ class ToxicityModel:
         weight = F.log((F.col("a") + 0.5) / n1) - F.log((F.col("b") + 0.5) / n0)
         best = counts.select("f", weight.alias("w")).where(F.col("w") >= LEAST_ODDS)
         self.lexicon = {r[0]: r[1] for r in best.orderBy(F.desc("w"), "f").limit(LEXICON).collect()}
-        lexicon = self.lexicon
+        reader_of = self.reader(drawn.sparkSession)
 
         @F.pandas_udf("array<double>")
         def heaviest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            reader = TextReader(trigrams, lexicon)
+            reader = reader_of()
             for texts in batches:
                 yield pd.Series([max(reader.measure(t).tolist()) for t in texts], dtype=object)
 
@@ -227,14 +238,19 @@ class ToxicityModel:
         if 0 < y.sum() < len(y):
             self.intercept += math.log(odds) - math.log(y.sum() / (len(y) - y.sum()))
 
-    def score(self, text: Column) -> Column:
+    def reader(self, spark: SparkSession) -> Callable[[], TextReader]:
+        """Makes, in a task, the reader of this model, or takes the one that its worker has."""
+        shared, mark = spark.sparkContext.broadcast((self.trigrams, self.lexicon)), self.mark
+        return lambda: worker_memory(("toxicity", mark), lambda: TextReader(*shared.value))
+
+    def score(self, spark: SparkSession, text: Column) -> Column:
         """Probability that a text is toxic: that of its most toxic window; null counts as empty."""
-        trigrams, lexicon = self.trigrams, self.lexicon
+        reader_of = self.reader(spark)
         weights, intercept = self.weights, self.intercept
 
         @F.pandas_udf(DoubleType())
         def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            reader = TextReader(trigrams, lexicon)
+            reader = reader_of()
             for texts in batches:
                 best = [logistic.score(reader.measure(t), weights, intercept).max() for t in texts]
                 yield pd.Series(best, dtype=float)
@@ -246,12 +262,13 @@ class TextReader:
     """Reads texts word by word and remembers what a written word stands for."""
 
     def __init__(self, trigrams: dict[str, int], lexicon: dict[str, float]):
-        self.model, self.lexicon = LanguageModel(trigrams), lexicon
+        self.model = LanguageModel(trigrams)
+        self.whole = {f[1:]: w for f, w in lexicon.items() if f[0] == "="}
+        self.starts = {f: w for f, w in lexicon.items() if f[0] != "="}
         # Repeated letters may also be doubled ones.
-        self.single = {
-            "=" + _DOUBLE.sub(r"\1", f[1:]): w for f, w in lexicon.items() if f[0] == "=" and len(f) > 4
-        }
-        self.known: dict[str, float] = {}
+        self.single = {_DOUBLE.sub(r"\1", f): w for f, w in self.whole.items() if len(f) > 3}
+        self.known: dict[str, complex] = {}
+        self.older: dict[str, complex] = {}
 
     def words(self, text: str | None) -> list[str]:
         """All restored words of a text."""
@@ -260,21 +277,48 @@ class TextReader:
         return found + [decode(plain(s), self.model) for s in spaced(text)]
 
     def weight(self, word: str) -> float:
-        best = max(map(self.lexicon.get, features(word), (0.0,) * 9), default=0.0)
+        best = self.whole.get(word, 0.0)
+        starts, size = self.starts, len(word)
+        for n in PREFIXES:
+            if size > n and (w := starts.get(word[:n])) is not None and w > best:
+                best = w
         if not best and _DOUBLE.search(word):
-            best = self.single.get("=" + _DOUBLE.sub(r"\1", word), 0.0)
+            best = self.single.get(_DOUBLE.sub(r"\1", word), 0.0)
         return best
 
+    def value(self, chunk: str) -> complex:
+        """The greatest weight of a piece's readings, and as imaginary part a mark if it can belong to a spaced word."""
+        core = chunk.lower().strip(PUNCTUATION)
+        if core.isascii() and core.isalpha() and chunk.isascii() and not _RUN.search(core):
+            # A plain word: its only reading is itself.
+            best = self.weight(core)
+        else:
+            best = max(map(self.weight, readings(chunk, self.model)), default=0.0)
+        if len(chunk) == 1:
+            return complex(best, SINGLE)
+        second = chunk[1]
+        if second.isalnum():
+            return complex(best)
+        if len(chunk) > 2 and second in ".-_*" and chunk[2].isalnum():
+            return complex(best, SEVERAL)
+        return complex(best, SINGLE)
+
+    def values(self, chunks: list[str]) -> np.ndarray:
+        known, older = self.known, self.older
+        for chunk in set(chunks).difference(known):
+            found = older.get(chunk)
+            known[chunk] = self.value(chunk) if found is None else found
+        out = np.fromiter(map(known.__getitem__, chunks), complex, len(chunks))
+        if len(known) > MEMORY:
+            self.known, self.older = {}, known
+        return out
+
     def measure(self, text: str | None) -> np.ndarray:
         """Sum, largest, mean and number of the weights of the words of each window of a text, a row each."""
         text = text or ""
-        known = self.known
         chunks = text.split()
-        for chunk in set(chunks).difference(known):
-            known[chunk] = max(map(self.weight, readings(chunk, self.model)), default=0.0)
-        values = np.fromiter(map(known.__getitem__, chunks), float, len(chunks))
-        if len(known) > MEMORY:
-            known.clear()
+        found = self.values(chunks)
+        values, marks = found.real, found.imag
         n = max(1, -(-len(chunks) // HALF_WINDOW))
         total, most, hits = np.zeros(n), np.zeros(n), np.zeros(n)
         words = np.full(n, HALF_WINDOW)
@@ -287,65 +331,77 @@ class TextReader:
 
         heavy = np.flatnonzero(values)
         add(heavy // HALF_WINDOW, values[heavy])
-        joined = [(m.start(), w) for m, s in spaced_runs(text) if (w := self.weight(decode(plain(s), self.model)))]
-        if joined:
-            starts = np.fromiter((m.start() for m in _CHUNK.finditer(text)), np.int64, len(chunks))
-            at = np.searchsorted(starts, [place for place, _ in joined], side="right") - 1
-            add(at // HALF_WINDOW, np.array([w for _, w in joined]))
+        # A spaced word has three letters at least: pieces of one letter in a row, or a piece of several.
+        single = marks == SINGLE
+        if (marks == SEVERAL).any() or (single[:-2] & single[1:-1] & single[2:]).any():
+            joined = [(m.start(), w) for m, s in spaced_runs(text) if (w := self.weight(decode(plain(s), self.model)))]
+            if joined:
+                starts = np.fromiter((m.start() for m in _CHUNK.finditer(text)), np.int64, len(chunks))
+                at = np.searchsorted(starts, [place for place, _ in joined], side="right") - 1
+                add(at // HALF_WINDOW, np.array([w for _, w in joined]))
         if n > 1:
             total, hits, words = (x[:-1] + x[1:] for x in (total, hits, words))
             most = np.maximum(most[:-1], most[1:])
         return np.stack([np.log1p(total), most, total / (words + 20), np.log1p(hits)], axis=1)
 
 
+def trigrams_of(words: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    """Character trigrams of counted words between two begin marks and an end mark, in time linear in their letters."""
+    lengths = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    # The marks are no letters, so no word holds them.
+    text = "".join(f"^^{w}$" for w in words.to_pylist())
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    sizes = lengths + 3
+    ends = np.cumsum(sizes)
+    inner = np.ones(len(points), bool)
+    inner[ends - 1] = inner[ends - 2] = False
+    at = np.flatnonzero(inner)
+    grams, place = np.unique(points[at] << 42 | points[at + 1] << 21 | points[at + 2], return_inverse=True)
+    n = np.bincount(place, np.repeat(counts, sizes - 2), len(grams)).astype(np.int64)
+    letters = np.stack([grams >> 42, grams >> 21 & 0x1FFFFF, grams & 0x1FFFFF], axis=1).astype("<u4")
+    flat = letters.tobytes().decode("utf-32-le", "surrogatepass")
+    names = pa.array([flat[i : i + 3] for i in range(0, len(flat), 3)], pa.string())
+    return pa.RecordBatch.from_arrays([names, pa.array(n)], ["g", "n"])
+
+
 def corpus_trigrams(docs: DataFrame, text: str) -> dict[str, int]:
     """Character trigram counts over the plain words of all documents.
 
-    Words are counted first, so what is gathered grows with the corpus; trigrams of the word
-    table are bounded by the alphabet, which is folded to its most frequent letters before
-    anything reaches the driver.
+    Tasks count words first and then the trigrams of each distinct one, however long it is. Letters are
+    folded to the most frequent ones before anything reaches the driver, so the alphabet bounds what does.
     """
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter[str] = Counter()
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
 
-        def flush() -> pd.DataFrame:
-            words = [(w, n) for w, n in seen.items() if w.isalpha()]
-            seen.clear()
-            return pd.DataFrame(words, columns=["w", "n"])
+        def flush() -> pa.RecordBatch:
+            found = pa.concat_tables(held).group_by("w").aggregate([("n", "sum")]).combine_chunks()
+            held.clear()
+            if not len(found):
+                return pa.RecordBatch.from_pydict({"g": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
+            return trigrams_of(found["w"].chunk(0), found["n_sum"].to_numpy())
 
         for batch in batches:
-            for t in batch["t"]:
-                if t:
-                    seen.update(t.lower().split())
-            if len(seen) > MEMORY:
+            texts = pc.fill_null(batch.column(0), "")
+            for at in range(0, len(texts), TOGETHER):
+                pieces = pc.utf8_split_whitespace(pc.utf8_lower(texts.slice(at, TOGETHER))).flatten()
+                seen = pc.value_counts(pieces.filter(pc.utf8_is_alpha(pieces)))
+                held.append(pa.table({"w": seen.field("values"), "n": seen.field("counts")}))
+            if sum(map(len, held)) > COUNTED:
                 yield flush()
-        yield flush()
-
-    table_of = (
-        docs.select(F.col(text).alias("t"))
-        .mapInPandas(counted, "w string, n long")
-        .groupBy("w")
-        .agg(F.sum("n").alias("n"))
-    )
-    table_of = stored(table_of, "corpus-words")
-    letters = F.split(F.col("w"), "")
-    common = [
-        r[0]
-        for r in table_of.select("n", F.explode(letters).alias("c"))
-        .groupBy("c")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "c")
-        .limit(ALPHABET)
-        .collect()
-    ]
-    folded = F.transform(letters, lambda c: F.when(c.isin(common), c).otherwise("?"))
-    padded = F.concat(F.lit("^^"), F.array_join(folded, ""), F.lit("$"))
-    grams = F.transform(
-        F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3))
-    )
-    rows = table_of.select("n", F.explode(grams).alias("g")).groupBy("g").agg(F.sum("n").alias("n"))
+        if held:
+            yield flush()
+
+    grams = docs.select(F.col(text)).mapInArrow(counted, "g string, n long").groupBy("g").agg(F.sum("n").alias("n"))
+    grams = stored(grams, "corpus-trigrams")
+    # Every letter of a word is the last one of a trigram once.
+    last = F.substring("g", 3, 1)
+    letters = grams.where(last != "$").groupBy(last.alias("c")).agg(F.sum("n").alias("n"))
+    common = [r[0] for r in letters.orderBy(F.desc("n"), "c").limit(ALPHABET).collect()] + ["^", "$"]
+    folded = [F.substring("g", i, 1) for i in (1, 2, 3)]
+    folded = F.concat(*[F.when(c.isin(common), c).otherwise("?") for c in folded])
     # At most (ALPHABET + 3) ** 3 rows.
+    rows = grams.groupBy(folded.alias("g")).agg(F.sum("n").alias("n"))
     return {r["g"]: r["n"] for r in rows.collect()}
 
 
@@ -370,7 +426,7 @@ def score_toxicity(
     return (
         docs.drop("held_out", "score", "predicted")
         .withColumn("held_out", id_remainder(id, 5) == 0)
-        .withColumn("score", model.score(F.col(text)))
+        .withColumn("score", model.score(docs.sparkSession, F.col(text)))
         .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
     )
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import re
 import zlib
 
 import numpy as np
@@ -59,6 +61,49 @@ def test_spaced_letters_are_joined():
     assert toxicity.spaced("a plain text is not one") == []
 
 
+def test_fast_readings_equal_plain_ones(model):
+    """Plain words take a short way and spaced words are looked for only where some can be: both change no value."""
+    rng = random.Random(2)
+    lexicon = {"=idiot": 4.0, "idio": 2.0, "=moron": 3.5, "=loser": 3.0, "stup": 2.5, "=as": 1.6, "=hello": 1.0, "trash": 2.0, "=i": 1.5}
+    reader = toxicity.TextReader(model.three, lexicon)
+    reader.model = model
+    pool = "idiotmornlseaIO10@$!.-_*(),'\"é  "
+    words = ["idiot", "i", "d", "m0ron", "i.d", "i.d.i.o.t", "l-o", "s", "e!", "stupidly", "hellllo", "hhello", "trashy,", "(as)", "a_b", "\u200bidiot"]
+
+    def plain_weight(word):
+        best = max((lexicon.get(f, 0.0) for f in toxicity.features(word)), default=0.0)
+        squeezed = {re.sub(r"(.)\1+", r"\1", f[1:]): w for f, w in lexicon.items() if f[0] == "=" and len(f) > 4}
+        if not best and re.search(r"(.)\1+", word):
+            best = squeezed.get(re.sub(r"(.)\1+", r"\1", word), 0.0)
+        return best
+
+    for _ in range(3000):
+        text = " ".join(rng.choice(words) if rng.random() < 0.7 else "".join(rng.choices(pool, k=5)) for _ in range(rng.randint(0, 8)))
+        chunks = text.split()
+        want = [max(map(plain_weight, toxicity.readings(c, model)), default=0.0) for c in chunks]
+        joined = [plain_weight(toxicity.decode(toxicity.plain(s), model)) for s in toxicity.spaced(text)]
+        total, most, mean, hits = reader.measure(text)[0]
+        every = want + [w for w in joined if w]
+        assert most == max(every, default=0.0) and total == pytest.approx(np.log1p(sum(every))), text
+        assert hits == pytest.approx(np.log1p(sum(w >= 3 for w in every)))
+        assert mean == pytest.approx(sum(every) / (len(chunks) + 20))
+
+
+def test_trigrams_of_words_of_any_length(spark):
+    long = "abc" * 400_000
+    texts = ["The the Ring", None, "", "éa 漢字 x2y -", "Σίγμα " * 3, long]
+    docs = spark.createDataFrame([(t, "x") for t in texts], "text string, g string")
+    want: dict[str, int] = {}
+    for text in texts:
+        for word in (text or "").lower().split():
+            if word.isalpha():
+                padded = f"^^{word}$"
+                for i in range(len(padded) - 2):
+                    want[padded[i : i + 3]] = want.get(padded[i : i + 3], 0) + 1
+    assert toxicity.corpus_trigrams(docs, "text") == want
+    assert toxicity.corpus_trigrams(docs.limit(0), "text") == {}
+
+
 def toxic_corpus(n=240):
     rng = np.random.default_rng(2)
     rows, labels = [], []
@@ -76,7 +121,7 @@ def test_restored_text_is_scored(spark):
     rows, labels = toxic_corpus()
     clean = rows[1][1]
     extra = [(1000, clean + " 1d10t m0ron"), (1001, clean + " i d i o t"), (1002, clean + " iiidiooot"), (1003, clean)]
-    extra += [(1004, None), (1005, ""), (None, "idiot"), (1006, "idiot " * 20_000), (1003, clean)]
+    extra += [(1004, None), (1005, ""), (None, "idiot"), (1006, "idiot " * 20_000), (1003, clean), (1007, "zq" * 500_000), (1008, "1$" * 50_000)]
     docs = spark.createDataFrame(rows + extra, "doc_id long, text string")
     out = toxicity.score_toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
     score = {r["doc_id"]: r["score"] for r in out}
