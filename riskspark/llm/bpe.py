@@ -317,7 +317,11 @@ class Encoder:
     def resolve(self, pieces: list[bytes]) -> list[list[int]]:
         if len(self.merged) > MERGED:
             self.merged.clear()
-        split = [self.split(p) for p in pieces]
+        own = self.split
+        if self.vocabulary.letters_join:
+            split = [[p.lower()] if p.isalpha() else own(p) for p in pieces]
+        else:
+            split = [own(p) for p in pieces]
         words = list(set(chain.from_iterable(split)).difference(self.vocabulary.special.values()))
         ids: dict[bytes | int, list[int]] = {i: [i] for i in self.vocabulary.special.values()}
         t = self.transducer

@@ -7,6 +7,7 @@ texts at a time; a worker remembers the ids of pieces, and when it has too many,
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
@@ -15,12 +16,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct pieces a worker remembers before it forgets the rarer half.
-MEMORY = 1_000_000
+MEMORY = 700_000
 #: Bytes of text whose pieces are resolved together; a longer text is a block of its own.
 BLOCK_BYTES = 8_000_000
 
 #: From new pieces to their ids.
-Resolver = Callable[[list[bytes]], Iterable[Iterable[int]]]
+Resolver = Callable[[list[bytes]], Iterable[list[int]]]
 #: From a text to its pieces, in order.
 Splitter = Callable[[bytes], list[bytes]]
 
@@ -84,7 +85,14 @@ class ChunkTable:
             self._forget()
             new = [p for p in pieces if p not in self.index]
         first = len(self.index)
-        found = [list(ids) for ids in self.resolve(new)]
+        # Ids of pieces are many small lists without cycles, which the collector would look through in vain.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            found = list(self.resolve(new))
+        finally:
+            if collecting:
+                gc.enable()
         self.index.update(zip(new, range(first, first + len(new)), strict=True))
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         self._room(first + len(new), self.used + int(sizes.sum()))

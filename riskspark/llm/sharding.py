@@ -91,10 +91,14 @@ def assign_shards(
     rows are counted before they are shuffled and dealt out in pieces.
 
     Null keys have a place of their own; repeated rows are all kept, each with its slot;
-    an empty table gives an empty one. Columns named ``shard`` or ``slot`` are replaced.
+    an empty table gives an empty one. Columns named ``shard`` or ``slot`` are replaced, all others stay, whatever their names.
     """
     df = df.drop("shard", "slot")
-    columns = df.columns
+    names, spark = df.columns, df.sparkSession
+    # Names of this function's own, so that no given one clashes with those it adds.
+    columns = [f"c{i}" for i in range(len(names))]
+    key = columns[names.index(key)]
+    df = df.toDF(*columns)
     ends, owners = ring(shards, virtual_nodes)
     arcs = len(ends)
     hashed = F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("\x00")))
@@ -140,7 +144,7 @@ def assign_shards(
                     queue.append((shard, n - taken))
             plan.append((arc, part, deals))
     # At most one row per slice of an arc, so it is small for any input.
-    plan_frame = df.sparkSession.createDataFrame(
+    plan_frame = spark.createDataFrame(
         plan, "__arc int, __slice int, __deals array<struct<upto:long,shard:int,base:long>>"
     )
     before = Window.partitionBy("__arc", "__slice").orderBy("__place", *columns)
@@ -159,7 +163,7 @@ def assign_shards(
         "__rank", F.col("__first") + F.col("__step")
     )
     deal = F.filter("__deals", lambda d: F.col("__rank") < d["upto"])[0]
-    return (
+    dealt = (
         ranked.join(F.broadcast(plan_frame), ["__arc", "__slice"])
         .withColumn("__deal", deal)
         .select(
@@ -168,6 +172,7 @@ def assign_shards(
             (F.col("__deal.base") + F.col("__rank")).alias("slot"),
         )
     )
+    return dealt.toDF(*names, "shard", "slot")
 
 
 def op1_ring_shards(spark, sf_dir):

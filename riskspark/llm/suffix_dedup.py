@@ -358,13 +358,16 @@ def strip_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, kee
     are no longer valid UTF-8 at a cut are left out of it (digests are of all remaining bytes).
 
     Null counts as empty; texts shorter than ``length`` stay whole; equal texts of at least that
-    length are removed whole; repeated rows and other columns are kept (columns named as those added are replaced); an
-    empty table gives an empty one. A very long text is worked on in blocks.
+    length are removed whole; repeated rows and other columns are kept, whatever their names (columns named as those added are
+    replaced); an empty table gives an empty one. A very long text is worked on in blocks.
     """
-    added = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "k1", "k2", "__spans")
-    docs = docs.select(*[c for c in docs.columns if c not in added])
-    others = [c for c in docs.columns if c != text]
-    body = F.coalesce(F.col(text), F.lit(""))
+    added = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    docs = docs.select(*[f"`{c}`" for c in docs.columns if c not in added])
+    names = [c for c in docs.columns if c != text]
+    # Names of this function's own, so that no given one clashes with those it adds.
+    docs = docs.toDF(*["body" if c == text else f"c{names.index(c)}" for c in docs.columns])
+    others = [f"c{i}" for i in range(len(names))]
+    body = F.coalesce(F.col("body"), F.lit(""))
     texts = docs.select(*_keys(body), body.alias("text"))
     spans = repeated_spans(texts, length)
     # Overlapping spans of a text: as many as it has runs at most.
@@ -401,7 +404,7 @@ def strip_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, kee
     schema = docs.select(*others).schema
     for field in made.split(", "):
         schema = schema.add(*field.split())
-    return rows.mapInArrow(strip, schema)
+    return rows.mapInArrow(strip, schema).toDF(*names, *schema.names[len(names) :])
 
 
 def op3_suffix_intervals(spark, sf_dir):

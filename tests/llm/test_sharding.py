@@ -37,6 +37,16 @@ def test_equal_rows_are_dealt_in_pieces(spark, monkeypatch):
     assert len({(r["shard"], r["slot"]) for r in out}) == 53
 
 
+def test_names_of_its_own_clash_with_none(spark):
+    names = ["__n", "__arc", "__piece", "c0", "__slice", "shard"]
+    df = spark.createDataFrame([(i % 7, *"abcd", 9) for i in range(40)], names)
+    out = sharding.assign_shards(df, "__n", 4)
+    assert out.columns == [*names[:-1], "shard", "slot"]
+    rows = out.collect()
+    assert sorted(r["__n"] for r in rows) == sorted(i % 7 for i in range(40))
+    assert {tuple(r)[1:5] for r in rows} == {tuple("abcd")}
+
+
 def test_empty_table(spark):
     assert dealt(spark, []) == []
 

@@ -84,6 +84,14 @@ def test_kept_text_and_empty_table(spark):
     assert suffix_dedup.strip_repeats(df.limit(0)).collect() == []
 
 
+def test_names_of_its_own_clash_with_none(spark):
+    names = ["k1", "k2", "__spans", "__text", "text", "body", "c0"]
+    df = spark.createDataFrame([tuple("abcd") + ("x" * 300, "e", "f")], names)
+    out = suffix_dedup.strip_repeats(df, keep_text=True)
+    assert out.columns == [n for n in names if n != "text"] + ["n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
+    assert tuple(out.first())[:6] == tuple("abcdef") and out.first()["n_removed"] == 300
+
+
 def test_given_documents(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     got = {r[0]: tuple(r)[1:] for r in suffix_dedup.op3_suffix_intervals(spark, sf_dir).collect()}
