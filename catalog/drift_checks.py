@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query
 from catalog.standins import EVENT_MIDPOINT, ORDER_HALVES_CTE, event_halves, order_halves, table
-from riskspark.operators import drift
+from riskspark.operators import drift, reference_profile
+from riskspark.session import new_scratch_path
 
 NUMERIC = ("o_totalprice", "o_custkey", "aged_price")
 CATEGORICAL = ("o_orderpriority", "o_orderstatus")
@@ -167,6 +168,19 @@ REPORT_SQL = """SELECT (SELECT count(*) FROM pair WHERE is_ref = 1) AS reference
   coalesce(array_to_string(list_sort(list(feature) FILTER (WHERE drift_status = 'significant_drift')), '|'), '') AS drifted_features FROM features"""
 
 
+@query("h07_from_stored_profile", f"WITH {FEATURES_CTE} {REPORT_SQL}")
+def drift_from_stored_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report without the reference table: its profile is kept, from two parts that were profiled apart."""
+    reference, current = order_halves(spark, sf_dir)
+    odd = F.coalesce(F.col("o_custkey") % 2 == 1, F.lit(False))
+    root = new_scratch_path(spark, "reference-profile")
+    for part in (reference.where(odd), reference.where(~odd)):
+        reference_profile.add_to_profile(spark, root, part, NUMERIC, CATEGORICAL)
+    kept = reference_profile.load_profile(spark, root)
+    _, report = reference_profile.drift_from_profile(current, kept, NUMERIC, CATEGORICAL)
+    return report.withColumn("drifted_features", F.array_join("drifted_features", "|")).drop("summary")
+
+
 @query("h07_drift_report", f"WITH {FEATURES_CTE} {REPORT_SQL}")
 def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     reference, current = order_halves(spark, sf_dir)

@@ -48,6 +48,7 @@ CATEGORICAL_FEATURES = (
     "Dependents",
 )
 KS_TERMS = 100
+CELL = ("kind", "feature", "number", "word")
 #: Up to so many rows on either side the KS p-value is exact.
 KS_EXACT_ROWS = 10_000
 #: From this shape on both p-values are below 1e-13 and the series is taken.
@@ -114,25 +115,12 @@ def feature_histogram(
         raise ValueError("the two tables share none of the drift features")
 
     def side(df: DataFrame, ref: int) -> DataFrame:
-        def cell(kind: str, name: str) -> Column:
-            value = F.col(name)
-            text = isinstance(df.schema[name].dataType, T.StringType)
-            number = finite(to_number(value) if text else value) if kind == "numerical" else F.lit(None)
-            word = value if kind == "categorical" else F.lit(None)
-            return F.struct(
-                F.lit(kind).alias("kind"),
-                F.lit(name).alias("feature"),
-                number.cast("double").alias("number"),
-                word.cast("string").alias("word"),
-            )
-
-        cells = [cell("numerical", c) for c in numeric] + [cell("categorical", c) for c in categorical]
-        return df.select(F.explode(F.array(*cells)).alias("_cell"), F.lit(ref).alias("is_ref"))
+        return feature_cells(df, numeric, categorical).withColumn("is_ref", F.lit(ref))
 
     return (
         side(reference, 1)
         .unionByName(side(current, 0))
-        .groupBy("_cell.kind", "_cell.feature", "_cell.number", "_cell.word")
+        .groupBy(*CELL)
         .agg(
             F.sum("is_ref").cast("bigint").alias("ref_n"),
             F.sum(1 - F.col("is_ref")).cast("bigint").alias("cur_n"),
@@ -140,6 +128,25 @@ def feature_histogram(
     )
 
 
+def feature_cells(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """Every value of every feature as a row ``kind``, ``feature``, ``number``, ``word``; bad numbers count as missing."""
+
+    def cell(kind: str, name: str) -> Column:
+        value = F.col(name)
+        text = isinstance(df.schema[name].dataType, T.StringType)
+        number = finite(to_number(value) if text else value) if kind == "numerical" else F.lit(None)
+        word = value if kind == "categorical" else F.lit(None)
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            F.lit(name).alias("feature"),
+            number.cast("double").alias("number"),
+            word.cast("string").alias("word"),
+        )
+
+    cells = [cell("numerical", c) for c in numeric] + [cell("categorical", c) for c in categorical]
+    return df.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*")
+
+
 def categorical_histogram(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Two-sided counts per (feature, category) of categorical features."""
     columns = _shared(reference, current, columns)
