@@ -380,7 +380,8 @@ def frequent_words(docs: DataFrame, text: str, vocabulary: Vocabulary, size: int
         encoder = Encoder(worker_memory(("counted", source.value), lambda: Vocabulary(source.value)))
         for batch in batches:
             seen: Counter[bytes] = Counter()
-            for piece, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            pieces, times = (c.to_numpy(zero_copy_only=False).tolist() for c in batch.columns)
+            for piece, n in zip(pieces, times):
                 for w in encoder.split(piece):
                     if isinstance(w, bytes):
                         seen[w] += n

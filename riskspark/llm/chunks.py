@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -70,7 +70,7 @@ class ChunkTable:
             bounds = np.concatenate(([0], np.cumsum([len(s) for s in split], dtype=np.int64)))
             pieces = pa.array(chain.from_iterable(split), pa.binary())
         coded = pieces.dictionary_encode()
-        slots = self._slots(coded.dictionary.cast(pa.binary()).to_pylist())
+        slots = self._slots(coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist())
         at = slots[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.int64)
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
@@ -80,10 +80,13 @@ class ChunkTable:
 
     def _slots(self, pieces: list[bytes]) -> np.ndarray:
         """Where the ids of distinct pieces lie; new pieces are resolved."""
-        new = [p for p in pieces if p not in self.index]
-        if len(self.index) + len(new) > self.memory and self.index:
+        slots = self._known(pieces)
+        fresh = np.flatnonzero(slots < 0)
+        if len(self.index) + len(fresh) > self.memory and self.index:
             self._forget()
-            new = [p for p in pieces if p not in self.index]
+            slots = self._known(pieces)
+            fresh = np.flatnonzero(slots < 0)
+        new = [pieces[i] for i in fresh.tolist()]
         first = len(self.index)
         # Ids of pieces are many small lists without cycles, which the collector would look through in vain.
         collecting = gc.isenabled()
@@ -103,10 +106,13 @@ class ChunkTable:
         flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
         self.ids[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
-        slots = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        slots[fresh] = np.arange(first, end)
         self.hits[slots] += 1
         return slots
 
+    def _known(self, pieces: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
+
     def _room(self, pieces: int, ids: int) -> None:
         def grown(array: np.ndarray, wanted: int) -> np.ndarray:
             if wanted <= len(array):

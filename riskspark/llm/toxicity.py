@@ -349,7 +349,7 @@ def trigrams_of(words: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
     """Character trigrams of counted words between two begin marks and an end mark, in time linear in their letters."""
     lengths = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     # The marks are no letters, so no word holds them.
-    text = "".join(f"^^{w}$" for w in words.to_pylist())
+    text = "".join(f"^^{w}$" for w in words.to_numpy(zero_copy_only=False))
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
     sizes = lengths + 3
     ends = np.cumsum(sizes)
