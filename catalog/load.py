@@ -8,5 +8,6 @@ from catalog import (  # noqa: F401
     model_checks,
     operations,
     profiles,
+    sql_texts,
     streams,
 )

@@ -148,6 +148,24 @@ def id_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.id_uniqueness(raw_snapshot(spark, sf_dir), "customerID")
 
 
+@query(
+    "d07_has_unique_ids",
+    f"""WITH {RAW_CTE} SELECT 'raw customers' AS keys, count(DISTINCT "customerID") = count(*) AS customer_id_unique FROM raw
+UNION ALL SELECT 'orders', count(DISTINCT o_orderkey) = count(*) FROM orders
+UNION ALL SELECT 'customers of orders', count(DISTINCT o_custkey) = count(*) FROM orders""",
+)
+def unique_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The yes/no form over keys that repeat a little, not at all and often; the last one is told by the sketch alone."""
+    orders = table(spark, sf_dir, "orders")
+    asked = (
+        ("raw customers", raw_snapshot(spark, sf_dir), "customerID"),
+        ("orders", orders, "o_orderkey"),
+        ("customers of orders", orders, "o_custkey"),
+    )
+    parts = [profile.has_unique_ids(df, key).select(F.lit(name).alias("keys"), "*") for name, df, key in asked]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(
     "d08_sensitive_rates",
     f"""WITH {SNAPSHOT_CTE}, {categorical_cte(("gender", "SeniorCitizen"))}

@@ -254,6 +254,31 @@ def id_uniqueness(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+#: Size of the distinct sketch (two to this power) and the share of rows beyond which its estimate decides: over six standard errors.
+SKETCH, SKETCH_MARGIN = 14, 0.05
+
+
+def keys_repeat_for_sure(df: DataFrame, key: str) -> bool:
+    """Whether one narrow pass shows that keys are missing or repeat: tasks send a sketch each, no keys.
+
+    False only says that the sketch cannot tell.
+    """
+    text = F.col(key).cast("string")
+    row = df.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count(text).alias("known"),
+        F.hll_sketch_estimate(F.hll_sketch_agg(text, F.lit(SKETCH))).alias("distinct"),
+    ).first()
+    return row["known"] < row["total"] or (row["distinct"] or 0) < row["total"] * (1 - SKETCH_MARGIN)
+
+
+def has_unique_ids(df: DataFrame, key: str) -> DataFrame:
+    """One row ``customer_id_unique``; keys are shuffled only if a sketch of them leaves the answer open."""
+    if keys_repeat_for_sure(df, key):
+        return df.sparkSession.range(1).select(F.lit(False).alias("customer_id_unique"))
+    return id_uniqueness(df, key).select("customer_id_unique")
+
+
 def positive_rates(
     df: DataFrame, dimensions: Sequence[str], target: str, positive: str = "Yes"
 ) -> DataFrame:
