@@ -22,7 +22,7 @@ from catalog.standins import (
     table,
 )
 from riskspark.functions.decisions import batch_stamp
-from riskspark.models import boosting, preprocessing, training
+from riskspark.models import boosting, newton, preprocessing, training
 from riskspark.models.scoring import load_version, save_version, score_batch
 from riskspark.operators import split
 from riskspark.operators.contract import CUSTOMER_CONTRACT, ContractViolation, typed
@@ -171,6 +171,35 @@ def logistic_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.feature_importance(trained.model, trained.rows)
 
 
+_NEWTON = """SELECT k + 1 AS k,
+    b0 + (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / det AS b0,
+    b1 + (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / det AS b1,
+    b2 + (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / det AS b2
+  FROM (SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS det FROM (
+    SELECT k, b0, b1, b2, sum(w) AS h00, sum(w * x1) AS h01, sum(w * x2) AS h02, sum(w * x1 * x1) + 1 AS h11, sum(w * x1 * x2) AS h12,
+      sum(w * x2 * x2) + 1 AS h22, sum(y - p) AS g0, sum((y - p) * x1) - b1 AS g1, sum((y - p) * x2) - b2 AS g2
+    FROM (SELECT *, p * (1 - p) AS w FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM newton, points WHERE k < 8) a) c GROUP BY k, b0, b1, b2) d) e"""
+
+
+@query(
+    "f06_newton_steps",
+    f"""WITH RECURSIVE points AS (SELECT l_quantity / 50.0::double AS x1, l_discount * 10.0::double AS x2, CASE WHEN l_returnflag = 'R' THEN 1.0::double ELSE 0.0::double END AS y FROM lineitem),
+newton AS (SELECT 0 AS k, 0.0::double AS b0, 0.0::double AS b1, 0.0::double AS b2 UNION ALL {_NEWTON}),
+last AS (SELECT * FROM newton WHERE k = 8)
+SELECT '(intercept)' AS feature, round(b0, 4) AS coefficient, round(exp(b0), 4) AS odds_ratio FROM last
+UNION ALL SELECT 'quantity', round(b1, 4), round(exp(b1), 4) FROM last UNION ALL SELECT 'discount', round(b2, 4), round(exp(b2), 4) FROM last""",
+)
+def newton_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients of a fit over all line items; the SQL replays its steps."""
+    points = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_quantity") / 50).alias("quantity"),
+        (F.col("l_discount") * 10).alias("discount"),
+        (F.col("l_returnflag") == "R").cast("int").alias("y"),
+    )
+    fitted = newton.fit_logistic(points, ["quantity", "discount"], "y").frame(spark)
+    return fitted.select("feature", *[F.round(c, 4).alias(c) for c in ("coefficient", "odds_ratio")])
+
+
 @query("f07_gradient_boosting")
 def gradient_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability and class of every row after all published rounds."""
