@@ -36,7 +36,7 @@ from riskspark.llm.common import small_batches, stored, table, worker_memory
 #: Most frequent words that are compiled.
 LEXICON = 131_072
 #: Merged words a worker remembers before it starts anew.
-MERGED = 200_000
+MERGED = 100_000
 #: Words of up to so many bytes are merged on a plain list, longer ones with a queue.
 SHORT = 48
 _NEVER = 1 << 60
@@ -357,6 +357,7 @@ def frequent_words(docs: DataFrame, text: str, vocabulary: Vocabulary, size: int
     some hundred rows at most, gives the least count to take; no task sends more than its share.
     """
     source = docs.sparkSession.sparkContext.broadcast(vocabulary.source)
+    mark = hashlib.sha1(vocabulary.source.encode()).hexdigest()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -369,7 +370,7 @@ def frequent_words(docs: DataFrame, text: str, vocabulary: Vocabulary, size: int
             for block in blocks(batch.column(0)):
                 seen = pc.value_counts(white_space_pieces(block)[0].cast(pa.binary()))
                 held.append(pa.table({"w": seen.field("values"), "n": seen.field("counts")}))
-                if sum(map(len, held)) > 4 * COUNTED:
+                if sum(map(len, held)) > 2 * COUNTED:
                     held = [combined()]
                     if len(held[0]) > COUNTED:
                         yield from held.pop().to_batches()
@@ -377,7 +378,7 @@ def frequent_words(docs: DataFrame, text: str, vocabulary: Vocabulary, size: int
             yield from combined().to_batches()
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(worker_memory(("counted", source.value), lambda: Vocabulary(source.value)))
+        encoder = Encoder(worker_memory(("vocabulary", mark), lambda: Vocabulary(source.value)))
         for batch in batches:
             seen: Counter[bytes] = Counter()
             pieces, times = (c.to_numpy(zero_copy_only=False).tolist() for c in batch.columns)

@@ -16,9 +16,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct pieces a worker remembers before it forgets the rarer half.
-MEMORY = 700_000
+MEMORY = 300_000
 #: Bytes of text whose pieces are resolved together; a longer text is a block of its own.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 2_000_000
 
 #: From new pieces to their ids.
 Resolver = Callable[[list[bytes]], Iterable[list[int]]]
@@ -36,6 +36,8 @@ def blocks(texts: pa.Array, size: int = BLOCK_BYTES) -> Iterator[pa.Array]:
         until = max(at + 1, int(np.searchsorted(reached, before + size, "right")))
         yield texts.slice(at, until - at)
         at = until
+        # What the block took is given back before the next one.
+        pa.default_memory_pool().release_unused()
 
 
 def white_space_pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
