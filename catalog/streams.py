@@ -10,7 +10,7 @@ from catalog.operations import quantile_sql
 from catalog.standins import FORMULA_SQL, LINE_CONTRACT, SNAPSHOT_CTE, SNAPSHOT_FORMULA, snapshot, table
 from riskspark.operators import monitoring as batch
 from riskspark.operators.contract import CUSTOMER_CONTRACT
-from riskspark.session import new_scratch_path
+from riskspark.session import new_scratch_path, written
 from riskspark.sources.sinks import read_scored
 from riskspark.streaming import labels as label_streams
 from riskspark.streaming import monitoring, panes, runs, scoring
@@ -77,15 +77,15 @@ def validate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A clean and a defective micro-batch: only the clean one is scored."""
     root = new_scratch_path(spark, "gate")
-    rows = snapshot(spark, sf_dir).drop("Churn")
-    rows.coalesce(1).write.parquet(f"{root}/in")
-    twice = rows.unionByName(rows)
-    twice.coalesce(1).write.mode("append").parquet(f"{root}/in")
+    rows = written(snapshot(spark, sf_dir).drop("Churn"), "gate-rows")
     handle = scoring.gate_and_score(
         CUSTOMER_CONTRACT, SNAPSHOT_FORMULA, f"{root}/scores", f"{root}/quarantine"
     )
-    stream = runs.file_stream(spark, f"{root}/in", rows.schema, files_per_trigger=1)
-    runs.run_per_batch(stream, handle, f"{root}/checkpoint")
+    runs.arrive_in_turn(
+        [rows, rows.unionByName(rows)],
+        f"{root}/in",
+        lambda stream, more: runs.run_per_batch(stream, handle, f"{root}/checkpoint"),
+    )
     return read_scored(spark, f"{root}/scores").select("customerID", "churn_probability")
 
 
