@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -239,16 +241,27 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Panes: three arrivals by event time, every seventh row of the first two only with the third.
 
 
-def _arrivals(rows: DataFrame, time: str, key: str, cuts: tuple[str, str], label: str) -> DataFrame:
-    """A stream of three files: rows before each cut and after, with every seventh of the earlier ones late."""
-    spark = rows.sparkSession
-    path = new_scratch_path(spark, label)
+def _arrivals(rows: DataFrame, time: str, key: str, cuts: tuple[str, str]) -> list[DataFrame]:
+    """Rows before each cut and after, with every seventh of the earlier ones late."""
     first, second = (F.lit(c).cast("timestamp_ntz") for c in cuts)
     at, late = F.col(time).cast("timestamp_ntz"), F.col(key) % 7 == 0
     parts = ((at < first) & ~late, (at >= first) & (at < second) & ~late, (at >= second) | late)
-    for part in parts:
-        rows.where(part).coalesce(1).write.mode("append").parquet(path)
-    return runs.file_stream(spark, path, rows.schema, files_per_trigger=1)
+    return [rows.where(part) for part in parts]
+
+
+def _panes(spark: SparkSession, arrivals: list[DataFrame], counted: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """Panes of the stream in which each arrival is one micro-batch."""
+    root = new_scratch_path(spark, label)
+    schema = None
+
+    def run(stream: DataFrame, more: bool) -> None:
+        nonlocal schema
+        made = counted(stream)
+        schema = made.schema
+        runs.run_to_files(made, f"{root}/rows", f"{root}/checkpoint", more=more)
+
+    runs.arrive_in_turn(arrivals, f"{root}/in", run)
+    return spark.read.schema(schema).parquet(f"{root}/rows")
 
 
 def _on_time(source: str, time: str, key: str, cuts: tuple[str, str], pane: str, delay: str) -> str:
@@ -287,8 +300,12 @@ _WITHIN = ", ".join(
 def latency_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantiles over 1, 5 and 60 minutes, the longer ones from the shorter ones' panes."""
     calls = table(spark, sf_dir, "events").withColumn("latency", F.col("value") / 1000.0)
-    stream = panes.latency_panes(_arrivals(calls, "ts", "event_id", _CUTS, "calls"), "ts", "latency", ["event_type"], DELAY)
-    minute = _collected(spark, stream, "latency-panes")
+    minute = _panes(
+        spark,
+        _arrivals(calls, "ts", "event_id", _CUTS),
+        lambda stream: panes.latency_panes(stream, "ts", "latency", ["event_type"], DELAY),
+        "latency-panes",
+    )
     five = panes.merge_panes(minute, ["event_type"], "5 minutes")
     hour = panes.merge_panes(minute, ["event_type"], "60 minutes")
     parts = [
@@ -315,8 +332,9 @@ def volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     served = table(spark, sf_dir, "events").withColumns(
         {"predicted_class": (F.col("value") >= 50).cast("int"), "model_version": F.col("event_type")}
     )
-    stream = panes.volume_panes(_arrivals(served, "ts", "event_id", _CUTS, "served"), "ts", by, DELAY)
-    hours = panes.merge_panes(_collected(spark, stream, "volume-panes"), by, "60 minutes", "15 minutes")
+    arrived = _arrivals(served, "ts", "event_id", _CUTS)
+    minute = _panes(spark, arrived, lambda stream: panes.volume_panes(stream, "ts", by, DELAY), "volume-panes")
+    hours = panes.merge_panes(minute, by, "60 minutes", "15 minutes")
     return _zoneless(hours, "pane_start").select(F.col("pane_start").alias("window_start"), *by, "predictions")
 
 
@@ -348,9 +366,9 @@ def batch_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(small | cheap).alias("rejected_records"),
         (F.count_if(small) + F.count_if(cheap)).alias("schema_violations"),
     )
-    reports = reports.withColumn("is_valid", F.col("schema_violations") == 0)
-    stream = _arrivals(reports, "created", "o_orderkey", _DAYS, "reports")
-    days = _collected(spark, panes.report_panes(stream, "created", _DAYS_LATE, "1 day"), "report-panes")
+    reports = written(reports.withColumn("is_valid", F.col("schema_violations") == 0), "reports")
+    arrived = _arrivals(reports, "created", "o_orderkey", _DAYS)
+    days = _panes(spark, arrived, lambda stream: panes.report_panes(stream, "created", _DAYS_LATE, "1 day"), "report-panes")
     weeks = _zoneless(panes.merge_panes(days, [], "7 days"), "pane_start")
     return weeks.select(F.col("pane_start").alias("window_start"), *batch.report_counters())
 
@@ -364,7 +382,11 @@ WHERE window_start + INTERVAL '60 minutes' <= newest""",
 )
 def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failures per reason and hour."""
-    arrived = _arrivals(table(spark, sf_dir, "events"), "ts", "event_id", _CUTS, "failure-arrivals")
-    stream = panes.failure_panes(arrived, "ts", "event_type", F.col("value") > 90, DELAY)
-    hour = panes.merge_panes(_collected(spark, stream, "failure-panes"), ["event_type"], "60 minutes")
+    minute = _panes(
+        spark,
+        _arrivals(table(spark, sf_dir, "events"), "ts", "event_id", _CUTS),
+        lambda stream: panes.failure_panes(stream, "ts", "event_type", F.col("value") > 90, DELAY),
+        "failure-panes",
+    )
+    hour = panes.merge_panes(minute, ["event_type"], "60 minutes")
     return _zoneless(hour, "pane_start").select(F.col("pane_start").alias("window_start"), "event_type", "failures", "events")

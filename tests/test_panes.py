@@ -76,3 +76,37 @@ def test_one_hot_label_is_one_row_of_state(spark, streamed):
     rows = [event(i, 0.001 * i, "hot") for i in range(5000)] + [event(9999, 60, "end")]
     written = streamed([rows], lambda s: panes.volume_panes(s, "at", ["kind"], "1 minute"))
     assert written.count() == 5 and written.agg(F.sum("predictions")).first()[0] == 5000
+
+
+def test_arrivals_of_many_files_are_one_micro_batch_each(spark, tmp_path):
+    """An arrival is written by all its tasks; late rows are judged by the watermark of the arrivals before the last one."""
+    first = [(0, 0), (1, 5), (2, 65), (3, 200)]
+    # The first arrival closes minute 0 for the third, the second one would close minute 1 and 2 too.
+    arrivals = [first, [(4, 400), (5, 410)], [(6, 10), (7, 130), (8, 900)]]
+    frames = [
+        spark.createDataFrame(rows, "id int, s int").repartition(3).select("id", F.timestamp_seconds("s").alias("ts"))
+        for rows in arrivals
+    ]
+
+    def run(stream, more):
+        made = panes.pane_stream(stream, "ts", [], {"n": F.count(F.lit(1))}, "1 minute")
+        runs.run_to_files(made, str(tmp_path / "out"), str(tmp_path / "state"), more=more)
+
+    runs.arrive_in_turn(frames, str(tmp_path / "in"), run)
+    assert len(list((tmp_path / "in").glob("part-*"))) > 3
+    rows = spark.read.parquet(str(tmp_path / "out")).select(F.unix_seconds("pane_start"), "n").collect()
+    assert sorted(map(tuple, rows)) == [(0, 2), (60, 1), (120, 1), (180, 1), (360, 2)]
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+
+
+def test_panes_and_gate_write_with_all_tasks(spark, sf_dir, monkeypatch):
+    """Neither query sends its input through one task."""
+    import catalog.streams as streams
+    from pyspark.sql import DataFrame
+
+    def refused(self, *args):
+        raise AssertionError("rows are brought together in one task")
+
+    monkeypatch.setattr(DataFrame, "coalesce", refused)
+    assert streams.gate_stream(spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/customer.parquet").count()
+    assert streams.batch_counters(spark, sf_dir).count() > 0
