@@ -27,7 +27,7 @@ from riskspark.operators import drift, monitoring, quality
 from riskspark.operators.contract import CUSTOMER_CONTRACT, validation_errors, validation_report
 from riskspark.session import new_scratch_path
 from riskspark.sources.manifest import file_checksums, source_manifest
-from riskspark.sources.sinks import quarantine_batch, read_scored, write_report, write_scored
+from riskspark.sources.sinks import quarantine_batch, read_scored, write_one_file, write_report, write_scored
 from riskspark.sources.tables import as_table, load_scoring_batch, load_training_table, read_table
 
 # Event values stand in for latencies of up to some hundred milliseconds.
@@ -309,8 +309,8 @@ _DELIVERY = "SELECT sha256(string_agg(cast(o_orderkey as varchar), chr(10) ORDER
 def checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SHA-256 of one delivered file, as one value and block by block."""
     path = new_scratch_path(spark, "checksums")
-    ordered = table(spark, sf_dir, "orders").select("o_orderkey").coalesce(1).sortWithinPartitions("o_orderkey")
-    ordered.select(F.col("o_orderkey").cast("string").alias("value")).write.text(path)
-    whole = file_checksums(spark, f"{path}/*.txt").withColumn("how", F.lit("whole"))
-    blocks = file_checksums(spark, f"{path}/*.txt", whole_bytes=0).withColumn("how", F.lit("blocks"))
+    ordered = table(spark, sf_dir, "orders").select("o_orderkey").orderBy("o_orderkey")
+    file = write_one_file(ordered.select(F.col("o_orderkey").cast("string").alias("value")), path)
+    whole = file_checksums(spark, file).withColumn("how", F.lit("whole"))
+    blocks = file_checksums(spark, file, whole_bytes=0).withColumn("how", F.lit("blocks"))
     return whole.unionByName(blocks).select("how", "file_sha256", "file_bytes")

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import re
+import sys
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.sources.commits import CommitLog, file_system, move_new
 
+# Tasks carry this module's functions with them, so a cluster needs no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+BLOCK_BYTES = 8 << 20
+
 
 def write_scored(scored: DataFrame, path: str) -> None:
     """Publish all batches of a frame at once; a batch that was there before is replaced. Read with :func:`read_scored`."""
@@ -52,3 +63,31 @@ def write_report(report: DataFrame, path: str, fmt: str = "json") -> None:
         raise ValueError(f"unsupported report format '{fmt}'")
     writer = report.write.mode("overwrite")
     (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(path)
+
+
+def write_one_file(lines: DataFrame, path: str) -> str:
+    """Write text lines, one string column, in the frame's order as one file under ``path``; returns the file.
+
+    All tasks write their part. One task then puts the parts one after the other, a block of bytes at a time; a task that is
+    run again makes a file of its own.
+    """
+    spark, block = lines.sparkSession, BLOCK_BYTES
+    lines.write.text(f"{path}/parts")
+
+    def copied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            # Spark takes local names with one slash, Arrow wants three.
+            store, root = pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+            parts = [f.path for f in store.get_file_info(pafs.FileSelector(f"{root}/parts")) if f.base_name.startswith("part-")]
+            store.create_dir(f"{root}/whole", recursive=True)
+            name = f"{uuid.uuid4().hex}.txt"
+            with store.open_output_stream(f"{root}/whole/{name}") as out:
+                # Longer numbers are greater ones.
+                for part in sorted(parts, key=lambda p: (len(p), p)):
+                    with store.open_input_stream(part) as stream:
+                        while data := stream.read(block):
+                            out.write(data)
+            yield pa.RecordBatch.from_pydict({"name": [name]})
+
+    name = spark.range(0, 1, 1, 1).mapInArrow(copied, "name string").collect()[0]["name"]
+    return f"{path}/whole/{name}"

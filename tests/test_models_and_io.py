@@ -18,6 +18,7 @@ from riskspark.operators.contract import CUSTOMER_CONTRACT, typed
 from riskspark.operators.monitoring import latency_quantiles
 from riskspark.operators.split import exact_split, hash_split, stratum_quotas
 from riskspark.sources.manifest import file_checksums, source_manifest
+from riskspark.sources.sinks import write_one_file
 from riskspark.sources.tables import load_training_table, read_table
 from riskspark.streaming import labels, runs, scoring
 
@@ -213,3 +214,20 @@ def test_entry_and_registry(spark, sf_dir):
         result = con.execute(f"SELECT {', '.join(columns)} FROM ({oracles[name]}) q")
         assert got == sorted(tuple(map(str, r)) for r in result.fetchall()), name
     assert entry.entry(spark).count() > 0
+
+
+def test_one_file_is_put_together_from_sorted_parts(spark, tmp_path):
+    """The file has the lines in order, though several tasks sort them."""
+    keys = [(7 * i) % 1009 for i in range(1000)] + [5, 5, None]
+    rows = spark.createDataFrame([(k,) for k in keys], "k int").repartition(5)
+    lines = rows.orderBy("k").select(F.col("k").cast("string").alias("value"))
+    with_all = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        file = write_one_file(lines, str(tmp_path / "d"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", with_all)
+    assert len(list((tmp_path / "d" / "parts").glob("part-*"))) > 1
+    wanted = "".join(f"{'' if k is None else k}\n" for k in [None, *sorted(k for k in keys if k is not None)]).encode()
+    found = file_checksums(spark, file).first()
+    assert (found["file_sha256"], found["file_bytes"]) == (hashlib.sha256(wanted).hexdigest(), len(wanted))
