@@ -3,7 +3,8 @@
 Features become bins once. A tree takes one aggregation per round of growth: every task adds up gradients and hessians per
 (node, feature, bin), the sums are added by node and cell, and the driver, which gets a number of cells that does not depend on the
 rows, chooses splits. Only the smaller of two children is summed, its sibling is the difference to the parent. A missing
-value has a bin of its own and goes to the side that gains more. The leaf that gains most is split next; a round
+value has a bin of its own and goes to the side that gains more. Neighbouring features with few bins share one code per row, so that
+a row is counted once for all of them; their own sums are added up from the codes' afterwards. The leaf that gains most is split next; a round
 sums the children of all leaves that may still be chosen, so a tree takes about as many rounds as it is deep.
 
 Gradients are added as whole numbers, so a fit does not depend on the order of rows or on tasks that run twice.
@@ -16,6 +17,7 @@ import json
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -38,9 +40,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Trees after which margins are written anew.
 REFRESH = 10
-#: Cells that one task adds up, and bytes of binned rows that one task reads, about.
+#: Cells that one task adds up, and binned rows that one task reads, about.
 CELLS_PER_TASK = 100_000
-BYTES_PER_TASK = 32 << 20
+ROWS_PER_TASK = 100_000
+#: Rows that are worked on together, and bins that the features of one code may have between them.
+ROWS_AT_ONCE = 1 << 16
+CODES = 1 << 12
 #: Least sum of hessians on either side of a split.
 LEAST_HESSIAN = 1e-3
 
@@ -70,14 +75,48 @@ class Layout:
     def offsets(self) -> np.ndarray:
         return np.cumsum(self.sizes) - self.sizes
 
-    def bins(self, x: np.ndarray) -> np.ndarray:
-        """Bin of each value; a value equal to an edge lies below it, NaN in the last bin."""
-        out = np.empty(x.shape, np.uint8)
+    @cached_property
+    def groups(self) -> tuple[range, ...]:
+        """Neighbouring features that share a code: the bins of one are its digits, those of the last vary fastest."""
+        found, first, codes = [], 0, 1
+        for f, size in enumerate(self.sizes.tolist()):
+            if f > first and codes * size > CODES:
+                found.append(range(first, f))
+                first, codes = f, 1
+            codes *= size
+        return (*found, range(first, len(self.edges)))
+
+    @cached_property
+    def places(self) -> tuple[np.ndarray, np.ndarray]:
+        """Group of each feature, and what one bin of it adds to the code."""
+        group = np.repeat(np.arange(len(self.groups)), [len(g) for g in self.groups])
+        step = np.concatenate([np.cumprod([1, *self.sizes[g.start + 1 : g.stop][::-1]])[::-1] for g in self.groups])
+        return group, step.astype(np.int64)
+
+    @cached_property
+    def codes_of(self) -> np.ndarray:
+        """Number of codes of each group."""
+        return np.array([int(np.prod(self.sizes[g.start : g.stop])) for g in self.groups], np.int64)
+
+    def codes(self, x: np.ndarray) -> np.ndarray:
+        """Codes of all groups; a value equal to an edge lies below it, NaN in the last bin."""
+        group, step = self.places
+        out = np.zeros((len(x), len(self.groups)), np.uint16)
         for f, edges in enumerate(self.edges):
             column = x[:, f]
-            out[:, f] = np.where(np.isnan(column), len(edges) + 1, np.searchsorted(edges, column, "left"))
+            bins = np.where(np.isnan(column), len(edges) + 1, np.searchsorted(edges, column, "left"))
+            out[:, group[f]] += (bins * step[f]).astype(np.uint16)
         return out
 
+    def cells(self, sums: Sequence[np.ndarray]) -> np.ndarray:
+        """Sums per feature and bin from sums per node and code of each group."""
+        parts = []
+        for g, own in zip(self.groups, sums):
+            by_bin = own.reshape(-1, *self.sizes[g.start : g.stop])
+            axes = range(1, len(g) + 1)
+            parts += [by_bin.sum(axis=tuple(a for a in axes if a != k)) for k in axes]
+        return np.concatenate(parts, axis=1)
+
 
 @dataclass(frozen=True)
 class Split:
@@ -138,50 +177,75 @@ def bin_edges(rows: DataFrame, x: str, width: int, max_bins: int) -> Layout:
 
 
 def binned_rows(rows: DataFrame, x: str, y: str, n: int, layout: Layout, margin: float) -> DataFrame:
-    """One byte per feature, the label and a margin of each of ``n`` rows, written in even parts."""
+    """The codes of the features, the label and a margin of each of ``n`` rows, written in even parts."""
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, width = batch.num_rows, len(layout.edges)
             values = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(n, width)
-            cells = layout.bins(values.astype(np.float64))
+            codes = layout.codes(values.astype(np.float64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([row.tobytes() for row in cells], pa.binary()),
+                    pa.array([row.tobytes() for row in codes], pa.binary()),
                     batch.column(1).cast(pa.float64()),
                     pa.array(np.full(n, margin)),
                 ],
                 ["bins", "y", "margin"],
             )
 
-    tasks = 1 + n * (len(layout.edges) + 16) // BYTES_PER_TASK
+    tasks = 1 + n // ROWS_PER_TASK
     found = rows.select(x, y).mapInArrow(binned, "bins binary, y double, margin double")
     return written(found.repartition(tasks), "boosting-rows")
 
 
-def _descend(tree: Tree, bins: np.ndarray, missing: np.ndarray) -> np.ndarray:
+def _descend(tree: Tree, codes: np.ndarray, layout: Layout) -> np.ndarray:
     """The node each row ends in."""
-    feature, cut, to_left = np.array(tree.feature), np.array(tree.bin), np.array(tree.missing_left)
-    left, right = np.array(tree.left), np.array(tree.right)
-    at = np.zeros(len(bins), np.int64)
-    moving = np.arange(len(bins)) if feature[0] >= 0 else np.empty(0, np.int64)
-    while len(moving):
-        node = at[moving]
+    feature = np.array(tree.feature)
+    at = np.zeros(len(codes), np.int64)
+    if feature[0] < 0:
+        return at
+    group, step = layout.places
+    sizes, widest = layout.sizes, int(layout.codes_of.max())
+    # The next node for each node and code; a leaf keeps its rows.
+    after = np.repeat(np.arange(len(feature))[:, None], widest, axis=1)
+    code = np.arange(widest)
+    for node in np.flatnonzero(feature >= 0).tolist():
         f = feature[node]
-        value = bins[moving, f]
-        goes = np.where(value == missing[f], to_left[node], value <= cut[node])
-        at[moving] = np.where(goes, left[node], right[node])
-        moving = moving[feature[at[moving]] >= 0]
+        value = code // step[f] % sizes[f]
+        goes = np.where(value == sizes[f] - 1, tree.missing_left[node], value <= tree.bin[node])
+        after[node] = np.where(goes, tree.left[node], tree.right[node])
+    after, flat = after.ravel(), codes.ravel()
+    column = group[np.maximum(feature, 0)]
+    rows = np.arange(len(codes)) * codes.shape[1]
+    depth = [0] * len(feature)
+    # A child has a greater number than its parent.
+    for node in np.flatnonzero(feature >= 0).tolist():
+        depth[tree.left[node]] = depth[tree.right[node]] = depth[node] + 1
+    for _ in range(max(depth)):
+        at = after[at * widest + flat[rows + column[at]]]
     return at
 
 
-def _matrix(batch: pa.RecordBatch, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(batch.num_rows, width)
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), width)
+
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches brought together, so that small ones cost no more."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= ROWS_AT_ONCE:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()
 
-def _margins(trees: Sequence[Tree], bins: np.ndarray, missing: np.ndarray, margin: np.ndarray) -> np.ndarray:
+
+def _margins(trees: Sequence[Tree], codes: np.ndarray, layout: Layout, margin: np.ndarray) -> np.ndarray:
     for tree in trees:
-        margin = margin + np.array(tree.value)[_descend(tree, bins, missing)]
+        margin = margin + np.array(tree.value)[_descend(tree, codes, layout)]
     return margin
 
 
@@ -194,23 +258,24 @@ def node_cells(
     """
     place = np.full(len(growing.feature), -1)
     place[list(wanted)] = np.arange(len(wanted))
-    offsets, total, width = layout.offsets, int(layout.sizes.sum()), len(layout.edges)
-    missing = layout.sizes - 1
+    total, width = int(layout.sizes.sum()), len(layout.groups)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((3, len(wanted) * total), np.int64)
-        for batch in batches:
-            bins = _matrix(batch, width)
-            y, margin = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
-            node = place[_descend(growing, bins, missing)]
+        by_code = [np.zeros((3, len(wanted) * int(n)), np.int64) for n in layout.codes_of]
+        for rows in _gathered(batches):
+            codes = _matrix(rows.column(0), width)
+            y, margin = (rows.column(i).to_numpy() for i in (1, 2))
+            node = place[_descend(growing, codes, layout)]
             own = node >= 0
-            bins, y, node = bins[own], y[own], node[own]
-            p = 1 / (1 + np.exp(-_margins(trees, bins, missing, margin[own])))
-            cells = (node[:, None] * total + offsets + bins).ravel()
-            for k, part in enumerate((np.rint((p - y) * scale), np.rint(p * (1 - p) * scale), None)):
-                weights = None if part is None else np.repeat(part, width)
-                # Whole numbers below 2 ** 53 are added exactly as doubles.
-                sums[k] += np.bincount(cells, weights, len(wanted) * total).astype(np.int64)
+            codes, y, node = codes[own], y[own], node[own]
+            p = 1 / (1 + np.exp(-_margins(trees, codes, layout, margin[own])))
+            parts = (np.rint((p - y) * scale), np.rint(p * (1 - p) * scale), None)
+            for column, n, sums in zip(codes.T, layout.codes_of.tolist(), by_code):
+                place_of = node * n + column
+                for k, part in enumerate(parts):
+                    # Whole numbers below 2 ** 53 are added exactly as doubles.
+                    sums[k] += np.bincount(place_of, part, len(wanted) * n).astype(np.int64)
+        sums = np.stack([layout.cells([own[k].reshape(len(wanted), -1) for own in by_code]).ravel() for k in range(3)])
         seen = np.flatnonzero(sums[2])
         arrays = [seen // total, seen % total, *sums[:, seen]]
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in arrays], ["node", "cell", "g", "h", "n"])
@@ -351,16 +416,15 @@ def boost(rows: DataFrame, layout: Layout, rounds: int, scale: int, growth: Grow
     """Trees one after the other; margins are written anew after some of them, so a round looks at few trees."""
     trees: list[Tree] = []
     since: list[Tree] = []
-    missing, width = layout.sizes - 1, len(layout.edges)
+    width = len(layout.groups)
     for _ in range(rounds):
         if len(since) == REFRESH:
             grown = list(since)
 
             def moved(batches: Iterator[pa.RecordBatch], grown=grown) -> Iterator[pa.RecordBatch]:
-                for batch in batches:
-                    margin = batch.column(2).to_numpy(zero_copy_only=False)
-                    now = _margins(grown, _matrix(batch, width), missing, margin)
-                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(now)], batch.schema.names)
+                for own in _gathered(batches):
+                    now = _margins(grown, _matrix(own.column(0), width), layout, own.column(2).to_numpy())
+                    yield from own.set_column(2, "margin", pa.array(now)).to_batches()
 
             rows = written(rows.mapInArrow(moved, rows.schema), "boosting-rows")
             since = []

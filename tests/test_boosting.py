@@ -131,3 +131,29 @@ def test_stored_model_scores_alike(spark, rows, tmp_path):
     assert shares.sum() == pytest.approx(1) and shares[3] == 0
     nodes = loaded.stages[-1].node_table(spark)
     assert nodes.where("feature < 0").groupBy("tree").agg(F.sum("rows").alias("n")).where("n <> 500").count() == 0
+
+
+def test_shared_codes_give_the_sums_of_every_feature(spark, monkeypatch):
+    """Features that share a code keep their own sums, rows are dealt to several tasks, and trees stay the same."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 3, (500, 12)).astype(float)
+    x[:, 4] = rng.random(500)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    layout = boosting.Layout(tuple(np.unique(c[~np.isnan(c)])[:-1] + 1e-9 for c in x.T[:, :200]))
+    assert 1 < len(layout.groups) < len(layout.edges)
+    codes = layout.codes(x)
+    counts = [np.bincount(c, minlength=n) for c, n in zip(codes.T, layout.codes_of)]
+    cells = layout.cells([c[None] for c in counts])[0]
+    for f, edges in enumerate(layout.edges):
+        bins = np.where(np.isnan(x[:, f]), len(edges) + 1, np.searchsorted(edges, x[:, f]))
+        own = cells[layout.offsets[f] : layout.offsets[f] + layout.sizes[f]]
+        assert own.tolist() == np.bincount(bins, minlength=layout.sizes[f]).tolist()
+
+    rows = spark.createDataFrame([(r.tolist(), float(r[0] == 1)) for r in x], "x array<double>, y double")
+    forests = []
+    for most in (boosting.ROWS_PER_TASK, 100):
+        monkeypatch.setattr(boosting, "ROWS_PER_TASK", most)
+        binned, made, _, scale = boosting.prepared(rows, "x", "y", 255)
+        forests.append([vars(t) for t in boosting.boost(binned, made, 2, scale, GROWTH)])
+    assert len(binned.inputFiles()) > 1
+    assert forests[0] == forests[1]
