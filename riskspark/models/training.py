@@ -64,6 +64,11 @@ class ModelSpec:
     val_size: float = 0.15
     seed: int = 42
 
+    @property
+    def encoding(self) -> tuple:
+        """What the preparation of training rows depends on."""
+        return tuple(self.numeric), tuple(self.categorical), self.target, self.positive
+
 
 def classifier(spec: ModelSpec, rows: int):
     """The estimator of a spec. ``rows`` turns the inverse penalty C into Spark's per-row one."""
@@ -109,13 +114,37 @@ def with_label(df: DataFrame, spec: ModelSpec) -> DataFrame:
     return df.withColumn("label", binary_target(F.col(spec.target), spec.positive).cast("double"))
 
 
-def fit(train: DataFrame, spec: ModelSpec) -> PipelineModel:
-    """Fit preparation and classifier on the training rows only."""
+def split_rows(typed_rows: DataFrame, spec: ModelSpec) -> DataFrame:
+    """The rows with their ``split``, written.
+
+    A split reads its rows three times: to count classes, to count slices, and to deal them. They are written before it, so what they
+    are made from is read once.
+    """
+    rows = written(typed_rows, "split-input")
+    return written(
+        exact_split(rows, [spec.key], spec.target, spec.test_size, spec.val_size, spec.seed), "split"
+    )
+
+
+def fit_encoding(train: DataFrame, spec: ModelSpec) -> tuple[PipelineModel, DataFrame]:
+    """Preparation fitted on the training rows, and their ``label`` and ``features``.
+
+    Estimators read their rows several times before they keep them, so the encoded rows are written and encoded only once.
+    """
     labelled = with_label(train, spec)
     prepared = fit_preprocessing(labelled, spec.numeric, spec.categorical)
-    rows = labelled.count()
-    stages = [*encoding_stages(prepared), classifier(spec, rows)]
-    return Pipeline(stages=stages).fit(labelled)
+    encoder = Pipeline(stages=encoding_stages(prepared)).fit(labelled)
+    return encoder, written(encoder.transform(labelled).select("label", "features"), "encoded")
+
+
+def fit_classifier(encoder: PipelineModel, encoded: DataFrame, spec: ModelSpec) -> PipelineModel:
+    """Fit the classifier of a spec on encoded rows; the model takes rows that are not encoded."""
+    return PipelineModel([*encoder.stages, classifier(spec, encoded.count()).fit(encoded)])
+
+
+def fit(train: DataFrame, spec: ModelSpec) -> PipelineModel:
+    """Fit preparation and classifier on the training rows only."""
+    return fit_classifier(*fit_encoding(train, spec), spec)
 
 
 def positive_probability(scored: DataFrame) -> DataFrame:
@@ -173,12 +202,7 @@ def train_model(typed_rows: DataFrame, spec: ModelSpec = ModelSpec()) -> Trained
     Iterative fits read the training rows many times, so the split rows are written
     to the shared folder first; the estimators cache their own feature vectors.
     """
-    rows = written(
-        exact_split(
-            typed_rows, [spec.key], spec.target, spec.test_size, spec.val_size, spec.seed
-        ),
-        "split",
-    )
+    rows = split_rows(typed_rows, spec)
     model = fit(rows.filter(F.col("split") == "train"), spec)
     return TrainedModel(model, spec, rows)
 

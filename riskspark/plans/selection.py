@@ -7,9 +7,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.models.training import ModelSpec, fit, positive_probability, with_label
+from riskspark.models.training import (
+    ModelSpec,
+    fit_classifier,
+    fit_encoding,
+    positive_probability,
+    split_rows,
+    with_label,
+)
 from riskspark.operators.segments import with_bands
-from riskspark.operators.split import exact_split
 from riskspark.operators.suite import (
     Evaluation,
     GatePolicy,
@@ -39,17 +45,16 @@ def run_selection(
     policy: GatePolicy = GatePolicy(),
 ) -> Selection:
     """Fit both models on the training part, judge on validation, report on test."""
-    split = written(
-        exact_split(
-            rows, [champion.key], champion.target, champion.test_size, champion.val_size, champion.seed
-        ),
-        "split",
-    )
+    split = split_rows(rows, champion)
     train = split.filter(F.col("split") == "train")
     scored = with_label(split, champion).withColumn("y_true", F.col("label").cast("int"))
+    prepared: dict[tuple, tuple] = {}
     for spec in (champion, challenger):
+        if spec.encoding not in prepared:
+            prepared[spec.encoding] = fit_encoding(train, spec)
+        model = fit_classifier(*prepared[spec.encoding], spec)
         kept = scored.columns
-        scored = positive_probability(fit(train, spec).transform(scored)).select(
+        scored = positive_probability(model.transform(scored)).select(
             *kept, F.col("probability_1").alias(f"score_{spec.name}")
         )
     scored = written(with_bands(scored), "selection-scores")
