@@ -116,7 +116,9 @@ class Vocabulary:
 
     def library_merge(self, word: bytes) -> list[int]:
         """Ids of a word by the model of the tokenizers library."""
-        text = word.decode() if word.isascii() else "".join(map(self.letters.__getitem__, word))
+        # Printable ASCII bytes stand for themselves, control characters do not.
+        if not (word.isascii() and (text := word.decode()).isprintable()):
+            text = "".join(map(self.letters.__getitem__, word))
         return [t.id for t in self._library_tokenize(text)]
 
     @cached_property

@@ -97,6 +97,14 @@ def test_wavelet_matrix(n, kinds):
         w.select(999_999, 0)
 
 
+def test_control_characters_have_the_ids_of_the_library(library):
+    """Also in words of ASCII only, where no byte but a printable one stands for itself."""
+    texts = [f"a{chr(i)}b {chr(i)}" for i in (*range(1, 9), *range(14, 32), 127)] + ["a\0b"]
+    table = ChunkTable(wavelet.library_resolver(open(PATH).read()))
+    got = [ids.tolist() for ids in table.encode(t.encode() for t in texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_a_worker_writing_shards_resolves_many_pieces_once(spark, monkeypatch, tmp_path):
     """What a worker has seen in 350,000 other pieces is known when it comes again."""
     asked = tmp_path / "asked"
