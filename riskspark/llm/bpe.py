@@ -19,7 +19,7 @@ import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import cached_property
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,8 @@ MERGED = 100_000
 #: Words of up to so many bytes are merged on a plain list, longer ones with a queue.
 SHORT = 48
 _NEVER = 1 << 60
+#: Stands for a line feed among ids.
+_FEED = (1 << 32) - 1
 #: Longer words are not compiled but merged, so neither the driver nor the automaton meets them.
 COMPILED = 64
 #: Different pieces a task counts before it hands on what it has.
@@ -74,6 +76,9 @@ class Vocabulary:
         # The same pattern for texts of ASCII bytes.
         ascii_pattern = self.word.pattern.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9")
         self.ascii_word = re.compile(ascii_pattern.encode())
+        #: The same, and a line feed, which is in no word.
+        self.ascii_word_or_feed = re.compile(ascii_pattern.encode() + rb"|\n")
+        self.word_or_feed = regex.compile(self.word.pattern + r"|\n")
         letters = b"abcdefghijklmnopqrstuvwxyz"
         #: Whether letters alone are always one word.
         self.letters_join = bool(self.ascii_word.fullmatch(letters + letters[::-1]))
@@ -321,6 +326,35 @@ class Encoder:
             at = hit.end()
         return out + list(v.words(text[at:]))
 
+    def resolve_all(self, pieces: list[bytes]) -> pa.ListArray:
+        """``resolve`` by merging alone, for pieces without ASCII white space: most are split together, one a line."""
+        if len(self.merged) > MERGED:
+            self.merged.clear()
+        v, ids = self.vocabulary, self.merged
+        kinds = np.fromiter((2 if b"<" in p else 0 if p.isascii() else 1 for p in pieces), np.uint8, len(pieces))
+        lines = b"\n".join([*compress(pieces, kinds == 0), b""]).lower()
+        words: list[bytes | int] = v.ascii_word_or_feed.findall(lines)
+        text = b"\n".join([*compress(pieces, kinds == 1), b""]).decode("utf-8", "replace")
+        if any(c >= "\u0378" and unicodedata.category(c) == "Cn" for c in set(text)):
+            kinds[kinds == 1] = 2
+        else:
+            # No sigma is left whose lower case depends on the letters around it.
+            plain = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+            words += map(str.encode, v.word_or_feed.findall(plain))
+        for piece in compress(pieces, kinds == 2):
+            words += self.split(piece)
+            words.append(b"\n")
+        ids[b"\n"] = [_FEED]
+        special = v.special.values()
+        for word in set(words).difference(ids):
+            ids[word] = [word] if word in special else self.merge(word)
+        flat = np.fromiter(chain.from_iterable(map(ids.__getitem__, words)), np.uint32)
+        feeds = np.flatnonzero(flat == _FEED)
+        ends = np.concatenate(([0], feeds - np.arange(len(feeds))))
+        found = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[flat != _FEED]))
+        # Back from the order of kinds.
+        return found.take(pa.array(np.argsort(np.argsort(kinds, kind="stable"))))
+
     def resolve(self, pieces: list[bytes]) -> list[list[int]]:
         if len(self.merged) > MERGED:
             self.merged.clear()

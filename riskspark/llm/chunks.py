@@ -146,6 +146,114 @@ class ChunkTable:
         self.sizes, self.starts, self.ids, self.used = sizes, ends - sizes, ids, total
 
 
+def coded_pieces(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Pieces between white space as numbers of distinct ones, and where each text's pieces begin."""
+    pieces, bounds = white_space_pieces(texts)
+    return pieces.dictionary_encode(), bounds
+
+
+class PackedTable:
+    """A bounded memory of pieces and their ids in arrays, asked for many blocks at once.
+
+    A piece takes its bytes and some numbers, not an object of Python, so several times as many are remembered as by
+    ``ChunkTable``. In return the pieces asked for are found by one pass over the memory, whose time many blocks share.
+    """
+
+    #: Bytes of names and ids that are remembered for each of the ``memory`` pieces, on average.
+    PIECE_BYTES = 64
+    #: Bytes of new pieces that are resolved together.
+    RESOLVED = 1 << 19
+
+    def __init__(self, resolve: Resolver | Callable[[list[bytes]], pa.ListArray], memory: int):
+        self.resolve, self.memory = resolve, memory
+        self.names = pa.array([], pa.binary())
+        self.sizes, self.starts, self.hits = (np.zeros(0, np.int32) for _ in range(3))
+        self.ids = np.zeros(0, np.uint32)
+
+    def encode(self, codes: list[pa.DictionaryArray]) -> Iterator[np.ndarray]:
+        """For each block of ``coded_pieces``, where the ids of its pieces lie in the table; see ``expanded``."""
+        same = pa.chunked_array(codes).unify_dictionaries()
+        slots = self._slots(same.chunk(0).dictionary.cast(pa.binary()))
+        for block in same.chunks:
+            yield slots[block.indices.to_numpy()]
+
+    def expanded(self, at: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces at these places one after the other, and where those of each text begin and end."""
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.ids[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(total)]
+        return ids, np.concatenate(([0], ends))[bounds]
+
+    def _slots(self, pieces: pa.Array) -> np.ndarray:
+        """Where the ids of distinct pieces lie; new pieces are resolved."""
+        slots = self._known(pieces)
+        fresh = np.flatnonzero(slots < 0)
+        new = pieces.take(pa.array(fresh))
+        if len(self.names) and self._full(len(new), _text_bytes(new)):
+            self._forget()
+            slots = self._known(pieces)
+            fresh = np.flatnonzero(slots < 0)
+            new = pieces.take(pa.array(fresh))
+        first = len(self.names)
+        sizes, ids = [self.sizes], [self.ids]
+        # Ids of pieces are many small lists without cycles, which the collector would look through in vain.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            for block in blocks(new, self.RESOLVED):
+                part = block.to_numpy(zero_copy_only=False).tolist()
+                found = self.resolve(part)
+                if not isinstance(found, pa.Array):
+                    found = pa.array(found, pa.list_(pa.uint32()))
+                if len(found) != len(part):
+                    raise ValueError("the resolver gave another number of id lists than of pieces")
+                sizes.append(pc.list_value_length(found).to_numpy())
+                ids.append(found.flatten().to_numpy())
+        finally:
+            if collecting:
+                gc.enable()
+        self.names = pa.concat_arrays([self.names, new])
+        self._place(np.concatenate(sizes), np.concatenate(ids))
+        self.hits = np.concatenate((self.hits, np.zeros(len(new), np.int32)))
+        slots[fresh] = np.arange(first, len(self.names))
+        self.hits[slots] += 1
+        return slots
+
+    def _known(self, pieces: pa.Array) -> np.ndarray:
+        slots = np.full(len(pieces), -1, np.int64)
+        # Names are looked up among the pieces, as these are fewer.
+        found = pc.index_in(self.names, pieces)
+        slots[found.drop_null().to_numpy()] = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+        return slots
+
+    def _place(self, sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.sizes, self.ids = sizes, ids
+        self.starts = np.cumsum(sizes, dtype=np.int64) - sizes
+
+    def _full(self, more: int, more_bytes: int) -> bool:
+        held = _text_bytes(self.names) + self.ids.nbytes + more_bytes
+        return len(self.names) + more > self.memory or held > self.memory * self.PIECE_BYTES
+
+    def _forget(self) -> None:
+        """Keep half of the memory, by pieces and by bytes, of what came up most often; older hits count half."""
+        often = np.argsort(-self.hits, kind="stable")[: self.memory // 2]
+        cost = pc.binary_length(self.names).to_numpy() + 4 * self.sizes.astype(np.int64)
+        often = often[np.cumsum(cost[often]) <= self.memory * self.PIECE_BYTES // 2]
+        kept = np.sort(often)
+        sizes, starts = self.sizes[kept], self.starts[kept]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.ids[np.repeat(starts - ends + sizes, sizes) + np.arange(total)]
+        self.names = self.names.take(pa.array(kept))
+        self.hits = self.hits[kept] // 2
+        self._place(sizes, ids)
+
+
+def _text_bytes(texts: pa.Array) -> int:
+    return pc.sum(pc.binary_length(texts)).as_py() or 0
+
+
 def joined(ids: np.ndarray, offsets: np.ndarray, texts: pa.Array, between: bytes) -> pa.Array:
     """The texts that ids stand for, one for each stretch of ids, with ``between`` between them; ``texts`` is large_binary."""
     lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), texts.take(pa.array(ids)))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from riskspark.llm.bpe import Encoder, Vocabulary
-from riskspark.llm.chunks import ChunkTable, blocks
+from riskspark.llm.chunks import PackedTable, blocks, coded_pieces
 from riskspark.llm.common import small_batches, stored, table, worker_memory
 from riskspark.session import new_scratch_path
 
@@ -33,8 +33,12 @@ SHARD_TOKENS = 1 << 22
 PRESENCE = 1 << 24
 #: Ids that are ranked together.
 PART = 1 << 18
-#: Distinct pieces a worker remembers here; it holds one shard and no text, so more than ``chunks.MEMORY``.
-PIECES = 600_000
+#: Distinct pieces a worker remembers here; they are packed, so more than ``chunks.MEMORY``.
+PIECES = 1_500_000
+#: Bytes of texts whose pieces are looked up together.
+TOGETHER = 1 << 25
+#: Ids that are moved together, as their positions stay in the processor's cache.
+MOVED = 1 << 15
 #: Bits between two entries of a plane's count directory.
 BLOCK = 512
 SUFFIX = ".wavelet"
@@ -74,10 +78,11 @@ class WaveletMatrix:
         for bit in reversed(range(max(1, int(len(symbols) - 1).bit_length()) if len(symbols) else 0)):
             ones = (ranks >> bit) & 1 == 1
             planes.append(np.packbits(ones))
-            # Taken by position: a choice by mask takes several times as long where bits are mixed.
-            low, high = ranks[np.flatnonzero(~ones)], ranks[np.flatnonzero(ones)]
-            zeros.append(len(low))
-            ranks = np.concatenate((low, high))
+            zeros.append(len(ranks) - int(np.count_nonzero(ones)))
+            moved = np.empty_like(ranks)
+            for part, low, high, to_low, to_high in _moves(ones, zeros[-1]):
+                moved[to_low], moved[to_high] = ranks[part][low], ranks[part][high]
+            ranks = moved
         return cls(symbols, len(ids), planes, zeros)
 
     def _ones(self, level: int, at: np.ndarray) -> np.ndarray:
@@ -159,13 +164,28 @@ class WaveletMatrix:
         ranks = np.zeros(self.n, kind)
         for level in reversed(range(self.depth)):
             ones = np.unpackbits(self.planes[level], count=self.n).view(bool)
+            ranks[self.zeros[level] :] |= kind(1 << (self.depth - 1 - level))
             moved = np.empty_like(ranks)
-            moved[np.flatnonzero(~ones)] = ranks[: self.zeros[level]]
-            moved[np.flatnonzero(ones)] = ranks[self.zeros[level] :] | kind(1 << (self.depth - 1 - level))
+            for part, low, high, from_low, from_high in _moves(ones, self.zeros[level]):
+                back = moved[part]
+                back[low], back[high] = ranks[from_low], ranks[from_high]
             ranks = moved
         return self.symbols[ranks]
 
 
+def _moves(ones: np.ndarray, zeros: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray, slice, slice]]:
+    """How a plane moves its ids, part by part: the part, its positions with bit 0 and 1, and where they go.
+
+    By position, as a choice by mask takes several times as long where bits are mixed.
+    """
+    a, b = 0, zeros
+    for first in range(0, len(ones), MOVED):
+        part = slice(first, min(first + MOVED, len(ones)))
+        low, high = np.flatnonzero(~ones[part]), np.flatnonzero(ones[part])
+        yield part, low, high, slice(a, a + len(low)), slice(b, b + len(high))
+        a, b = a + len(low), b + len(high)
+
+
 def pack(documents: pa.Table, matrix: WaveletMatrix) -> bytes:
     """One shard as bytes: magic, part lengths, the documents as an Arrow stream, ids, zero counts, planes.
 
@@ -208,14 +228,14 @@ def _write(folder: str, name: str, content: bytes) -> None:
     store.move(draft, f"{root}/{name}")
 
 
-def library_resolver(source: str) -> Callable[[list[bytes]], list[list[int]]]:
+def library_resolver(source: str) -> Callable[[list[bytes]], pa.ListArray]:
     """Ids of text pieces by the tokenizers library.
 
     Its model is asked once for each distinct word; words are split by the pattern of the tokenizer file. That
     this gives the ids of its ``encode`` on whole texts is tested.
     """
     vocabulary = Vocabulary(source)
-    return Encoder(vocabulary, merge=vocabulary.library_merge).resolve
+    return Encoder(vocabulary, merge=vocabulary.library_merge).resolve_all
 
 
 def write_shards(
@@ -237,11 +257,14 @@ def write_shards(
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         pieces = worker_memory(
-            ("library", mark), lambda: ChunkTable(library_resolver(source.value), PIECES)
+            ("library", mark), lambda: PackedTable(library_resolver(source.value), PIECES)
         )
         ids: list[np.ndarray] = []
         keys: list[pa.Array] = []
         held, number = 0, 0
+        # Blocks that wait for the ids of their pieces: keys, pieces as numbers, where each text's pieces begin.
+        waiting: list[tuple[pa.Array, pa.DictionaryArray, np.ndarray]] = []
+        size = 0
 
         def close() -> pa.RecordBatch:
             lengths = pa.array([len(x) for x in ids], pa.int64())
@@ -252,20 +275,34 @@ def write_shards(
             made = {"part": [part], "shard": [number], "n_docs": [len(ids)], "n_tokens": [held]}
             return pa.RecordBatch.from_pydict(made)
 
-        for batch in batches:
-            row = 0
-            # A copy, as a part of the batch would keep its texts.
-            names = batch.column(0).take(pa.array(np.arange(len(batch))))
-            for block in blocks(batch.column(1)):
-                found, offsets = pieces.encode_block(block)
-                for a, b in zip(offsets, offsets[1:]):
+        def encoded() -> Iterator[pa.RecordBatch]:
+            nonlocal ids, keys, held, number, size
+            places = pieces.encode([codes for _, codes, _ in waiting])
+            for (names, _, bounds), at in zip(waiting, places):
+                found, offsets = pieces.expanded(at, bounds)
+                for row, (a, b) in enumerate(zip(offsets, offsets[1:])):
                     ids.append(np.append(found[a:b], np.uint32(end_id)))
                     keys.append(names.slice(row, 1))
-                    row += 1
                     held += len(ids[-1])
                     if held >= SHARD_TOKENS:
                         yield close()
                         ids, keys, held, number = [], [], 0, number + 1
+            waiting.clear()
+            size = 0
+            pa.default_memory_pool().release_unused()
+
+        for batch in batches:
+            row = 0
+            # A copy, as a part of the batch would keep its texts.
+            names = batch.column(0).take(pa.array(np.arange(len(batch))))
+            for block in blocks(batch.column(1)):
+                waiting.append((names.slice(row, len(block)), *coded_pieces(block)))
+                row += len(block)
+                size += block.nbytes
+                if size >= TOGETHER:
+                    yield from encoded()
+        if waiting:
+            yield from encoded()
         if ids:
             yield close()
 

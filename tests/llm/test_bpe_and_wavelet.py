@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
 
 from riskspark.llm import bpe, wavelet  # noqa: E402
-from riskspark.llm.chunks import ChunkTable  # noqa: E402
+from riskspark.llm.chunks import ChunkTable, PackedTable, coded_pieces  # noqa: E402
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 POOL = (
@@ -134,6 +135,89 @@ def test_a_worker_writing_shards_resolves_many_pieces_once(spark, monkeypatch, t
     assert [r["ids_crc32"] for r in sorted(out, key=lambda r: r["doc_id"])] == want
 
 
+def packed(table, texts):
+    """Ids of each text by one call of the table, two texts a block."""
+    codes = [coded_pieces(pa.array(texts[i : i + 2])) for i in range(0, len(texts), 2)]
+    out = []
+    for (_, bounds), at in zip(codes, table.encode([c for c, _ in codes])):
+        ids, offsets = table.expanded(at, bounds)
+        out += [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
+    return out
+
+
+def test_pieces_resolved_together_have_the_ids_of_the_library(library):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(POOL) for _ in range(rng.randint(0, 14))) for _ in range(2000)]
+    texts += ["a%sb" % chr(i) for i in range(1, 0x3000)]
+    texts += [f"ab{t}<|endoftext|>É{t}" for t in texts[:99]] + ["", " ", "<a <b> ΑΣ ΣΑΣ. ΌΣΟΣ", "<|endoftext|>", "e\u0301\u0327 \u0301"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    source = open(PATH).read()
+    assert packed(PackedTable(wavelet.library_resolver(source), 1 << 20), texts) == want
+    # Without code points that are in no table of this Python, others than ASCII are split together.
+    known = [i for i, t in enumerate(texts) if all(unicodedata.category(c) != "Cn" for c in t)]
+    table = PackedTable(wavelet.library_resolver(source), 1 << 20)
+    assert packed(table, [texts[i] for i in known]) == [want[i] for i in known]
+    assert wavelet.library_resolver(source)([]).to_pylist() == []
+
+
+def test_a_packed_table_forgets_and_answers_alike():
+    def resolve(pieces):
+        return [[len(p), *p] for p in pieces]
+
+    rng = random.Random(7)
+    for memory, length in ((20, 3), (1000, 3), (20, 200)):
+        table = PackedTable(resolve, memory)
+        for _ in range(60):
+            texts = [" ".join("abc"[rng.randrange(3)] * rng.randint(1, length) for _ in range(rng.randint(1, 9))) for _ in range(5)]
+            want = [[i for p in t.split(" ") for i in (len(p), *p.encode())] for t in texts]
+            assert packed(table, texts) == want
+            # What one call asks for, and half of the memory.
+            assert len(table.names) <= memory // 2 + 45
+            assert table.ids.nbytes <= memory * PackedTable.PIECE_BYTES // 2 + 45 * 4 * (length + 1) or len(table.names) <= memory
+    with pytest.raises(ValueError):
+        packed(PackedTable(lambda pieces: [[1]], 9), ["a b"])
+
+
+def test_a_worker_writing_shards_remembers_a_million_pieces(spark, monkeypatch):
+    """What a worker has seen in 900,000 other pieces is known when it comes again."""
+    asked = spark.sparkContext.accumulator(0)
+
+    def resolver(source):
+        def resolve(pieces):
+            asked.add(len(pieces))
+            return [[int(p)] for p in pieces]
+
+        return resolve
+
+    monkeypatch.setattr(wavelet, "library_resolver", resolver)
+    monkeypatch.setattr(wavelet, "TOGETHER", 1 << 20, raising=False)
+    numbers = [" ".join(map(str, range(a, a + 100_000))) for a in [*range(0, 900_000, 100_000)] * 2]
+    df = spark.createDataFrame(list(enumerate(numbers)), "doc_id long, text string").coalesce(1)
+    folder = wavelet.new_scratch_path(spark, "wavelet-test")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        manifest = wavelet.write_shards(df, folder, "a third tokenizer", 900_000)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert asked.value == 900_000
+    out = wavelet.read_shards(spark, folder, manifest, df.schema["doc_id"]).collect()
+    want = [zlib.crc32(np.array([*map(int, t.split()), 900_000], "<u4").tobytes()) for t in numbers]
+    assert [r["ids_crc32"] for r in sorted(out, key=lambda r: r["doc_id"])] == want
+
+
+@pytest.mark.parametrize(("n", "kinds"), [(wavelet.MOVED, 9), (3 * wavelet.MOVED + 5, 70_000)])
+def test_planes_are_built_and_undone_part_by_part(n, kinds):
+    x = np.random.default_rng(2).integers(0, kinds, n).astype(np.uint32)
+    w = wavelet.WaveletMatrix.build(x)
+    ranks = np.searchsorted(w.symbols, x)
+    for level, plane in enumerate(w.planes):
+        bit = ranks >> (w.depth - 1 - level) & 1
+        assert (np.packbits(bit.astype(bool)) == plane).all() and w.zeros[level] == (bit == 0).sum()
+        ranks = np.concatenate((ranks[bit == 0], ranks[bit == 1]))
+    assert (w.all() == x).all()
+
+
 @pytest.mark.parametrize("limit", [1 << 22, 50])
 def test_shards_keep_order_and_places(spark, library, monkeypatch, limit):
     monkeypatch.setattr(wavelet, "SHARD_TOKENS", limit)
